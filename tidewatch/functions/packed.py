@@ -1,0 +1,161 @@
+"""Small integers packed four bits each into a BIGINT.
+
+Three things are kept that way: how many samples of a window reach each level, how often each level
+has to recur, and a *step*: where each possible level of a state machine goes next.  Steps compose,
+and composing is associative, so a series can be cut anywhere and put together again.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from tidewatch.shipping import ship_by_value
+
+ship_by_value(__name__)
+
+MEMO_ENTRIES = 200_000
+
+
+# Column side
+
+
+def reached_levels(level: Column) -> Column:
+    """A one in the place of every level from 0 up to ``level``; 0 for level -1."""
+    return F.coalesce(F.floor((F.pow(F.lit(16.0), level + 1) - 1) / 15).cast("bigint"), F.lit(0))
+
+
+def digit(packed: Column, place: int | Column) -> Column:
+    place = F.lit(place) if isinstance(place, int) else place
+    moved = F.call_function("shiftright", packed, (place * 4).cast("int"))
+    return moved.bitwiseAND(F.lit(15)).cast("int")
+
+
+def packed_recurrences(rules: Column, n_levels: int) -> Column:
+    """Recurrence counts of the rules; a level without a rule gets 15, which no window exceeds."""
+
+    def place(level: Column) -> Column:
+        found = F.filter(rules, lambda r: r["level"] == level)
+        count = F.coalesce(F.try_element_at(found, F.lit(1))["rec_count"], F.lit(15))
+        return F.call_function("shiftleft", F.greatest(F.least(count, F.lit(15)), F.lit(0)).cast("bigint"), level * 4)
+
+    places = F.transform(F.sequence(F.lit(0), F.lit(n_levels - 1)), place)
+    return F.aggregate(places, F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
+# Worker side
+
+
+def next_level(counts: int, last: int, recurrences: int, level: int, n_levels: int, window: int) -> int:
+    """One evaluation of the level state machine.
+
+    ``counts`` and ``recurrences`` are packed per level, ``last`` is the newest sample.  From the top
+    level present downwards, the first level that recurs often enough wins when the state lies below
+    the newest sample, or when it recurs often enough beyond the samples that reach the state.
+    """
+    if counts == 0:
+        return -1
+    if level < 0:
+        holding = window
+    elif level < n_levels:
+        holding = counts >> 4 * level & 15
+    else:
+        holding = 0
+    recurs = False
+    for candidate in range(n_levels - 1, -1, -1):
+        count = counts >> 4 * candidate & 15
+        needed = recurrences >> 4 * candidate & 15
+        if count > needed:
+            recurs = True
+            if level < last or count - holding > needed:
+                return candidate
+    return level if recurs else -1
+
+
+def step_of(counts: int, last: int, recurrences: int, n_levels: int, window: int) -> int:
+    """The packed step of one sample: place l + 1 holds the level after l, plus one."""
+    step = 0
+    for level in range(-1, n_levels):
+        step |= (next_level(counts, last, recurrences, level, n_levels, window) + 1) << 4 * (level + 1)
+    return step
+
+
+def compose(first: int, then: int, n_levels: int) -> int:
+    """The step that does ``first`` and afterwards ``then``."""
+    both = 0
+    for place in range(n_levels + 1):
+        both |= (then >> 4 * (first >> 4 * place & 15) & 15) << 4 * place
+    return both
+
+
+def identity_step(n_levels: int) -> int:
+    return sum(place << 4 * place for place in range(n_levels + 1))
+
+
+def _accumulate(n_levels: int):
+    """A function that composes steps in order and remembers compositions it has met."""
+    memo: dict[tuple[int, int], int] = {}
+    start = identity_step(n_levels)
+
+    def run(firsts: list, steps: list, so_far: int) -> tuple[list, int]:
+        out = []
+        for is_first, step in zip(firsts, steps):
+            key = (start if is_first else so_far, step)
+            so_far = memo.get(key)
+            if so_far is None:
+                if len(memo) >= MEMO_ENTRIES:
+                    memo.clear()
+                so_far = memo[key] = compose(key[0], step, n_levels)
+            out.append(so_far)
+        return out, so_far
+
+    return run, start
+
+
+def steps_so_far(n_levels: int, step_column: str, first_column: str, out: str):
+    """For ``mapInArrow`` on sorted partitions: compose ``step_column`` from each first row on."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, so_far = _accumulate(n_levels)
+        for batch in batches:
+            firsts = batch.column(first_column).to_pylist()
+            steps = batch.column(step_column).to_pylist()
+            done, so_far = run(firsts, steps, so_far)
+            yield _with_column(batch, out, done)
+
+    return work
+
+
+def samples_so_far(n_levels: int, first_column: str, out: str):
+    """For ``mapInArrow`` on sorted partitions: turn samples into steps and compose them.
+
+    Reads ``counts``, ``level``, ``recurrences`` and ``n_samples``, the size of the sample's window.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, so_far = _accumulate(n_levels)
+        memo: dict[tuple, int] = {}
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("counts", "level", "recurrences", "n_samples")))
+            steps = []
+            for key in keys:
+                step = memo.get(key)
+                if step is None:
+                    if len(memo) >= MEMO_ENTRIES:
+                        memo.clear()
+                    counts, level, recurrences, size = key
+                    step = memo[key] = step_of(counts, level, recurrences, n_levels, size)
+                steps.append(step)
+            done, so_far = run(batch.column(first_column).to_pylist(), steps, so_far)
+            yield _with_column(batch, out, done)
+
+    return work
+
+
+def _with_column(batch: pa.RecordBatch, name: str, values: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [*batch.columns, pa.array(values, pa.int64())], names=[*batch.schema.names, name]
+    )
