@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import DEFAULTS, Settings
 from tidewatch.operators.alerts import level_alerts
+from tidewatch.operators.baseline import hourly_baseline
 from tidewatch.operators.cells import WHOLE_SERIES, Grain
 from tidewatch.operators.control import attach_versioned_rules, with_series_epochs
 from tidewatch.operators.hysteresis import level_states, sampled, with_level_times
@@ -36,6 +37,7 @@ def point_levels(
         rows = attach_versioned_rules(rows, controls, rules, tenant_grain, settings)
     else:
         rows = attach_rules(rows, rules, settings)
+    baseline = hourly_baseline(points) if baseline is None else baseline
     scored = score_points(rows, baseline, settings, grain)
     return point_level(running_regression(scored, grain, fit_keys).drop("cell"))
 

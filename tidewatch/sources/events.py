@@ -135,3 +135,94 @@ def lineitem_points(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(0).alias("reaction"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
     )
+
+
+MESSAGE_POINTS = 8
+
+
+def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as wire messages of up to eight elements, with faults planted by ``props.k``."""
+    k = F.col("k")
+    quoted = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    is_error = F.col("event_type") == "error"
+    uuid = _tenant("event_type")
+    fields = F.concat_ws(
+        ",",
+        F.when(k != 10, quoted('"metric":"', F.col("event_type"), '"')),
+        F.when(k != 11, quoted('"timestamp":', _millis("ts").cast("string"))),
+        F.when(k == 12, F.lit('"value":"abc"'))
+        .when(k == 16, F.lit('"value":"2.5"'))
+        .otherwise(quoted('"value":', F.col("value").cast("string"))),
+        F.when(k == 14, quoted('"tags":{"host":"', F.col("event_type"), '"}')).when(
+            k != 13, quoted('"tags":{"host":"', F.col("event_type"), '","UUID":"', uuid, '"}')
+        ),
+        F.when(is_error, F.lit('"type":"Special","status":"ERROR","message":"m"')).otherwise(F.lit('"type":"Regular"')),
+        F.when(k % 2 == 0, quoted('"reaction":', (k % 5 - 3).cast("string"))),
+    )
+    element = F.when(k == 15, F.lit("7")).otherwise(F.concat(F.lit("{"), fields, F.lit("}")))
+    grouped = (
+        _with_k(table(spark, folder, "events"))
+        .select(F.floor(F.col("event_id") / MESSAGE_POINTS).cast("bigint").alias("msg_id"), "event_id", element.alias("e"))
+        .groupBy("msg_id")
+        .agg(F.array_sort(F.collect_list(F.struct("event_id", "e"))).alias("es"))
+    )
+    array = F.concat(F.lit("["), F.array_join(F.transform("es", lambda x: x["e"]), ","), F.lit("]"))
+    turn = F.col("msg_id") % 25
+    value = (
+        F.when(turn == 7, F.lit('{"metric":"a"}')).when(turn == 13, F.lit("[{bad")).when(turn == 19, F.lit("[]")).otherwise(array)
+    )
+    return grouped.select("msg_id", value.alias("value"))
+
+
+def control_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Some events as control messages about their own series or tenant."""
+    k, base = F.col("k"), F.lit(1) + F.col("event_id") % 3
+    name = F.col("event_type")
+    key_hash = series_hash(series_key(name, _tags(_tenant("event_type"), name)))
+    rules = [
+        F.struct(
+            F.lit(str(j)).alias("key"),
+            F.struct(
+                (base * (j + 1)).cast("double").alias("min_weight"),
+                F.lit(5.0 * (j + 1)).alias("min_pct"),
+                F.lit(0.0).alias("min_value"),
+                F.lit(0.0).alias("min_predict_pct"),
+                F.lit(3 - j // 2).alias("rec_count"),
+            ).alias("value"),
+        )
+        for j in range(6)
+    ]
+    changedata = F.to_json(F.map_from_entries(F.array(*rules)))
+    hashed = lambda action: F.to_json(F.struct(F.lit(action).alias("action"), key_hash.alias("hash")))
+    update = lambda uuid, data: F.to_json(
+        F.struct(F.lit("updatelevels").alias("action"), uuid.alias("UUID"), data.alias("changedata"))
+    )
+    tenant = _tenant("event_type")
+    value = (
+        F.when(k == 94, update(F.lit(None).cast("string"), changedata))
+        .when(k == 95, update(tenant, changedata))
+        .when(k == 96, update(tenant, F.lit("{bad")))
+        .when(k == 97, hashed("resetregresion"))
+        .when(k == 98, hashed("noop"))
+        .when(k == 99, hashed("deletemetricbyhash"))
+    )
+    return (
+        _with_k(table(spark, folder, "events"))
+        .where(k >= 94)
+        .select(_millis("ts").alias("ts_ms"), F.col("event_id").alias("seq"), value.alias("value"))
+    )
+
+
+def users(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as tenants: a third with levels of their own, a third with empty JSON, a third with none."""
+    key = F.col("c_custkey")
+    rule = lambda j: F.concat(
+        F.lit(f'"{j}":{{"min_weight":'),
+        ((F.col("c_nationkey") % 3 + 1) * (j + 1)).cast("string"),
+        F.lit(f',"min_pct":{5 * (j + 1)},"rec_count":{3 - j}}}'),
+    )
+    own = F.concat(F.lit("{"), F.concat_ws(",", *[rule(j) for j in range(3)]), F.lit("}"))
+    levels = F.when(key % 3 == 0, F.lit("")).when(key % 3 == 1, own)
+    return table(spark, folder, "customer").select(
+        F.concat(F.lit("c"), key.cast("string")).alias("uuid"), levels.alias("AL")
+    )
