@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def canonical_tags(tags: Column) -> Column:
     """JSON text of the tags, sorted by tag name."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(tags))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(tags))))
 
 
 def series_key(name: Column, tags: Column) -> Column:

@@ -23,27 +23,20 @@ MEMO_ENTRIES = 200_000
 # Column side
 
 
-def reached_levels(level: Column) -> Column:
+def reached_levels(level: str) -> Column:
     """A one in the place of every level from 0 up to ``level``; 0 for level -1."""
-    return F.coalesce(F.floor((F.pow(F.lit(16.0), level + 1) - 1) / 15).cast("bigint"), F.lit(0))
+    return F.expr(f"(shiftleft(1L, 4 * ({level} + 1)) - 1L) div 15L")
 
 
-def digit(packed: Column, place: int | Column) -> Column:
-    place = F.lit(place) if isinstance(place, int) else place
-    moved = F.call_function("shiftright", packed, (place * 4).cast("int"))
-    return moved.bitwiseAND(F.lit(15)).cast("int")
+def digit(packed: str, place: str | int) -> Column:
+    return F.expr(f"cast(shiftright({packed}, 4 * ({place})) & 15L as int)")
 
 
-def packed_recurrences(rules: Column, n_levels: int) -> Column:
+def packed_recurrences(rules: str, n_levels: int) -> Column:
     """Recurrence counts of the rules; a level without a rule gets 15, which no window exceeds."""
-
-    def place(level: Column) -> Column:
-        found = F.filter(rules, lambda r: r["level"] == level)
-        count = F.coalesce(F.try_element_at(found, F.lit(1))["rec_count"], F.lit(15))
-        return F.call_function("shiftleft", F.greatest(F.least(count, F.lit(15)), F.lit(0)).cast("bigint"), level * 4)
-
-    places = F.transform(F.sequence(F.lit(0), F.lit(n_levels - 1)), place)
-    return F.aggregate(places, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    count = f"coalesce(try_element_at(filter({rules}, r -> r.level = j), 1).rec_count, 15)"
+    place = f"shiftleft(cast(greatest(least({count}, 15), 0) as bigint), 4 * j)"
+    return F.expr(f"aggregate(transform(sequence(0, {n_levels - 1}), j -> {place}), 0L, (a, b) -> a + b)")
 
 
 # Worker side

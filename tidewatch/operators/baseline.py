@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,25 +76,13 @@ def reference_slots(baseline: DataFrame, settings: Settings = DEFAULTS) -> DataF
 
 
 def reference_table(baseline: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """One row per (series, slot) with the baselines of all earlier days side by side.
+    """One row per (series, slot) with the baselines of the earlier days side by side.
 
     Built from the hourly table, so a point joins a single row instead of being copied once per day.
     """
-    factor = F.lit(settings.deviation_factor)
-    rows = reference_slots(baseline, settings)
-    columns = [F.count(F.lit(1)).cast("int").alias("n_refs")]
+    factor = float(settings.deviation_factor)
+    sources = {"avg": "avg", "high": f"avg + {factor}D * dev", "low": f"avg - {factor}D * dev", "min": "min", "max": "max"}
+    columns = [F.expr("cast(count(1) as int) AS n_refs")]
     for day in range(1, settings.baseline_days + 1):
-        here = F.col("day") == day
-        columns += [
-            F.max(F.when(here, F.col("avg"))).alias(f"avg_{day}"),
-            F.max(F.when(here, F.col("avg") + factor * F.col("dev"))).alias(f"high_{day}"),
-            F.max(F.when(here, F.col("avg") - factor * F.col("dev"))).alias(f"low_{day}"),
-            F.max(F.when(here, F.col("min"))).alias(f"min_{day}"),
-            F.max(F.when(here, F.col("max"))).alias(f"max_{day}"),
-        ]
-    return rows.groupBy("series_key", "slot_ms").agg(*columns)
-
-
-def reference_columns(settings: Settings = DEFAULTS) -> Sequence[str]:
-    names = ("avg", "high", "low", "min", "max")
-    return ["n_refs", *[f"{name}_{day}" for day in range(1, settings.baseline_days + 1) for name in names]]
+        columns += [F.expr(f"max(CASE WHEN day = {day} THEN {sql} END) AS {name}_{day}") for name, sql in sources.items()]
+    return reference_slots(baseline, settings).groupBy("series_key", "slot_ms").agg(*columns)

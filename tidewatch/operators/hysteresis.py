@@ -71,7 +71,7 @@ def level_windows(
     order = cell_window(keys, ORDER)
     frame = order.rowsBetween(-(size - 1), Window.currentRow)
     columns = {
-        "counts": F.sum(reached_levels(F.col("level"))).over(frame),
+        "counts": F.sum(reached_levels("level")).over(frame),
         "window_max": F.max("level").over(frame),
         "n_samples": F.count("level").over(frame).cast("int"),
         "_up_before": F.lag(F.col("weight") > 0).over(order),
@@ -89,7 +89,7 @@ def level_windows(
 
 def level_counts(windows: DataFrame, n_levels: int = 6) -> DataFrame:
     """The packed counts as one column per level."""
-    return windows.withColumns({f"cnt_{j}": digit(F.col("counts"), j) for j in range(n_levels)})
+    return windows.withColumns({f"cnt_{j}": digit("counts", j) for j in range(n_levels)})
 
 
 def level_states(
@@ -111,7 +111,7 @@ def level_states(
     """
     keys = list(keys)
     windows = level_windows(levels, grain, keys, settings, n_levels, with_values)
-    windows = windows.withColumn("recurrences", packed_recurrences(F.col("rules"), n_levels)).drop("rules")
+    windows = windows.withColumn("recurrences", packed_recurrences("rules", n_levels)).drop("rules")
     order = cell_window(keys, ORDER)
     # The window below clusters and sorts by series and cell; the workers read its output as it is.
     ready = windows.withColumn("_first", F.row_number().over(order) == 1)
@@ -143,7 +143,7 @@ def level_states(
 
 
 def _apply(step: str) -> Column:
-    return digit(F.col(step), F.col("_start") + 1) - 1
+    return digit(step, "_start + 1") - 1
 
 
 def _cell_starts(stepped: DataFrame, keys: list[str], n_levels: int) -> DataFrame:
@@ -163,23 +163,22 @@ def _cell_starts(stepped: DataFrame, keys: list[str], n_levels: int) -> DataFram
     schema = T.StructType([*steps.schema.fields, T.StructField("_so_far", T.LongType())])
     composed = steps.mapInArrow(steps_so_far(n_levels, "_entry", "_first_cell", "_so_far"), schema)
     # Every series starts without a level, at place 0.
-    return composed.select(*keys, "cell", (digit(F.col("_so_far"), 0) - 1).alias("_start"))
+    return composed.select(*keys, "cell", (digit("_so_far", 0) - 1).alias("_start"))
 
 
 def with_level_times(
     states: DataFrame, grain: Grain = WHOLE_SERIES, keys: Sequence[str] = ("series_key",), n_levels: int = 6
 ) -> DataFrame:
     """Add ``starttimes`` and ``endtimes``: when each level was last entered and last left."""
-    before, after, now = F.col("prev_level"), F.col("state_level"), F.col("ts_ms")
     folds = {}
     for level in range(n_levels):
-        folds[f"_s{level}"] = ("max", F.when((before < level) & (after >= level), now))
-        folds[f"_e{level}"] = ("max", F.when((after < level) & (before >= level), now))
+        folds[f"_s{level}"] = ("max", F.expr(f"CASE WHEN prev_level < {level} AND state_level >= {level} THEN ts_ms END"))
+        folds[f"_e{level}"] = ("max", F.expr(f"CASE WHEN state_level < {level} AND prev_level >= {level} THEN ts_ms END"))
     placed = states if "cell" in states.columns else add_cell(states, grain)
     timed = running(placed, list(keys), ORDER, grain, folds)
 
     def as_map(prefix: str) -> Column:
-        pairs = F.array(*[F.struct(F.lit(j).alias("k"), F.col(f"{prefix}{j}").alias("v")) for j in range(n_levels)])
-        return F.map_from_entries(F.filter(pairs, lambda p: p["v"].isNotNull()))
+        pairs = ", ".join(f"struct({j} AS k, {prefix}{j} AS v)" for j in range(n_levels))
+        return F.expr(f"map_from_entries(filter(array({pairs}), p -> p.v IS NOT NULL))")
 
     return timed.withColumns({"starttimes": as_map("_s"), "endtimes": as_map("_e")}).drop(*folds)

@@ -16,14 +16,12 @@ _RULE_TYPE = "array<struct<level:int,min_weight:double,min_pct:double,min_value:
 def rules_literal(rules: tuple[LevelRule, ...]) -> Column:
     """The rules as one constant array, lowest level first."""
     structs = [
-        F.struct(
-            F.lit(r.level).alias("level"),
-            *[F.lit(float(getattr(r, t))).alias(t) for t in _THRESHOLDS],
-            F.lit(r.rec_count).alias("rec_count"),
-        )
+        f"named_struct('level', {r.level}, "
+        + ", ".join(f"'{t}', {float(getattr(r, t))}D" for t in _THRESHOLDS)
+        + f", 'rec_count', {r.rec_count})"
         for r in sorted(rules, key=lambda r: r.level)
     ]
-    return F.array(*structs).cast(_RULE_TYPE)
+    return F.expr(f"CAST(array({', '.join(structs)}) AS {_RULE_TYPE})")
 
 
 def decode_levels(json: Column) -> Column:
@@ -76,17 +74,13 @@ def point_level(points: DataFrame) -> DataFrame:
     Sizes count, not signs.  An undefined percent passes.  Points without weight have no level.
     """
 
-    def met(rule: Column) -> Column:
-        return (
-            (F.abs(F.col("weight")) >= rule["min_weight"])
-            & F.coalesce(F.abs(F.col("weight_pct")) >= rule["min_pct"], F.lit(True))
-            & (F.abs(F.col("value")) >= rule["min_value"])
-            & (F.abs(F.col("predict_pct")) >= rule["min_predict_pct"])
-        )
-
-    reached = F.array_max(F.transform(F.filter("rules", met), lambda r: r["level"]))
-    level = F.when(F.col("weight") == 0, F.lit(NO_LEVEL)).otherwise(F.coalesce(reached, F.lit(NO_LEVEL)))
-    return points.withColumn("level", level.cast("int"))
+    met = (
+        "abs(weight) >= r.min_weight AND coalesce(abs(weight_pct) >= r.min_pct, true)"
+        " AND abs(value) >= r.min_value AND abs(predict_pct) >= r.min_predict_pct"
+    )
+    reached = f"array_max(transform(filter(rules, r -> {met}), r -> r.level))"
+    level = F.expr(f"CASE WHEN weight = 0 THEN {NO_LEVEL} ELSE coalesce({reached}, {NO_LEVEL}) END")
+    return points.withColumn("level", level)
 
 
 def status_table(spark: SparkSession, settings: Settings = DEFAULTS) -> DataFrame:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,16 +16,11 @@ from tidewatch.config import (
     REACTION_UP_ONLY,
     Settings,
 )
-from tidewatch.functions.numbers import percent_of
 from tidewatch.functions.time import hour_slot
-from tidewatch.operators.baseline import hourly_baseline, reference_columns, reference_slots, reference_table
+from tidewatch.operators.baseline import hourly_baseline, reference_slots, reference_table
 from tidewatch.operators.cells import WHOLE_SERIES, Grain, add_cell
 
 
-def _sum(columns: list[Column]) -> Column:
-    return reduce(add, columns)
-
-
 def with_effective_reaction(
     points: DataFrame, settings: Settings = DEFAULTS, late_before_ms: Column | None = None
 ) -> DataFrame:
@@ -78,33 +70,25 @@ def score_columns(settings: Settings = DEFAULTS) -> dict[str, Column]:
 
     A missing baseline casts no vote but still counts in the mean.
     """
-    value, reaction = F.col("value"), F.col("reaction")
-    up = reaction != REACTION_DOWN_ONLY
-    down = reaction != REACTION_UP_ONLY
-    votes, percents = [], []
-    zero = F.lit(0.0)
+    up, down = f"reaction <> {REACTION_DOWN_ONLY}", f"reaction <> {REACTION_UP_ONLY}"
+    rises, falls, percents = [], [], []
     for day in range(1, settings.baseline_days + 1):
         # The slot lies a whole number of days back, so the weekday repeats every seventh day.
-        vote, avg = F.lit(2 if day % 7 == 0 else 1), F.col(f"avg_{day}")
-        above = up & (value > F.col(f"high_{day}"))
-        below = down & (value < F.col(f"min_{day}"))
-        pct = F.when(value != 0, percent_of(value, avg))
-        votes += [
-            F.when(above, vote).otherwise(0),
-            F.when(up & (value > F.col(f"max_{day}")), vote).otherwise(0),
-            F.when(below, -vote).otherwise(0),
-            F.when(down & (value < F.col(f"low_{day}")), -vote).otherwise(0),
-        ]
-        percents += [F.when(above | below, F.coalesce(pct, zero)).otherwise(zero)]
-    relative = reaction.between(REACTION_UP_ONLY, 0)
-    fixed = F.when(value > reaction, F.lit(FIXED_THRESHOLD_WEIGHT)).otherwise(F.lit(0))
-    weight = F.when(relative, _sum(votes)).when(reaction > 0, fixed).otherwise(F.lit(0))
-    pct = F.when(relative, _sum(percents) / F.lit(float(settings.baseline_days)))
-    pct = pct.when((reaction > 0) & (value > reaction), F.lit(None).cast("double")).otherwise(zero)
+        vote = 2 if day % 7 == 0 else 1
+        rises += [f"if(value > high_{day}, {vote}, 0)", f"if(value > max_{day}, {vote}, 0)"]
+        falls += [f"if(value < min_{day}, {vote}, 0)", f"if(value < low_{day}, {vote}, 0)"]
+        pct = f"coalesce((value - avg_{day}) / nullif(avg_{day}, 0D) * 100D, 0D)"
+        percents += [f"if(({up} AND value > high_{day}) OR ({down} AND value < min_{day}), {pct}, 0D)"]
+    relative = f"reaction BETWEEN {REACTION_UP_ONLY} AND 0"
+    exceeded = "reaction > 0 AND value > reaction"
+    weight = f"if({up}, {' + '.join(rises)}, 0) - if({down}, {' + '.join(falls)}, 0)"
+    total = f"if(value <> 0, {' + '.join(percents)}, 0D)"
     return {
-        "n_refs": F.coalesce("n_refs", F.lit(0)),
-        "weight": weight.cast("int"),
-        "weight_pct": pct,
+        "n_refs": F.expr("coalesce(n_refs, 0)"),
+        "weight": F.expr(f"CASE WHEN {relative} THEN {weight} WHEN {exceeded} THEN {FIXED_THRESHOLD_WEIGHT} ELSE 0 END"),
+        "weight_pct": F.expr(
+            f"CASE WHEN {relative} THEN ({total}) / {settings.baseline_days}D WHEN {exceeded} THEN NULL ELSE 0D END"
+        ),
     }
 
 
@@ -120,5 +104,5 @@ def score_points(
     """
     baseline = hourly_baseline(points) if baseline is None else baseline
     joined = _attach_references(points, reference_table(baseline, settings), grain)
-    extra = [c for c in reference_columns(settings) if c != "n_refs"]
-    return joined.withColumns(score_columns(settings)).drop(*extra)
+    scratch = [c for c in joined.columns if c.rpartition("_")[0] in ("avg", "high", "low", "min", "max")]
+    return joined.withColumns(score_columns(settings)).drop(*scratch)

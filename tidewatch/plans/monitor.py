@@ -58,7 +58,9 @@ def monitor(
     """Level states of all sampled points, with the times and values an alert reports."""
     leveled = point_levels(points, baseline, rules, controls, series_controls, grain, tenant_grain, settings)
     keys = ["series_key"] if series_controls is None else ["series_key", "epoch"]
-    samples = sampled(leveled)
+    # Python workers are handed every column there is, so keep to what an alert needs.
+    wanted = [*keys, "uuid", "ts_ms", "seq", "type", "reaction", "value", "weight", "level", "rules", "fit_epoch"]
+    samples = sampled(leveled).select(*[c for c in wanted if c in leveled.columns])
     if not grain.whole:
         # The state machine reads its input once for the cell borders and once for the cells.
         samples = cut_lineage(samples)

@@ -1,4 +1,4 @@
-"""Session helpers: UTC, and where durable intermediate data goes."""
+"""Session helpers: settings, and where durable intermediate data goes."""
 
 from __future__ import annotations
 
@@ -7,10 +7,19 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Timestamps without a zone are UTC in every table the operators read."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+# Timestamps without a zone are UTC.  The JVM compiles no method above 8000 bytes of bytecode, which
+# the scoring expressions exceed as one method; below the limit Spark splits them instead.
+SESSION_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the session settings the operators count on."""
+    for key, value in SESSION_SETTINGS.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -42,6 +51,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():

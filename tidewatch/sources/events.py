@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.identity import series_hash, series_key
-from tidewatch.session import use_utc
+from tidewatch.session import prepare
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(os.path.join(folder, f"{name}.parquet"))
+    return prepare(spark).read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
 def _millis(ts: str) -> Column:
@@ -31,6 +31,11 @@ def _tags(uuid: Column, host: Column) -> Column:
     return F.create_map(F.lit("UUID"), uuid, F.lit("host"), host)
 
 
+def _key(name: Column, uuid: Column, host: Column) -> Column:
+    """The series key of these two tags, spelled out; equals ``series_key`` of their map."""
+    return F.concat(name, F.lit('|{"UUID":"'), uuid, F.lit('","host":"'), host, F.lit('"}'))
+
+
 def metric_points(spark: SparkSession, folder: str) -> DataFrame:
     """Events as regular points: one series per event type, reaction from ``props.k``."""
     digit = F.col("k") % 10
@@ -40,7 +45,7 @@ def metric_points(spark: SparkSession, folder: str) -> DataFrame:
     name = F.col("event_type")
     tags = _tags(_tenant("event_type"), name)
     return _with_k(table(spark, folder, "events")).select(
-        series_key(name, tags).alias("series_key"),
+        _key(name, _tenant("event_type"), name).alias("series_key"),
         name.alias("name"),
         _millis("ts").alias("ts_ms"),
         "value",
@@ -68,7 +73,7 @@ def special_points(spark: SparkSession, folder: str, by_user: bool = False) -> D
         _with_k(table(spark, folder, "events"))
         .where(F.col("event_type") == "error")
         .select(
-            series_key(name, tags).alias("series_key"),
+            _key(name, _tenant("event_type"), host).alias("series_key"),
             name.alias("name"),
             _millis("ts").alias("ts_ms"),
             "value",
@@ -110,9 +115,8 @@ def user_points(spark: SparkSession, folder: str) -> DataFrame:
 def order_points(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as points: a series per priority and status, the price as value."""
     name = F.col("o_orderpriority")
-    tags = _tags(F.lit("shop"), F.col("o_orderstatus"))
     return table(spark, folder, "orders").select(
-        series_key(name, tags).alias("series_key"),
+        _key(name, F.lit("shop"), F.col("o_orderstatus")).alias("series_key"),
         name.alias("name"),
         _millis("o_orderdate").alias("ts_ms"),
         F.col("o_totalprice").alias("value"),
@@ -125,9 +129,8 @@ def order_points(spark: SparkSession, folder: str) -> DataFrame:
 def lineitem_points(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as points: a series per return flag and line status, the price as value."""
     name = F.col("l_returnflag")
-    tags = _tags(F.lit("shop"), F.col("l_linestatus"))
     return table(spark, folder, "lineitem").select(
-        series_key(name, tags).alias("series_key"),
+        _key(name, F.lit("shop"), F.col("l_linestatus")).alias("series_key"),
         name.alias("name"),
         _millis("l_shipdate").alias("ts_ms"),
         F.col("l_extendedprice").alias("value"),
