@@ -159,11 +159,11 @@ class Timer:
         return events
 
     def special_point(self, ts_ms: int, reaction: int, level: int) -> list[tuple]:
-        """Take in a point; late points are reported but do not move the timer back."""
+        """Take in a point.  The last to arrive sets a closing timer; only a newer one a dead-man timer."""
         events = self.fire_special(ts_ms - 1)
         events.append(("status", ts_ms, self.level, level))
         self.level = level
-        if self.last_ms is None or self.last_ms <= ts_ms:
+        if reaction <= 0 or self.last_ms is None or self.reaction <= 0 or self.last_ms < ts_ms:
             self.last_ms, self.reaction, self.fired_ms = ts_ms, reaction, None
         return events
 
