@@ -59,7 +59,7 @@ def level_windows(
     """Add what the last samples up to this one say.
 
     ``counts`` packs, per level, how many samples reach it; ``window_max`` is the highest level among
-    them, ``n_samples`` their number and ``upstate`` the direction of the newest alerting one.
+    them, ``n_samples`` their number and ``upstate`` the direction to report if there is an event.
     """
     size = settings.window_samples
     if not 1 <= size <= 15 or not 1 <= n_levels <= MAX_LEVELS:
@@ -139,7 +139,7 @@ def level_states(
             "state": state_code(F.col("prev_level"), F.col("state_level")),
             "emitted": (F.col("window_max") > NO_LEVEL) | (F.col("prev_level") != NO_LEVEL),
         }
-    ).drop("_first", "_step", "_start", "_before", "recurrences")
+    ).withColumn("upstate", F.col("emitted") & F.col("upstate")).drop("_first", "_step", "_start", "_before", "recurrences")
 
 
 def _apply(step: str) -> Column:

@@ -144,7 +144,7 @@ states AS (
   SELECT w.*, t.s0 AS prev_level, t.s AS state_level,
          CASE WHEN t.s0 = t.s THEN 1 WHEN t.s0 = -1 THEN 0 WHEN t.s = -1 THEN 3 ELSE 2 END AS state,
          w.wmax > -1 OR t.s0 <> -1 AS emitted,
-         CASE WHEN w.wmax > -1 THEN w.weight > 0
+         CASE WHEN w.wmax > -1 THEN w.weight > 0 WHEN t.s0 = -1 THEN false
               ELSE coalesce(lag(w.weight > 0) OVER (PARTITION BY {cols} ORDER BY w.rn), false) END AS upstate
   FROM windows w JOIN walk t USING (seq))"""
 
