@@ -138,12 +138,13 @@ def test_points_of_one_second_give_no_fit(spark):
     assert [r.predict_pct for r in rows] == [0.0, 0.0]
 
 
+@pytest.mark.parametrize("few", [True, False, None])
 @pytest.mark.parametrize("grain", [WHOLE_SERIES, SMALL_CELLS])
-def test_controls_count_from_their_instant_on(spark, grain):
+def test_controls_count_from_their_instant_on(spark, grain, few):
     frame = points(spark, [(START + 60_000 * i, 1, 0) for i in range(30)])
     marks = [("s", START + 60_000 * 3, 100), ("s", START + 60_000 * 20 + 1, 101), ("other", START, 102)]
     controls = spark.createDataFrame(marks, "series_key string, ts_ms bigint, seq bigint")
-    rows = count_before(frame, controls, "epoch", grain=grain).orderBy("seq").collect()
+    rows = count_before(frame, controls, {"epoch": F.lit(True)}, grain=grain, few=few).orderBy("seq").collect()
     assert [r.epoch for r in rows] == [0] * 3 + [1] * 18 + [2] * 9
 
 

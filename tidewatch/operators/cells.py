@@ -69,8 +69,12 @@ def measure_grain(
 ) -> Grain:
     """Pick cell lengths so that no cell holds much more than ``target_rows`` rows.
 
-    One pass with map-side counts; at most ``max_listed`` + 1 rows reach the driver.
+    Counts are taken map-side; at most ``max_listed`` + 1 rows reach the driver.  Unless some series is
+    longer than the target, a single count per series is all there is to it.
     """
+    lengths = points.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    if lengths.where(F.col("n") > target_rows).isEmpty():
+        return WHOLE_SERIES
     minute = 60_000
     per_minute = points.groupBy(F.col(by).alias("series_key"), (F.col("ts_ms") - F.pmod("ts_ms", F.lit(minute))).alias("m")).agg(
         F.count(F.lit(1)).alias("n")
@@ -102,8 +106,8 @@ def measure_grain(
     return Grain(listed[-1][1], listed[:-1])
 
 
-def add_cell(df: DataFrame, grain: Grain, by: str = "series_key") -> DataFrame:
-    """Add ``cell``, the start of the row's time cell, or ``WHOLE`` for an undivided series."""
+def add_cell(df: DataFrame, grain: Grain, by: str = "series_key", out: str = "cell") -> DataFrame:
+    """Add ``out``, the start of the row's time cell, or ``WHOLE`` for an undivided series."""
     default = F.lit(grain.default_ms).cast("bigint")
     if not grain.listed:
         step = default
@@ -113,7 +117,7 @@ def add_cell(df: DataFrame, grain: Grain, by: str = "series_key") -> DataFrame:
         df = df.join(F.broadcast(listed), by, "left")
         step = F.coalesce("grain_ms", default)
     cell = F.coalesce(F.col("ts_ms") - F.pmod(F.col("ts_ms"), step), F.lit(WHOLE))
-    return df.withColumn("cell", cell).drop("grain_ms")
+    return df.withColumn(out, cell).drop("grain_ms")
 
 
 def cell_window(keys: Sequence[str], order: Sequence[str | Column]) -> WindowSpec:

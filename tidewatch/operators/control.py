@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import (
@@ -15,10 +15,11 @@ from tidewatch.config import (
     Settings,
 )
 from tidewatch.operators.cells import WHOLE_SERIES, Grain, add_cell, neighbours, running
-from tidewatch.operators.joins import lookup
+from tidewatch.operators.joins import BROADCAST_ROWS, lookup
 from tidewatch.operators.levels import decode_levels, rules_literal
 
 _MESSAGE = "action string, hash string, UUID string, changedata string"
+FEW_CONTROLS = 64
 ACTIONS = (ACTION_DELETE_SERIES, ACTION_RESET_REGRESSION, ACTION_UPDATE_LEVELS)
 
 
@@ -60,33 +61,53 @@ def resolve_series(controls: DataFrame, catalog: DataFrame) -> DataFrame:
     return controls.where(F.col("action") != ACTION_UPDATE_LEVELS).join(names, "hash")
 
 
+def _few_per_key(controls: DataFrame, keys: Sequence[str]) -> bool:
+    """Counted: no key has more than a handful of controls, and the keys fit a broadcast."""
+    sizes = controls.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("keys")).first()
+    return found["keys"] <= BROADCAST_ROWS and (found["most"] or 0) <= FEW_CONTROLS
+
+
 def count_before(
     points: DataFrame,
     controls: DataFrame,
-    out: str,
+    counts: Mapping[str, Column],
     keys: Sequence[str] = ("series_key",),
     grain: Grain = WHOLE_SERIES,
+    few: bool | None = None,
 ) -> DataFrame:
-    """Add ``out``: how many control rows of the same key lie at or before each point.
+    """Add how many control rows of the same key lie at or before each point.
 
-    Points between two controls share a number, so it marks epochs: group ordered work by it and
-    the work starts afresh at every control.
+    ``counts`` maps a new column to the condition of the control rows it counts.  Points between two
+    controls share a number, so it marks epochs: group ordered work by it and the work starts afresh
+    at every control.
+
+    A few controls per key are sent along as a broadcast list; otherwise points and controls are
+    counted through in order.  ``few`` overrides the check.
     """
     keys = list(keys)
-    marks = controls.select(*keys, "ts_ms", "seq", F.lit(True).alias("_is_control"))
-    rows = points.withColumn("_is_control", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    flags = {f"_{out}": condition for out, condition in counts.items()}
+    marks = controls.select(*keys, "ts_ms", "seq", *[c.alias(name) for name, c in flags.items()])
+    if _few_per_key(controls, keys) if few is None else few:
+        # Bounded by the count just taken: FEW_CONTROLS entries in each of BROADCAST_ROWS rows.
+        lists = marks.groupBy(*keys).agg(*[F.collect_list(F.when(F.col(n), F.col("ts_ms"))).alias(n) for n in flags])
+        joined = points.join(F.broadcast(lists), keys, "left")
+        counted = {out: F.expr(f"coalesce(size(filter(_{out}, t -> t <= ts_ms)), 0)") for out in counts}
+        return joined.withColumns(counted).drop(*flags)
+    rows = points.withColumn("_is_control", F.lit(False)).unionByName(
+        marks.withColumn("_is_control", F.lit(True)), allowMissingColumns=True
+    )
     # At the same instant the control comes first.
     order = ["ts_ms", F.col("_is_control").desc(), "seq"]
-    placed = add_cell(rows, grain, by=keys[0])
-    counted = running(placed, keys, order, grain, {out: ("sum", F.col("_is_control").cast("int"))})
-    return counted.where(~F.col("_is_control")).withColumn(out, F.col(out).cast("int")).drop("_is_control", "cell")
+    sums = {out: ("sum", F.coalesce(F.col(f"_{out}").cast("int"), F.lit(0))) for out in counts}
+    counted = running(add_cell(rows, grain, by=keys[0]), keys, order, grain, sums).where(~F.col("_is_control"))
+    return counted.withColumns({out: F.col(out).cast("int") for out in counts}).drop("_is_control", *flags)
 
 
 def with_series_epochs(points: DataFrame, series_controls: DataFrame, grain: Grain = WHOLE_SERIES) -> DataFrame:
     """Add ``epoch`` (deletes so far) and ``fit_epoch`` (deletes and resets so far)."""
-    deletes = series_controls.where(F.col("action") == ACTION_DELETE_SERIES)
-    counted = count_before(points, deletes, "epoch", grain=grain)
-    return count_before(counted, series_controls, "fit_epoch", grain=grain)
+    counts = {"epoch": F.col("action") == ACTION_DELETE_SERIES, "fit_epoch": F.lit(True)}
+    return count_before(points, series_controls, counts, grain=grain)
 
 
 def level_versions(controls: DataFrame, grain: Grain = WHOLE_SERIES) -> DataFrame:
@@ -115,7 +136,10 @@ def attach_versioned_rules(
     ``grain`` divides tenants, not series: measure it with ``by="uuid"``.
     """
     updates = controls.where(F.col("action") == ACTION_UPDATE_LEVELS)
-    numbered = count_before(points, updates, "version", keys=("uuid",), grain=grain)
+    # A cell by series, if the points have one, is set aside for later.
+    kept = points.withColumnRenamed("cell", "_series_cell")
+    numbered = count_before(kept, updates, {"version": F.lit(True)}, ("uuid",), grain).drop("cell")
+    numbered = numbered.withColumnRenamed("_series_cell", "cell")
     versions = level_versions(controls, grain).select("uuid", "version", F.col("rules").alias("_updated"))
     known = lookup(numbered, versions, ["uuid", "version"])
     stored = lookup(known, rules, ["uuid"]) if rules is not None else known.withColumn("rules", F.lit(None))

@@ -53,7 +53,7 @@ def _attach_references(points: DataFrame, references: DataFrame, grain: Grain) -
     if not fine and default == HOUR_MS:
         return probes.join(references, ["series_key", "slot_ms"], "left").drop("slot_ms")
     split = Grain(default, fine)
-    probes = add_cell(probes, split).withColumnRenamed("cell", "part_ms")
+    probes = add_cell(probes, split, out="part_ms")
     if fine:
         listed = references.sparkSession.createDataFrame(list(fine), "series_key string, grain_ms bigint")
         references = references.join(F.broadcast(listed), "series_key", "left")

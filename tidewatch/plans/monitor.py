@@ -39,7 +39,7 @@ def point_levels(
         rows = attach_rules(rows, rules, settings)
     baseline = hourly_baseline(points) if baseline is None else baseline
     scored = score_points(rows, baseline, settings, grain)
-    return point_level(running_regression(scored, grain, fit_keys).drop("cell"))
+    return point_level(running_regression(scored, grain, fit_keys))
 
 
 def monitor(
@@ -59,7 +59,7 @@ def monitor(
     leveled = point_levels(points, baseline, rules, controls, series_controls, grain, tenant_grain, settings)
     keys = ["series_key"] if series_controls is None else ["series_key", "epoch"]
     # Python workers are handed every column there is, so keep to what an alert needs.
-    wanted = [*keys, "uuid", "ts_ms", "seq", "type", "reaction", "value", "weight", "level", "rules", "fit_epoch"]
+    wanted = [*keys, "cell", "uuid", "ts_ms", "seq", "type", "reaction", "value", "weight", "level", "rules", "fit_epoch"]
     samples = sampled(leveled).select(*[c for c in wanted if c in leveled.columns])
     if not grain.whole:
         # The state machine reads its input once for the cell borders and once for the cells.
