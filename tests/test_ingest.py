@@ -43,6 +43,8 @@ def test_bad_element_leaves_siblings(spark, element, reason):
         ('{"UUID":"u","tags":{"timestamp":1,"host":"h"},"data":{"vle_1":10.0}}', "not_array"),
         ("[{bad", "bad_json"),
         ("", "bad_json"),
+        ("[1] xyz", "bad_json"),
+        ("{'a':1}", "not_array"),
     ],
 )
 def test_bad_message(spark, message, reason):

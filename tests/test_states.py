@@ -9,7 +9,7 @@ from tidewatch.functions.packed import compose, identity_step, next_level, step_
 from tidewatch.operators.cells import Grain, WHOLE_SERIES
 from tidewatch.operators.control import count_before
 from tidewatch.operators.hysteresis import level_states, with_level_times
-from tidewatch.operators.regression import running_regression
+from tidewatch.operators.regression import regression_totals, running_regression
 from tidewatch.plans.monitor import monitor
 
 DEFAULT_RECS = sum(r << 4 * j for j, r in enumerate((3, 3, 3, 2, 2, 1)))
@@ -133,6 +133,18 @@ def test_regression_matches_direct_fit(spark, grain):
         assert got[i].predicted == pytest.approx(intercept + slope * xs[i], rel=1e-7)
 
 
+@pytest.mark.parametrize("grain", [WHOLE_SERIES, SMALL_CELLS])
+def test_regression_goes_on_from_stored_totals(spark, grain):
+    rows = [(START + 1500 + 7_300 * i, 50 + (i * 31) % 17, 0) for i in range(120)]
+    frame = points(spark, rows)
+    first, second = frame.where("seq < 70"), frame.where("seq >= 70")
+    whole = {r.seq: r.predicted for r in running_regression(frame).collect()}
+    resumed = running_regression(second, grain, earlier=regression_totals(first, ["series_key"])).collect()
+    assert len(resumed) == 50
+    for row in resumed:
+        assert row.predicted == pytest.approx(whole[row.seq], rel=1e-9)
+
+
 def test_points_of_one_second_give_no_fit(spark):
     rows = running_regression(points(spark, [(START, 1, 0), (START + 10, 9, 0)])).collect()
     assert [r.predict_pct for r in rows] == [0.0, 0.0]

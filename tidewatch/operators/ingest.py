@@ -26,18 +26,26 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     array yields one row with a NULL ``pos``.  Text is decoded twice, first into element texts, then
     each element by itself, so a bad element never costs its siblings.
     """
-    elements = messages.select(
-        "msg_id", "value", F.from_json("value", "array<string>", LENIENT).alias("_elements")
-    ).select("msg_id", "value", F.col("_elements").isNull().alias("_refused"), F.posexplode_outer("_elements").alias("pos", "_text"))
-    decoded = elements.where(F.col("_refused") | F.col("pos").isNotNull()).withColumn(
+    texts = F.from_json("value", "array<string>", LENIENT)
+    # The decoder stops at the closing bracket; whatever follows it makes the message unreadable.
+    elements = messages.select("msg_id", "value", F.when(F.rtrim("value").endswith("]"), texts).alias("_elements"))
+    # Only a refused message keeps its whole text; its elements must not carry copies of it.
+    exploded = elements.select(
+        "msg_id",
+        F.when(F.col("_elements").isNull(), F.coalesce("value", F.lit(""))).alias("_refused"),
+        F.posexplode_outer("_elements").alias("pos", "_text"),
+    )
+    decoded = exploded.where(F.col("_refused").isNotNull() | F.col("pos").isNotNull()).withColumn(
         "_e", F.from_json("_text", WIRE_ELEMENT, LENIENT)
     )
-    is_json = F.try_parse_json("value").isNotNull() | F.from_json("value", "map<string,string>", LENIENT).isNotNull()
+    is_array = F.ltrim("_refused").startswith("[")
+    is_json = F.try_parse_json("_refused").isNotNull() | F.from_json("_refused", "map<string,string>", LENIENT).isNotNull()
+    refusal = F.when(~is_array & is_json, F.lit("not_array")).otherwise(F.lit("bad_json"))
     fields = decoded.select(
         "msg_id",
         "pos",
-        F.when(F.col("_refused"), F.col("value")).otherwise(F.col("_text")).alias("raw"),
-        F.when(F.col("_refused"), F.when(is_json, F.lit("not_array")).otherwise(F.lit("bad_json")))
+        F.coalesce("_refused", "_text").alias("raw"),
+        F.when(F.col("_refused").isNotNull(), refusal)
         .when(F.col("_text").isNull() | ~F.ltrim("_text").startswith("{"), F.lit("bad_element"))
         .alias("_fault"),
         F.col("_e.metric").alias("name"),

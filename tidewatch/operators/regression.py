@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.numbers import percent_of
 from tidewatch.functions.time import epoch_seconds
 from tidewatch.operators.cells import WHOLE, WHOLE_SERIES, Grain, add_cell, cell_window
+from tidewatch.operators.joins import lookup
 
 _SUMS = ("n", "sx", "sy", "sxx", "sxy")
 
@@ -46,12 +47,16 @@ def regression_totals(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def running_regression(
-    points: DataFrame, grain: Grain = WHOLE_SERIES, keys: Sequence[str] = ("series_key",)
+    points: DataFrame,
+    grain: Grain = WHOLE_SERIES,
+    keys: Sequence[str] = ("series_key",),
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``slope``, ``predicted`` and ``predict_pct`` from the fit of all points so far.
 
     The current point takes part in the fit.  One point, or points of a single second, give no fit and
     a deviation of 0.  Sums are taken about the first second of the series to keep their digits.
+    ``earlier`` holds the stored totals of points that came before, to go on from.
     """
     keys = list(keys)
     order = ["ts_ms", "seq"]
@@ -62,7 +67,7 @@ def running_regression(
     placed = placed.withColumn("_start", start).withColumn("_x", (second - F.col("_start")).cast("double"))
     sums = placed.withColumns({f"w_{c}": e.over(running) for c, e in _moments().items()})
     if grain.whole:
-        sums = sums.withColumn("_at", F.col("_x"))
+        sums = sums.withColumn("_at", F.col("_x")).withColumn("_origin", F.col("_start"))
         total = {c: F.col(f"w_{c}") for c in _SUMS}
     else:
         cells = (
@@ -74,21 +79,28 @@ def running_regression(
         cells = cells.withColumn("_origin", F.min("_first").over(whole)).withColumn(
             "_d", (epoch_seconds(F.col("cell")) - F.col("_origin")).cast("double")
         )
-        earlier = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        before = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
         shifted = _shifted("c_", "_d")
-        carried = cells.select(*keys, "cell", "_d", *[F.sum(shifted[c]).over(earlier).alias(f"p_{c}") for c in _SUMS])
+        carried = cells.select(*keys, "cell", "_d", *[F.sum(shifted[c]).over(before).alias(f"p_{c}") for c in _SUMS])
         sums = sums.join(carried, [*keys, "cell"], "left").withColumn("_d", F.coalesce("_d", F.lit(0.0)))
         own = _shifted("w_", "_d")
         total = {c: own[c] + F.coalesce(f"p_{c}", F.lit(0.0)) for c in _SUMS}
-        sums = sums.withColumn("_at", F.col("_x") + F.col("_d"))
+        sums = sums.withColumn("_at", F.col("_x") + F.col("_d")).withColumn("_origin", F.col("_start") - F.col("_d"))
     sums = sums.withColumns({f"t_{c}": e for c, e in total.items()})
+    if earlier is not None:
+        stored = earlier.select(*keys, F.col("origin_s").alias("_from"), *[F.col(c).alias(f"o_{c}") for c in _SUMS])
+        sums = lookup(sums, stored, keys).withColumn(
+            "_gap", F.coalesce(F.col("_origin") - F.col("_from"), F.lit(0)).cast("double")
+        )
+        joined = {f"t_{c}": e + F.coalesce(f"o_{c}", F.lit(0.0)) for c, e in _shifted("t_", "_gap").items()}
+        sums = sums.withColumns({**joined, "_at": F.col("_at") + F.col("_gap")})
     n, sx, sy, sxx, sxy = (F.col(f"t_{c}") for c in _SUMS)
     spread = sxx - sx * sx / n
     slope = (sxy - sx * sy / n) / F.nullif(spread, F.lit(0.0))
     fitted = sums.withColumn("slope", slope).withColumn("predicted", sy / n + F.col("slope") * (F.col("_at") - sx / n))
     pct = F.coalesce(percent_of(F.col("value"), F.col("predicted")), F.lit(0.0))
     return fitted.withColumn("predict_pct", pct).drop(
-        "_start", "_x", "_at", "_d", *[p + c for p in ("w_", "p_", "t_") for c in _SUMS]
+        "_start", "_x", "_at", "_d", "_origin", "_from", "_gap", *[p + c for p in ("w_", "p_", "t_", "o_") for c in _SUMS]
     )
 
 

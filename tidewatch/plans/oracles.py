@@ -411,6 +411,9 @@ FROM missing LEFT JOIN base USING (series_key, slot_ms)""",
     + "SELECT series_key, seq, round(predicted, 4) + 0.0 AS predicted, round(predict_pct, 4) + 0.0 AS predict_pct FROM deviating",
     "regression_reset": _with(EV, PTS, _epochs(), _fit("epochs", "series_key, fit_epoch"))
     + "SELECT series_key, seq, fit_epoch, round(predict_pct, 4) + 0.0 AS predict_pct FROM deviating",
+    "regression_resume": _with(EV, PTS, _fit("pts", "series_key"))
+    + f"""SELECT series_key, seq, round(predicted, 4) + 0.0 AS predicted, round(predict_pct, 4) + 0.0 AS predict_pct
+FROM deviating WHERE ts_ms >= {CUT_MS}""",
     "regression_totals": _with(EV, PTS)
     + """SELECT series_key, count(*) AS n, round(regr_slope(value, x), 10) + 0.0 AS slope,
   round(regr_intercept(value, x), 6) + 0.0 AS intercept

@@ -13,6 +13,7 @@ from tidewatch.operators import absence, alerts, baseline, catalog, control, hys
 from tidewatch.operators.cells import measure_grain
 from tidewatch.operators.joins import lookup
 from tidewatch.plans.monitor import monitor, point_levels
+from tidewatch.session import cut_lineage
 from tidewatch.sources import clock, events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -260,10 +261,18 @@ def regression_predict(spark, folder):
     return _rounded(fitted.select("series_key", "seq", "predicted", "predict_pct"), ["predicted", "predict_pct"], 4)
 
 
+def _controls(spark, folder):
+    return control.good_controls(control.decode_control(events.control_messages(spark, folder)))
+
+
 def _series_controls(spark, folder):
-    decoded = control.good_controls(control.decode_control(events.control_messages(spark, folder)))
+    """Control messages, and those about series by name.
+
+    Both are small next to the points and read once per kind of action, so they are written out first.
+    """
+    decoded = cut_lineage(_controls(spark, folder))
     series = catalog.series_catalog(events.metric_points(spark, folder))
-    return decoded, control.resolve_series(decoded, series)
+    return decoded, cut_lineage(control.resolve_series(decoded, series))
 
 
 @query
@@ -275,6 +284,14 @@ def regression_reset(spark, folder):
     return _rounded(fitted.select("series_key", "seq", "fit_epoch", "predict_pct"), ["predict_pct"], 4)
 
 
+@query
+def regression_resume(spark, folder):
+    points, grain = _points_and_grain(spark, folder)
+    stored = regression.regression_totals(points.where(F.col("ts_ms") < CUT_MS), ["series_key"])
+    fitted = regression.running_regression(points.where(F.col("ts_ms") >= CUT_MS), grain, earlier=stored)
+    return _rounded(fitted.select("series_key", "seq", "predicted", "predict_pct"), ["predicted", "predict_pct"], 4)
+
+
 @query
 def regression_totals(spark, folder):
     totals = regression.regression_totals(events.metric_points(spark, folder), ["series_key"])
@@ -455,7 +472,7 @@ def control_asof_epochs(spark, folder):
 
 @query
 def levels_versioned(spark, folder):
-    decoded, _ = _series_controls(spark, folder)
+    decoded = _controls(spark, folder)
     rows = levels.rules_to_rows(control.level_versions(decoded))
     return rows.select("uuid", "version", "valid_from_ms", "valid_to_ms", "level", "min_weight", "min_pct", "rec_count")
 
@@ -463,7 +480,7 @@ def levels_versioned(spark, folder):
 @query
 def levels_asof(spark, folder):
     points = events.metric_points(spark, folder)
-    decoded, _ = _series_controls(spark, folder)
+    decoded = cut_lineage(_controls(spark, folder))
     ruled = control.attach_versioned_rules(points, decoded, grain=measure_grain(points, by="uuid"))
     top = F.element_at("rules", -1)
     return ruled.select("series_key", "seq", F.size("rules").alias("n_rules"), top["min_weight"].alias("top_min_weight"))
