@@ -72,18 +72,20 @@ def measure_grain(
     Counts are taken map-side; at most ``max_listed`` + 1 rows reach the driver.  Unless some series is
     longer than the target, a single count per series is all there is to it.
     """
-    lengths = points.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    if lengths.where(F.col("n") > target_rows).isEmpty():
-        return WHOLE_SERIES
     minute = 60_000
-    per_minute = points.groupBy(F.col(by).alias("series_key"), (F.col("ts_ms") - F.pmod("ts_ms", F.lit(minute))).alias("m")).agg(
-        F.count(F.lit(1)).alias("n")
+    lengths = points.groupBy(F.col(by).alias("series_key")).agg(F.count(F.lit(1)).alias("n"))
+    long_series = lengths.where(F.col("n") > target_rows).select("series_key")
+    if long_series.isEmpty():
+        return WHOLE_SERIES
+    placed = points.select(F.col(by).alias("series_key"), (F.col("ts_ms") - F.pmod("ts_ms", F.lit(minute))).alias("m"))
+    per_minute = (
+        placed.join(long_series, "series_key", "left_semi").groupBy("series_key", "m").agg(F.count(F.lit(1)).alias("n"))
     )
     per_hour = per_minute.groupBy("series_key", (F.col("m") - F.pmod("m", F.lit(HOUR_MS))).alias("h")).agg(
         F.sum("n").alias("n"), F.max("n").alias("peak")
     )
     per_series = per_hour.groupBy("series_key").agg(
-        F.sum("n").alias("total"), F.max("n").alias("hour"), F.max("peak").alias("minute")
+        F.max("n").alias("hour"), F.max("peak").alias("minute")
     )
     choice = None
     for step in reversed(LADDER_MS):
@@ -93,14 +95,13 @@ def measure_grain(
             rows = F.col("minute") * F.lit(step / minute)
         fits = (rows <= F.lit(target_rows)) | F.lit(step == LADDER_MS[-1])
         choice = F.when(fits, F.lit(step)) if choice is None else F.when(fits, F.lit(step)).otherwise(choice)
-    long_series = (
-        per_series.where(F.col("total") > target_rows)
-        .select("series_key", choice.alias("grain_ms"))
+    chosen = (
+        per_series.select("series_key", choice.alias("grain_ms"))
         .orderBy("grain_ms", "series_key")
         .limit(max_listed + 1)
         .collect()
     )
-    listed = tuple((r["series_key"], int(r["grain_ms"])) for r in long_series)
+    listed = tuple((r["series_key"], int(r["grain_ms"])) for r in chosen)
     if len(listed) <= max_listed:
         return Grain(None, listed)
     return Grain(listed[-1][1], listed[:-1])

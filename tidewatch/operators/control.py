@@ -16,7 +16,8 @@ from tidewatch.config import (
 )
 from tidewatch.operators.cells import WHOLE_SERIES, Grain, add_cell, neighbours, running
 from tidewatch.operators.joins import BROADCAST_ROWS, lookup
-from tidewatch.operators.levels import decode_levels, rules_literal
+from tidewatch.functions.packed import packed_recurrences
+from tidewatch.operators.levels import attach_rules, decode_levels
 
 _MESSAGE = "action string, hash string, UUID string, changedata string"
 FEW_CONTROLS = 64
@@ -124,24 +125,35 @@ def level_versions(controls: DataFrame, grain: Grain = WHOLE_SERIES) -> DataFram
     )
 
 
+def with_rule_versions(points: DataFrame, controls: DataFrame, grain: Grain = WHOLE_SERIES) -> DataFrame:
+    """Add ``version``, the number of updates to the tenant's rules up to each point.
+
+    ``grain`` divides tenants, not series: measure it with ``by="uuid"``.
+    """
+    updates = controls.where(F.col("action") == ACTION_UPDATE_LEVELS)
+    # A cell by series, if the points have one, is set aside for later.
+    kept = points.withColumnRenamed("cell", "_series_cell")
+    numbered = count_before(kept, updates, {"version": F.lit(True)}, ("uuid",), grain).drop("cell")
+    return numbered.withColumnRenamed("_series_cell", "cell")
+
+
 def attach_versioned_rules(
     points: DataFrame,
     controls: DataFrame,
     rules: DataFrame | None = None,
     grain: Grain = WHOLE_SERIES,
     settings: Settings = DEFAULTS,
+    n_levels: int = 6,
 ) -> DataFrame:
-    """Add the tenant's rules as they stood at each point's time.
+    """Add the tenant's ``rules`` and packed ``recurrences`` as they stood at each point's time.
 
-    ``grain`` divides tenants, not series: measure it with ``by="uuid"``.
+    Points that carry their ``version`` already are only looked up.
     """
-    updates = controls.where(F.col("action") == ACTION_UPDATE_LEVELS)
-    # A cell by series, if the points have one, is set aside for later.
-    kept = points.withColumnRenamed("cell", "_series_cell")
-    numbered = count_before(kept, updates, {"version": F.lit(True)}, ("uuid",), grain).drop("cell")
-    numbered = numbered.withColumnRenamed("_series_cell", "cell")
-    versions = level_versions(controls, grain).select("uuid", "version", F.col("rules").alias("_updated"))
-    known = lookup(numbered, versions, ["uuid", "version"])
-    stored = lookup(known, rules, ["uuid"]) if rules is not None else known.withColumn("rules", F.lit(None))
-    default = rules_literal(settings.default_levels)
-    return stored.withColumn("rules", F.coalesce("_updated", "rules", default)).drop("_updated", "version")
+    numbered = points if "version" in points.columns else with_rule_versions(points, controls, grain)
+    ruled = attach_rules(numbered, rules, settings, n_levels)
+    versions = level_versions(controls, grain).select(
+        "uuid", "version", F.col("rules").alias("_rules"), packed_recurrences("rules", n_levels).alias("_recurrences")
+    )
+    known = lookup(ruled, versions, ["uuid", "version"])
+    updated = {c: F.coalesce(f"_{c}", c) for c in ("rules", "recurrences")}
+    return known.withColumns(updated).drop("_rules", "_recurrences", "version")

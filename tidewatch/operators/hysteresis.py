@@ -100,7 +100,7 @@ def level_states(
     n_levels: int = 6,
     with_values: bool = False,
 ) -> DataFrame:
-    """Run the level state machine over sampled points that carry ``level``, ``weight`` and ``rules``.
+    """Run the level state machine over sampled points that carry ``level``, ``weight`` and ``recurrences`` (or ``rules``).
 
     Adds ``prev_level``, ``state_level``, ``state`` (the code of the transition) and ``emitted``.
 
@@ -111,7 +111,9 @@ def level_states(
     """
     keys = list(keys)
     windows = level_windows(levels, grain, keys, settings, n_levels, with_values)
-    windows = windows.withColumn("recurrences", packed_recurrences("rules", n_levels)).drop("rules")
+    if "recurrences" not in windows.columns:
+        windows = windows.withColumn("recurrences", packed_recurrences("rules", n_levels))
+    windows = windows.drop("rules")
     order = cell_window(keys, ORDER)
     # The window below clusters and sorts by series and cell; the workers read its output as it is.
     ready = windows.withColumn("_first", F.row_number().over(order) == 1)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.config import DEFAULTS, MAX_LEVELS, NO_LEVEL, LevelRule, Settings
+from tidewatch.functions.packed import packed_recurrences
 from tidewatch.operators.joins import lookup
 from tidewatch.schemas import LEVELS_JSON
 
@@ -61,12 +62,22 @@ def rows_to_rules(levels: DataFrame) -> DataFrame:
     return levels.groupBy("uuid").agg(F.array_sort(F.collect_list(rule)).cast(_RULE_TYPE).alias("rules"))
 
 
-def attach_rules(points: DataFrame, rules: DataFrame | None = None, settings: Settings = DEFAULTS) -> DataFrame:
-    """Add each point's tenant rules, the defaults for tenants without their own."""
-    default = rules_literal(settings.default_levels)
+def packed_literal(rules: tuple[LevelRule, ...], n_levels: int) -> Column:
+    """What ``packed_recurrences`` makes of the same rules, as a constant."""
+    counts = {r.level: min(max(r.rec_count, 0), 15) for r in rules}
+    return F.lit(sum(counts.get(j, 15) << 4 * j for j in range(n_levels))).cast("bigint")
+
+
+def attach_rules(
+    points: DataFrame, rules: DataFrame | None = None, settings: Settings = DEFAULTS, n_levels: int = 6
+) -> DataFrame:
+    """Add each point's tenant ``rules`` and packed ``recurrences``, the defaults for tenants without their own."""
+    default = rules_literal(settings.default_levels), packed_literal(settings.default_levels, n_levels)
     if rules is None:
-        return points.withColumn("rules", default)
-    return lookup(points, rules, ["uuid"]).withColumn("rules", F.coalesce("rules", default))
+        return points.withColumns({"rules": default[0], "recurrences": default[1]})
+    table = rules.select("uuid", "rules", packed_recurrences("rules", n_levels).alias("recurrences"))
+    found = lookup(points, table, ["uuid"])
+    return found.withColumns({c: F.coalesce(c, d) for c, d in zip(("rules", "recurrences"), default)})
 
 
 def point_level(points: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from tidewatch.config import DEFAULTS, Settings
 from tidewatch.operators.alerts import level_alerts
 from tidewatch.operators.baseline import hourly_baseline
 from tidewatch.operators.cells import WHOLE_SERIES, Grain
-from tidewatch.operators.control import attach_versioned_rules, with_series_epochs
+from tidewatch.operators.control import attach_versioned_rules, with_rule_versions, with_series_epochs
 from tidewatch.operators.hysteresis import level_states, sampled, with_level_times
 from tidewatch.operators.levels import attach_rules, point_level
 from tidewatch.operators.regression import running_regression
@@ -26,20 +26,24 @@ def point_levels(
     grain: Grain = WHOLE_SERIES,
     tenant_grain: Grain = WHOLE_SERIES,
     settings: Settings = DEFAULTS,
+    n_levels: int = 6,
 ) -> DataFrame:
-    """Points with weight, percent, predicted deviation, tenant rules and level."""
+    """Points with weight, percent, predicted deviation, level and the recurrences its tenant asks for."""
     fit_keys = ["series_key"]
     rows = points
     if series_controls is not None:
         rows = with_series_epochs(rows, series_controls, grain)
         fit_keys.append("fit_epoch")
     if controls is not None:
-        rows = attach_versioned_rules(rows, controls, rules, tenant_grain, settings)
-    else:
-        rows = attach_rules(rows, rules, settings)
+        rows = with_rule_versions(rows, controls, tenant_grain)
     baseline = hourly_baseline(points) if baseline is None else baseline
-    scored = score_points(rows, baseline, settings, grain)
-    return point_level(running_regression(scored, grain, fit_keys))
+    fitted = running_regression(score_points(rows, baseline, settings, grain), grain, fit_keys)
+    # Rules are wide: they join last, and only a number of theirs goes on to the next shuffle.
+    if controls is not None:
+        ruled = attach_versioned_rules(fitted, controls, rules, tenant_grain, settings, n_levels)
+    else:
+        ruled = attach_rules(fitted, rules, settings, n_levels)
+    return point_level(ruled).drop("rules")
 
 
 def monitor(
@@ -56,10 +60,10 @@ def monitor(
     with_times: bool = True,
 ) -> DataFrame:
     """Level states of all sampled points, with the times and values an alert reports."""
-    leveled = point_levels(points, baseline, rules, controls, series_controls, grain, tenant_grain, settings)
+    leveled = point_levels(points, baseline, rules, controls, series_controls, grain, tenant_grain, settings, n_levels)
     keys = ["series_key"] if series_controls is None else ["series_key", "epoch"]
     # Python workers are handed every column there is, so keep to what an alert needs.
-    wanted = [*keys, "cell", "uuid", "ts_ms", "seq", "type", "reaction", "value", "weight", "level", "rules", "fit_epoch"]
+    wanted = [*keys, "cell", "uuid", "ts_ms", "seq", "type", "reaction", "value", "weight", "level", "recurrences", "fit_epoch"]
     samples = sampled(leveled).select(*[c for c in wanted if c in leveled.columns])
     if not grain.whole:
         # The state machine reads its input once for the cell borders and once for the cells.
