@@ -8,7 +8,7 @@ from tidewatch.config import Settings
 from tidewatch.operators import absence, alerts, catalog, control, special
 from tidewatch.operators.cells import Grain, WHOLE_SERIES
 from tidewatch.operators.joins import lookup
-from tidewatch.operators.levels import attach_rules, decode_levels, point_level, tenant_rules
+from tidewatch.operators.levels import attach_rules, decode_levels, point_level, rows_to_rules, rules_to_rows, tenant_rules
 
 MIN = 60_000
 SPECIAL = "series_key string, ts_ms bigint, seq bigint, status string, reaction int, uuid string, type int, value double, message string"
@@ -86,12 +86,19 @@ def test_latest_and_ties(spark):
     assert catalog.deduplicate_points(frame).count() == 3
 
 
-@pytest.mark.parametrize("max_rows", [0, 100])
-def test_lookup_is_the_same_broadcast_or_salted(spark, max_rows):
-    frame = points(spark, [(START + i, i, 0) for i in range(200)])
-    table = spark.createDataFrame([("s", 7)], "series_key string, extra int")
-    rows = lookup(frame, table, ["series_key"], max_rows).collect()
-    assert len(rows) == 200 and {r.extra for r in rows} == {7}
+@pytest.mark.parametrize("max_rows, target_rows", [(100, 1000), (0, 1000), (0, 30)])
+def test_lookup_is_the_same_broadcast_or_divided(spark, max_rows, target_rows):
+    hot = points(spark, [(START + i, i, 0) for i in range(200)])
+    rest = points(spark, [(START, 1, 0)], key="cold").unionByName(points(spark, [(START, 1, 0)], key="unknown"))
+    table = spark.createDataFrame([("s", 7), ("cold", 8)], "series_key string, extra int")
+    rows = lookup(hot.unionByName(rest), table, ["series_key"], max_rows, target_rows).collect()
+    assert sorted((r.series_key, r.extra or 0) for r in rows) == [("cold", 8)] + [("s", 7)] * 200 + [("unknown", 0)]
+
+
+def test_level_rows_and_rules_are_two_forms(spark):
+    rules = tenant_rules(spark.createDataFrame([("a", '{"1":{"min_weight":3,"rec_count":2}}'), ("b", "")], "uuid string, AL string"))
+    again = rows_to_rules(rules_to_rows(rules))
+    assert sorted(map(str, again.collect())) == sorted(map(str, rules.collect()))
 
 
 def test_levels_json(spark):
