@@ -59,7 +59,10 @@ def monitor(
     with_values: bool = True,
     with_times: bool = True,
 ) -> DataFrame:
-    """Level states of all sampled points, with the times and values an alert reports."""
+    """Level states of all sampled points, with the times and values an alert reports.
+
+    States range over levels 0 to ``n_levels`` - 1; raise it, up to 14, where tenants define more.
+    """
     leveled = point_levels(points, baseline, rules, controls, series_controls, grain, tenant_grain, settings, n_levels)
     keys = ["series_key"] if series_controls is None else ["series_key", "epoch"]
     # Python workers are handed every column there is, so keep to what an alert needs.

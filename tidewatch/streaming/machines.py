@@ -103,8 +103,8 @@ class LevelMachine:
         counts = sum(((1 << 4 * (s[0] + 1)) - 1) // 15 for s in self.samples)
         needed = sum(15 << 4 * j for j in range(self.n_levels))
         for rule in rules:
-            count = min(max(rule["rec_count"], 0), 15)
-            needed += (count - 15) << 4 * rule["level"]
+            if rule["level"] < self.n_levels:
+                needed += (min(max(rule["rec_count"], 0), 15) - 15) << 4 * rule["level"]
         before = self.level
         after = next_level(counts, level, needed, before, self.n_levels, len(self.samples))
         if counts:
