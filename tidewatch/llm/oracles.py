@@ -1,6 +1,10 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLES = {
+    "op6_warc_fixity": """
+        WITH fates AS (SELECT page_id, substr(md5(coalesce(url, '')), 1, 2) AS fate FROM pages)
+        SELECT page_id, CASE WHEN fate IN ('00', '01') THEN 'changed' ELSE 'missing' END AS fault
+        FROM fates WHERE fate IN ('00', '01', '02', '03')""",
     "op7_exact_dedup": r"""
         WITH texts AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,

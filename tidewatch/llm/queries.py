@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tidewatch.llm import decontamination, exact_dedup, line_templates, sentencepieces, simhash, toxicity
-from tidewatch.llm.common import table
+from pyspark.sql import functions as F
+
+from tidewatch.llm import (
+    decontamination,
+    exact_dedup,
+    fixity,
+    html_extract,
+    licenses,
+    line_templates,
+    sentencepieces,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
+from tidewatch.llm.common import stored, table
 from tidewatch.llm.oracles import ORACLES
 from tidewatch.session import prepare
 
@@ -40,11 +52,39 @@ def op1_benchmark_decontamination(spark, folder):
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op2_html_extraction(spark, folder):
+    return html_extract.main_text(table(spark, folder, "pages"))
+
+
 @query
 def op3_toxicity(spark, folder):
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op4_license_scan(spark, folder):
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
+@query
+def op5_suffix_array_dedup(spark, folder):
+    return substring_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op6_warc_fixity(spark, folder):
+    """All pages as WARC files, and a replica of them of which some records are damaged or lost, told by their URL."""
+    record = fixity.warc_record(F.col("url"), F.col("html"))
+    fate = F.substring(F.md5(F.coalesce("url", F.lit("")).cast("binary")), 1, 2).alias("fate")
+    damaged = F.when(F.col("fate").isin("00", "01"), F.sha2(F.concat("digest", F.lit("damaged")), 256)).otherwise(F.col("digest"))
+    pages = table(spark, folder, "pages").select("page_id", fate, record.alias("record"))
+    index = stored(fixity.record_index(pages, F.col("record"), "page_id", "fate"))
+    replica = index.where(~F.col("fate").isin("02", "03")).withColumn("digest", damaged)
+    found = fixity.fixity_audit(index.select("file", "offset", "digest"), replica.select("file", "offset", "digest"))
+    return found.join(index, ["file", "offset"]).select("page_id", "fault")
+
+
 @query
 def op7_exact_dedup(spark, folder):
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))

@@ -230,9 +230,14 @@ def fitted(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH, max_char
     return train([r.text for r in rows], [r.toxic for r in rows])
 
 
+def _shared(docs: DataFrame, model: Classifier):
+    # Plain values, so that workers need no copy of this package to read them; their size is fixed by BUCKETS.
+    return docs.sparkSession.sparkContext.broadcast((model.bucket_weights, model.bias))
+
+
 def _scored(shared):
     def run(batches):
-        model = shared.value
+        model = Classifier(*shared.value)
         weights = _WordWeights(model)
         for batch in batches:
             at = batch.schema.get_field_index("text")
@@ -251,7 +256,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, m
     held out.  Without labels of both kinds every score is the share of label 1.  Repeated rows get equal scores;
     an empty table gives no rows.  Only text and doc_id are read, and doc_id decides nothing but held_out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model or fitted(docs, labels))
+    shared = _shared(docs, model or fitted(docs, labels))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = rows.mapInArrow(_scored(shared), "doc_id bigint, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -259,11 +264,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, m
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score stays under ``threshold``, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels))
+    shared = _shared(docs, fitted(docs, labels))
 
     @F.pandas_udf("double")
     def scores(texts):
-        weights = _WordWeights(shared.value)
-        return texts.map(lambda t: score(t if isinstance(t, str) else "", shared.value, weights)).astype("float64")
+        model = Classifier(*shared.value)
+        weights = _WordWeights(model)
+        return texts.map(lambda t: score(t if isinstance(t, str) else "", model, weights)).astype("float64")
 
     return docs.where(scores(F.col("text").cast("string")) < threshold)
