@@ -139,11 +139,12 @@ def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(rows, values[:, k], size) for k in range(values.shape[1])], axis=1)
 
 
-def train(texts: list[str | None], labels: list[int], rounds: int = 3, epochs: int = 3, seed: int = 7) -> Classifier:
+def train(texts: list[str | None], labels: list[int], rounds: int = 3, epochs: int = 3, steps: int = 120, seed: int = 7) -> Classifier:
     """Joint training of n-gram vectors and softmax by Adagrad; both labels weigh the same.
 
     In the first round every window has its document's label.  After each round the windows that speak for toxic
-    documents are chosen anew: those over one half, so that wrong labels lose their say.
+    documents are chosen anew: those over one half, so that wrong labels lose their say.  A round has ``epochs`` passes
+    over the windows, and of a small sample as many as make ``steps`` steps.
     """
     rng = np.random.default_rng(seed)
     bags = _Bags(texts)
@@ -160,8 +161,9 @@ def train(texts: list[str | None], labels: list[int], rounds: int = 3, epochs: i
     for _ in range(rounds if len(set(wanted.tolist())) == 2 else 0):
         share = np.array([(wanted[active] == k).sum() for k in (0, 1)])
         weight = len(wanted[active]) / (2 * share)
-        for _ in range(epochs):
-            for chosen in np.array_split(rng.permutation(np.flatnonzero(active)), max(1, active.sum() // 512)):
+        parts = max(1, int(active.sum()) // 512, min(8, int(active.sum()) // 64))
+        for _ in range(max(epochs, -(-steps // parts))):
+            for chosen in np.array_split(rng.permutation(np.flatnonzero(active)), parts):
                 words, row, window, part = bags.batch(chosen)
                 if not len(words):
                     continue
