@@ -15,4 +15,42 @@ ORACLES = {
             FROM texts GROUP BY digest)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, digest AS text_sha256
         FROM texts JOIN best USING (digest)""",
+    "op9_line_dedup": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS uid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        lines AS (
+            SELECT uid, doc_id, len(lines) AS n, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM texts),
+        masked AS (
+            SELECT *, regexp_replace(
+                trim(regexp_replace(line, '[\x09\x0B\x0C\x0D ]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m
+            FROM lines),
+        once AS (
+            SELECT DISTINCT uid, n % 64 AS layout, m FROM masked WHERE regexp_replace(m, '<\*>|[^\p{L}]', '', 'g') <> ''),
+        exact AS (
+            SELECT m FROM once GROUP BY m
+            HAVING count(*) >= 3 AND count(DISTINCT layout) >= least(greatest(ceil(count(*) / 10.0), 3), 16)),
+        leaved AS (
+            SELECT uid, layout, m, string_split(m, ' ') AS t, [len(t)::VARCHAR] || t[1:4] AS leaf FROM once WHERE len(t) >= 8),
+        leaves AS (
+            SELECT leaf FROM leaved GROUP BY leaf
+            HAVING count(*) >= 3 AND count(DISTINCT layout) >= least(greatest(ceil(count(*) / 10.0), 3), 16)),
+        placed AS (
+            SELECT leaf, m, unnest(t) AS token, generate_subscripts(t, 1) AS pos
+            FROM (SELECT DISTINCT leaf, m, t FROM leaved SEMI JOIN leaves USING (leaf))),
+        shared AS (
+            SELECT leaf, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM leaved SEMI JOIN leaves USING (leaf)),
+        constant AS (
+            SELECT leaf, pos, token FROM shared WHERE token <> '<*>' GROUP BY ALL HAVING count(*) >= 3),
+        general AS (
+            SELECT p.leaf, p.m, list((p.pos, p.token) ORDER BY p.pos) FILTER (c.token IS NOT NULL) AS fields
+            FROM placed p LEFT JOIN constant c ON p.leaf = c.leaf AND p.pos = c.pos AND p.token = c.token
+            GROUP BY p.leaf, p.m HAVING avg((c.token IS NOT NULL)::INT) >= 0.8),
+        again AS (
+            SELECT g.leaf, g.fields FROM general g JOIN once USING (m) GROUP BY g.leaf, g.fields
+            HAVING count(*) >= 3 AND count(DISTINCT layout) >= least(greatest(ceil(count(*) / 10.0), 3), 16)),
+        dropped AS (
+            SELECT m FROM exact UNION SELECT m FROM general SEMI JOIN again USING (leaf, fields))
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(d.m) AS n_dropped,
+               coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (d.m IS NULL), '') AS text
+        FROM masked LEFT JOIN dropped d USING (m) GROUP BY uid""",
 }
