@@ -5,30 +5,26 @@ from hypothesis import given, settings as hyp, strategies as st
 from pyspark.sql import functions as F
 
 from helpers import START, brute_states, level_samples, points
-from tidewatch.functions.packed import compose, identity_step, next_level, step_of
+from tidewatch.functions.steps import compose, identity_step, next_level, step_of
+from tidewatch.config import DEFAULTS, LevelRule
 from tidewatch.operators.cells import Grain, WHOLE_SERIES
 from tidewatch.operators.control import count_before
 from tidewatch.operators.hysteresis import level_states, with_level_times
+from tidewatch.operators.levels import levels_in_use, rules_literal, tenant_dead_letters, tenant_rules
 from tidewatch.operators.regression import regression_totals, running_regression
 from tidewatch.plans.monitor import monitor
 
-DEFAULT_RECS = sum(r << 4 * j for j, r in enumerate((3, 3, 3, 2, 2, 1)))
+DEFAULT_RECS = dict(enumerate((3, 3, 3, 2, 2, 1)))
+LEVELS = tuple(range(6))
 SMALL_CELLS = Grain(None, (("s", 5 * 60_000),))
 
-steps = st.builds(
-    step_of,
-    st.lists(st.integers(-1, 5), min_size=1, max_size=15).map(lambda x: sum(((1 << 4 * (v + 1)) - 1) // 15 for v in x)),
-    st.integers(-1, 5),
-    st.just(DEFAULT_RECS),
-    st.just(6),
-    st.just(15),
-)
+steps = st.lists(st.integers(-1, 5), min_size=1, max_size=15).map(lambda x: step_of(x, x[-1], DEFAULT_RECS, LEVELS))
 
 
 @given(steps, steps, steps)
 def test_composition_is_associative(a, b, c):
-    assert compose(compose(a, b, 6), c, 6) == compose(a, compose(b, c, 6), 6)
-    assert compose(identity_step(6), a, 6) == a == compose(a, identity_step(6), 6)
+    assert compose(compose(a, b), c) == compose(a, compose(b, c))
+    assert compose(identity_step(LEVELS), a) == a == compose(a, identity_step(LEVELS))
 
 
 @hyp(max_examples=200)
@@ -37,9 +33,8 @@ def test_step_function_matches_lists(levels):
     state, window, got = -1, [], []
     for level in levels:
         window = [*window, level][-15:]
-        counts = sum(((1 << 4 * (v + 1)) - 1) // 15 for v in window)
-        after = next_level(counts, level, DEFAULT_RECS, state, 6, len(window))
-        got.append((state, after, counts > 0 or state != -1))
+        after = next_level(window, level, DEFAULT_RECS, state)
+        got.append((state, after, max(window) > -1 or state != -1))
         state = after
     assert got == brute_states(levels)
 
@@ -103,6 +98,52 @@ def test_partition_count_changes_nothing(spark, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+HIGH = tuple(LevelRule(level, 1.0, 0.0, 0.0, 0.0, count) for level, count in ((7, 3), (12, 2), (20, 1), (41, 0)))
+
+
+@pytest.mark.parametrize("grain", [WHOLE_SERIES, SMALL_CELLS])
+def test_high_levels_are_entered_and_left(spark, grain):
+    rng = random.Random(13)
+    samples = [rng.choice([-1, -1, 7, 12, 20, 41]) for _ in range(300)] + [-1] * 40
+    frame = level_samples(spark, samples).withColumn("rules", rules_literal(HIGH))
+    states = level_states(frame, grain, levels_used=[7, 12, 20, 41]).orderBy("seq").collect()
+    expected, state, window = [], -1, []
+    for sample in samples:
+        window = [*window, sample][-15:]
+        before, state = state, next_level(window, sample, {r.level: r.rec_count for r in HIGH}, state)
+        expected.append((before, state))
+    assert [(r.prev_level, r.state_level) for r in states] == expected
+    assert {7, 12, 20, 41} <= {r.state_level for r in states}
+
+
+def test_many_levels(spark):
+    rules = tuple(LevelRule(level, 1.0, 0.0, 0.0, 0.0, 0) for level in range(0, 2000, 3))
+    frame = level_samples(spark, [999, 1998, 3, 999]).withColumn("rules", rules_literal(rules))
+    states = level_states(frame, levels_used=[r.level for r in rules]).orderBy("seq").collect()
+    # The second 999 reaches as far down as the one sample beyond those that hold the state.
+    assert [r.state_level for r in states] == [999, 1998, 999, 3]
+
+
+def test_undivided_states_need_no_shuffle_after_the_workers(spark):
+    plan = level_states(level_samples(spark, [1, 2, 3]))._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("ArrowEvalPython")]
+    assert "Exchange" not in above and "Sort" not in above and "values" not in above
+
+
+def test_levels_in_use_come_from_all_rules(spark):
+    table = spark.createDataFrame([("a",)], "uuid string").withColumn("rules", rules_literal(HIGH))
+    assert levels_in_use(DEFAULTS, table, None) == (0, 1, 2, 3, 4, 5, 7, 12, 20, 41)
+
+
+def test_tenant_levels_that_are_none_are_refused(spark):
+    texts = ['{"3":{},"14":{},"20":{}}', "{}", None, '{"-1":{}}', '{"x":{},"2":{}}', "[bad"]
+    users = spark.createDataFrame(list(enumerate(texts)), "uuid int, AL string").withColumn("uuid", F.col("uuid").cast("string"))
+    rules = {r.uuid: [x.level for x in r.rules] for r in tenant_rules(users).collect()}
+    assert rules["0"] == [3, 14, 20]
+    assert all(rules[u] == [0, 1, 2, 3, 4, 5] for u in "12345")
+    assert sorted(map(tuple, tenant_dead_letters(users).collect())) == [("3", "bad_level"), ("4", "bad_level"), ("5", "bad_levels")]
+
+
 def test_one_end_per_alert(spark):
     rng = random.Random(11)
     levels = [rng.choice([-1] * 6 + [0, 3, 5]) for _ in range(600)]

@@ -152,13 +152,14 @@ def test_silence_fires_by_watermark_alone(spark, tmp_path):
     assert [(r.kind, r.event_ms, r.last_seen_ms) for r in found] == [("absent", start + 4 * 60_000, start)]
 
 
-def test_rules_above_the_known_levels_do_no_harm():
+def test_high_levels_in_the_streaming_machine():
     from tidewatch.streaming.machines import LevelMachine
 
-    rule = lambda level: {"level": level, "min_weight": 1, "min_pct": 0, "min_value": 0, "min_predict_pct": 0, "rec_count": 1}
-    machine = LevelMachine(15, 6)
-    found = [machine.point(60_000 * i, 5.0, 0, 4, 10.0, [rule(2), rule(9)]) for i in range(3)]
-    assert [f["state_level"] for f in found] == [-1, 2, 2]
+    rule = lambda level: {"level": level, "min_weight": level, "min_pct": 0, "min_value": 0, "min_predict_pct": 0, "rec_count": 1}
+    machine = LevelMachine(15)
+    found = [machine.point(60_000 * i, 5.0, 0, w, 10.0, [rule(2), rule(9), rule(20)]) for i, w in enumerate([4, 9, 9, 30, 30])]
+    assert [f["state_level"] for f in found] == [-1, 2, 9, 9, 20]
+    assert set(machine.starts) == {"2", "9", "20"}
 
 
 def test_sinks_can_be_repeated(spark, folder, tmp_path):

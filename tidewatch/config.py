@@ -35,8 +35,8 @@ HEARTBEAT_NAME = "host_alive"
 ABSENCE_NAME = "host_absent"
 MAIN_TOPIC = "errors"
 
-# Counts are packed four bits each into one BIGINT next to the level itself.
-MAX_LEVELS = 14
+# Different levels over all rules in use; more are refused openly.
+MAX_LEVELS = 10_000
 
 
 @dataclass(frozen=True)

@@ -16,8 +16,8 @@ from tidewatch.config import (
 )
 from tidewatch.operators.cells import WHOLE_SERIES, Grain, add_cell, neighbours, running
 from tidewatch.operators.joins import BROADCAST_ROWS, lookup
-from tidewatch.functions.packed import packed_recurrences
-from tidewatch.operators.levels import attach_rules, decode_levels
+from tidewatch.functions.steps import recurrence_text
+from tidewatch.operators.levels import attach_rules, decode_levels, names_no_level
 
 _MESSAGE = "action string, hash string, UUID string, changedata string"
 FEW_CONTROLS = 64
@@ -43,6 +43,7 @@ def decode_control(messages: DataFrame) -> DataFrame:
     reason = (
         F.when(per_series & F.col("hash").isNull(), F.lit("missing_hash"))
         .when(~per_series & F.col("uuid").isNull(), F.lit("missing_uuid"))
+        .when(~per_series & names_no_level(F.col("changedata")), F.lit("bad_level"))
         .when(~per_series & F.col("rules").isNull(), F.lit("bad_changedata"))
     )
     return known.withColumn("reason", reason)
@@ -143,16 +144,15 @@ def attach_versioned_rules(
     rules: DataFrame | None = None,
     grain: Grain = WHOLE_SERIES,
     settings: Settings = DEFAULTS,
-    n_levels: int = 6,
 ) -> DataFrame:
-    """Add the tenant's ``rules`` and packed ``recurrences`` as they stood at each point's time.
+    """Add the tenant's ``rules`` and their ``recurrences`` as they stood at each point's time.
 
     Points that carry their ``version`` already are only looked up.
     """
     numbered = points if "version" in points.columns else with_rule_versions(points, controls, grain)
-    ruled = attach_rules(numbered, rules, settings, n_levels)
+    ruled = attach_rules(numbered, rules, settings)
     versions = level_versions(controls, grain).select(
-        "uuid", "version", F.col("rules").alias("_rules"), packed_recurrences("rules", n_levels).alias("_recurrences")
+        "uuid", "version", F.col("rules").alias("_rules"), recurrence_text(F.col("rules")).alias("_recurrences")
     )
     known = lookup(ruled, versions, ["uuid", "version"])
     updated = {c: F.coalesce(f"_{c}", c) for c in ("rules", "recurrences")}

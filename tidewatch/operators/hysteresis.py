@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from tidewatch.config import (
     DEFAULTS,
-    MAX_LEVELS,
     NO_LEVEL,
     REACTION_MUTED,
     STATE_CHANGE,
@@ -19,15 +18,9 @@ from tidewatch.config import (
     STATE_START,
     Settings,
 )
-from tidewatch.functions.packed import (
-    digit,
-    identity_step,
-    packed_recurrences,
-    reached_levels,
-    samples_so_far,
-    steps_so_far,
-)
+from tidewatch.functions.steps import FIRST_PLACE, identity_step, level_after, recurrence_text, samples_so_far, steps_so_far
 from tidewatch.operators.cells import WHOLE, WHOLE_SERIES, Grain, add_cell, cell_window, running, with_lookback
+from tidewatch.operators.levels import levels_in_use
 from tidewatch.session import cut_lineage
 
 ORDER = ("ts_ms", "seq")
@@ -53,17 +46,16 @@ def level_windows(
     grain: Grain = WHOLE_SERIES,
     keys: Sequence[str] = ("series_key",),
     settings: Settings = DEFAULTS,
-    n_levels: int = 6,
     with_values: bool = False,
 ) -> DataFrame:
     """Add what the last samples up to this one say.
 
-    ``counts`` packs, per level, how many samples reach it; ``window_max`` is the highest level among
-    them, ``n_samples`` their number and ``upstate`` the direction to report if there is an event.
+    ``samples`` lists their levels from the lowest up; ``window_max`` is the highest of them, ``n_samples`` their
+    number and ``upstate`` the direction to report if there is an event.
     """
     size = settings.window_samples
-    if not 1 <= size <= 15 or not 1 <= n_levels <= MAX_LEVELS:
-        raise ValueError("a window holds 1 to 15 samples and 1 to 14 levels")
+    if size < 1:
+        raise ValueError("a window holds at least one sample")
     keys = list(keys)
     placed = levels if "cell" in levels.columns else add_cell(levels, grain)
     carried = ["level", "weight", *(["value"] if with_values else [])]
@@ -71,7 +63,7 @@ def level_windows(
     order = cell_window(keys, ORDER)
     frame = order.rowsBetween(-(size - 1), Window.currentRow)
     columns = {
-        "counts": F.sum(reached_levels("level")).over(frame),
+        "samples": F.sort_array(F.collect_list("level").over(frame)),
         "window_max": F.max("level").over(frame),
         "n_samples": F.count("level").over(frame).cast("int"),
         "_up_before": F.lag(F.col("weight") > 0).over(order),
@@ -87,9 +79,9 @@ def level_windows(
     )
 
 
-def level_counts(windows: DataFrame, n_levels: int = 6) -> DataFrame:
-    """The packed counts as one column per level."""
-    return windows.withColumns({f"cnt_{j}": digit("counts", j) for j in range(n_levels)})
+def level_counts(windows: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """How many samples of the window reach each level, one column per level."""
+    return windows.withColumns({f"cnt_{j}": F.size(F.filter("samples", lambda s, j=j: s >= j)) for j in levels})
 
 
 def level_states(
@@ -97,12 +89,13 @@ def level_states(
     grain: Grain = WHOLE_SERIES,
     keys: Sequence[str] = ("series_key",),
     settings: Settings = DEFAULTS,
-    n_levels: int = 6,
+    levels_used: Sequence[int] | None = None,
     with_values: bool = False,
 ) -> DataFrame:
     """Run the level state machine over sampled points that carry ``level``, ``weight`` and ``recurrences`` (or ``rules``).
 
-    Adds ``prev_level``, ``state_level``, ``state`` (the code of the transition) and ``emitted``.
+    Adds ``prev_level``, ``state_level``, ``state`` (the code of the transition) and ``emitted``.  ``levels_used`` are
+    all levels that the rules can name, those of the default rules unless given.
 
     Each sample is a step from every possible level to a next one.  Workers compose the steps within
     a cell; the steps of whole cells are composed per series to find the level each cell starts
@@ -110,30 +103,30 @@ def level_states(
     evaluated in parallel.
     """
     keys = list(keys)
-    windows = level_windows(levels, grain, keys, settings, n_levels, with_values)
+    used = levels_in_use(settings) if levels_used is None else tuple(sorted(levels_used))
+    windows = level_windows(levels, grain, keys, settings, with_values)
     if "recurrences" not in windows.columns:
-        windows = windows.withColumn("recurrences", packed_recurrences("rules", n_levels))
+        windows = windows.withColumn("recurrences", recurrence_text(F.col("rules")))
     windows = windows.drop("rules")
-    order = cell_window(keys, ORDER)
-    # The window below clusters and sorts by series and cell; the workers read its output as it is.
-    ready = windows.withColumn("_first", F.row_number().over(order) == 1)
-    schema = T.StructType([*ready.schema.fields, T.StructField("_step", T.LongType())])
-    stepped = ready.mapInArrow(samples_so_far(n_levels, "_first", "_step"), schema)
-    quiet_start = F.lit(NO_LEVEL)
+    # The window clusters and sorts by series and cell; the workers read its output as it is, and of its columns
+    # only those that a step depends on.
+    text = F.array_join(F.col("samples").cast("array<string>"), ",")
+    ready = windows.withColumns({"_first": F.row_number().over(cell_window(keys, ORDER)) == 1, "_text": text})
+    steps = samples_so_far(used)("_text", "level", "recurrences", "_first")
+    stepped = ready.withColumn("_steps", steps).drop("_text", "samples")
     if grain.whole:
-        started = stepped.withColumn("_start", quiet_start)
+        started = stepped.withColumn("_start", F.lit(0))
     else:
         # Read twice below, so not to be computed twice.
         stepped = cut_lineage(stepped)
-        started = stepped.join(_cell_starts(stepped, keys, n_levels), [*keys, "cell"], "left").withColumn(
-            "_start", F.coalesce("_start", quiet_start)
+        started = stepped.join(_cell_starts(stepped, keys, used), [*keys, "cell"], "left").withColumn(
+            "_start", F.coalesce("_start", F.lit(0))
         )
-    before = F.when(F.col("_first"), F.lit(None).cast("bigint")).otherwise(F.lag("_step").over(order))
-    # The level before the first sample of a cell is the level the cell starts from.
-    states = started.withColumn("_before", before).withColumns(
+    # The step before the first sample of a cell leaves the level that the cell starts from as it is.
+    states = started.withColumns(
         {
-            "prev_level": F.when(F.col("_before").isNull(), F.col("_start")).otherwise(_apply("_before")),
-            "state_level": _apply("_step"),
+            "prev_level": level_after("_steps.before", F.col("_start"), used),
+            "state_level": level_after("_steps.after", F.col("_start"), used),
         }
     )
     return states.withColumns(
@@ -141,46 +134,42 @@ def level_states(
             "state": state_code(F.col("prev_level"), F.col("state_level")),
             "emitted": (F.col("window_max") > NO_LEVEL) | (F.col("prev_level") != NO_LEVEL),
         }
-    ).withColumn("upstate", F.col("emitted") & F.col("upstate")).drop("_first", "_step", "_start", "_before", "recurrences")
-
-
-def _apply(step: str) -> Column:
-    return digit(step, "_start + 1") - 1
+    ).withColumn("upstate", F.col("emitted") & F.col("upstate")).drop("_first", "_steps", "_start", "recurrences")
 
 
-def _cell_starts(stepped: DataFrame, keys: list[str], n_levels: int) -> DataFrame:
-    """The level each cell of a divided series starts from."""
+def _cell_starts(stepped: DataFrame, keys: list[str], used: Sequence[int]) -> DataFrame:
+    """The place each cell of a divided series starts from."""
     steps = (
         stepped.where(F.col("cell") != F.lit(WHOLE))
         .groupBy(*keys, "cell")
-        .agg(F.max_by("_step", F.struct(*ORDER)).alias("_cell_step"))
+        .agg(F.max_by("_steps.after", F.struct(*ORDER)).alias("_cell_step"))
     )
     along = Window.partitionBy(*keys).orderBy("cell")
     steps = steps.withColumns(
         {
-            "_entry": F.coalesce(F.lag("_cell_step").over(along), F.lit(identity_step(n_levels))),
+            "_entry": F.coalesce(F.lag("_cell_step").over(along), F.lit(identity_step(used))),
             "_first_cell": F.row_number().over(along) == 1,
         }
     ).drop("_cell_step")
-    schema = T.StructType([*steps.schema.fields, T.StructField("_so_far", T.LongType())])
-    composed = steps.mapInArrow(steps_so_far(n_levels, "_entry", "_first_cell", "_so_far"), schema)
+    schema = T.StructType([*steps.schema.fields, T.StructField("_so_far", T.StringType())])
+    composed = steps.mapInArrow(steps_so_far(used, "_entry", "_first_cell", "_so_far"), schema)
     # Every series starts without a level, at place 0.
-    return composed.select(*keys, "cell", (digit("_so_far", 0) - 1).alias("_start"))
+    return composed.select(*keys, "cell", (F.ascii("_so_far") - FIRST_PLACE).alias("_start"))
 
 
 def with_level_times(
-    states: DataFrame, grain: Grain = WHOLE_SERIES, keys: Sequence[str] = ("series_key",), n_levels: int = 6
+    states: DataFrame, grain: Grain = WHOLE_SERIES, keys: Sequence[str] = ("series_key",), levels_used: Sequence[int] | None = None
 ) -> DataFrame:
-    """Add ``starttimes`` and ``endtimes``: when each level was last entered and last left."""
-    folds = {}
-    for level in range(n_levels):
+    """Add ``starttimes`` and ``endtimes``: when each level in use was last entered and last left."""
+    folds, used = {}, levels_in_use() if levels_used is None else tuple(levels_used)
+    for level in used:
         folds[f"_s{level}"] = ("max", F.expr(f"CASE WHEN prev_level < {level} AND state_level >= {level} THEN ts_ms END"))
         folds[f"_e{level}"] = ("max", F.expr(f"CASE WHEN state_level < {level} AND prev_level >= {level} THEN ts_ms END"))
     placed = states if "cell" in states.columns else add_cell(states, grain)
     timed = running(placed, list(keys), ORDER, grain, folds)
 
     def as_map(prefix: str) -> Column:
-        pairs = ", ".join(f"struct({j} AS k, {prefix}{j} AS v)" for j in range(n_levels))
+        pairs = ", ".join(f"struct({j} AS k, {prefix}{j} AS v)" for j in used)
         return F.expr(f"map_from_entries(filter(array({pairs}), p -> p.v IS NOT NULL))")
 
     return timed.withColumns({"starttimes": as_map("_s"), "endtimes": as_map("_e")}).drop(*folds)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.config import DEFAULTS, MAX_LEVELS, NO_LEVEL, LevelRule, Settings
-from tidewatch.functions.packed import packed_recurrences
+from tidewatch.functions.steps import recurrence_text
 from tidewatch.operators.joins import lookup
 from tidewatch.schemas import LEVELS_JSON
 
@@ -26,9 +26,10 @@ def rules_literal(rules: tuple[LevelRule, ...]) -> Column:
 
 
 def decode_levels(json: Column) -> Column:
-    """Levels JSON as an array of rules, lowest first; NULL when it holds none.
+    """Levels JSON as an array of rules, lowest first; NULL when it holds none or one that is no level.
 
-    A rule keeps its place when a parameter is missing: a missing threshold is 0, a missing count 0.
+    A level is a whole number from 0 on.  A rule keeps its place when a parameter is missing: a missing threshold
+    is 0, a missing count 0.
     """
     entries = F.map_entries(F.from_json(json, LEVELS_JSON))
     rules = F.transform(
@@ -39,9 +40,35 @@ def decode_levels(json: Column) -> Column:
             F.coalesce(e["value"]["rec_count"], F.lit(0)).alias("rec_count"),
         ),
     )
-    valid = F.sort_array(F.filter(rules, lambda r: r["level"].between(0, MAX_LEVELS - 1))).cast(_RULE_TYPE)
-    # Picked from a list of one, so that the JSON is decoded once and not again for the test.
-    return F.try_element_at(F.filter(F.array(valid), lambda found: F.size(found) > 0), F.lit(1))
+    sorted_rules = F.sort_array(rules).cast(_RULE_TYPE)
+    # Picked from a list of one, so that the JSON is decoded once and not again for the tests.
+    good = lambda found: (F.size(found) > 0) & F.forall(found, lambda r: F.coalesce(r["level"] >= 0, F.lit(False)))
+    return F.try_element_at(F.filter(F.array(sorted_rules), good), F.lit(1))
+
+
+def names_no_level(json: Column) -> Column:
+    """True for levels JSON with a key that is no whole number from 0 on."""
+    keys = F.map_keys(F.from_json(json, LEVELS_JSON))
+    return F.coalesce(F.exists(keys, lambda k: ~F.coalesce(k.try_cast("int") >= 0, F.lit(False))), F.lit(False))
+
+
+def tenant_dead_letters(users: DataFrame) -> DataFrame:
+    """(uuid, reason) of stored levels that can't be read; their tenants are given the defaults."""
+    filled = F.coalesce(F.trim("AL"), F.lit("")).isin("", "{}", "null")
+    refused = users.where(~filled & decode_levels(F.col("AL")).isNull())
+    return refused.select("uuid", F.when(names_no_level(F.col("AL")), "bad_level").otherwise("bad_levels").alias("reason"))
+
+
+def levels_in_use(settings: Settings = DEFAULTS, *tables: DataFrame | None) -> tuple[int, ...]:
+    """All levels that the default rules and the tables' ``rules`` name, lowest first."""
+    found = {r.level for r in settings.default_levels}
+    for table in tables:
+        if table is not None:
+            named = table.select(F.explode("rules.level").alias("level")).distinct()
+            found.update(r.level for r in named.limit(MAX_LEVELS + 1).collect())
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"rules name more than {MAX_LEVELS} different levels")
+    return tuple(sorted(found))
 
 
 def tenant_rules(users: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -62,20 +89,17 @@ def rows_to_rules(levels: DataFrame) -> DataFrame:
     return levels.groupBy("uuid").agg(F.array_sort(F.collect_list(rule)).cast(_RULE_TYPE).alias("rules"))
 
 
-def packed_literal(rules: tuple[LevelRule, ...], n_levels: int) -> Column:
-    """What ``packed_recurrences`` makes of the same rules, as a constant."""
-    counts = {r.level: min(max(r.rec_count, 0), 15) for r in rules}
-    return F.lit(sum(counts.get(j, 15) << 4 * j for j in range(n_levels))).cast("bigint")
+def recurrence_literal(rules: tuple[LevelRule, ...]) -> Column:
+    """What ``recurrence_text`` makes of the same rules, as a constant."""
+    return F.lit(",".join(f"{r.level}:{max(r.rec_count, 0)}" for r in sorted(rules, key=lambda r: r.level)))
 
 
-def attach_rules(
-    points: DataFrame, rules: DataFrame | None = None, settings: Settings = DEFAULTS, n_levels: int = 6
-) -> DataFrame:
-    """Add each point's tenant ``rules`` and packed ``recurrences``, the defaults for tenants without their own."""
-    default = rules_literal(settings.default_levels), packed_literal(settings.default_levels, n_levels)
+def attach_rules(points: DataFrame, rules: DataFrame | None = None, settings: Settings = DEFAULTS) -> DataFrame:
+    """Add each point's tenant ``rules`` and their ``recurrences``, the defaults for tenants without their own."""
+    default = rules_literal(settings.default_levels), recurrence_literal(settings.default_levels)
     if rules is None:
         return points.withColumns({"rules": default[0], "recurrences": default[1]})
-    table = rules.select("uuid", "rules", packed_recurrences("rules", n_levels).alias("recurrences"))
+    table = rules.select("uuid", "rules", recurrence_text(F.col("rules")).alias("recurrences"))
     found = lookup(points, table, ["uuid"])
     return found.withColumns({c: F.coalesce(c, d) for c, d in zip(("rules", "recurrences"), default)})
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from tidewatch.operators.baseline import hourly_baseline
 from tidewatch.operators.cells import WHOLE_SERIES, Grain
 from tidewatch.operators.control import attach_versioned_rules, with_rule_versions, with_series_epochs
 from tidewatch.operators.hysteresis import level_states, sampled, with_level_times
-from tidewatch.operators.levels import attach_rules, point_level
+from tidewatch.operators.levels import attach_rules, levels_in_use, point_level
 from tidewatch.operators.regression import running_regression
 from tidewatch.operators.score import score_points
 from tidewatch.session import cut_lineage
@@ -26,7 +28,6 @@ def point_levels(
     grain: Grain = WHOLE_SERIES,
     tenant_grain: Grain = WHOLE_SERIES,
     settings: Settings = DEFAULTS,
-    n_levels: int = 6,
 ) -> DataFrame:
     """Points with weight, percent, predicted deviation, level and the recurrences its tenant asks for."""
     fit_keys = ["series_key"]
@@ -40,9 +41,9 @@ def point_levels(
     fitted = running_regression(score_points(rows, baseline, settings, grain), grain, fit_keys)
     # Rules are wide: they join last, and only a number of theirs goes on to the next shuffle.
     if controls is not None:
-        ruled = attach_versioned_rules(fitted, controls, rules, tenant_grain, settings, n_levels)
+        ruled = attach_versioned_rules(fitted, controls, rules, tenant_grain, settings)
     else:
-        ruled = attach_rules(fitted, rules, settings, n_levels)
+        ruled = attach_rules(fitted, rules, settings)
     return point_level(ruled).drop("rules")
 
 
@@ -55,15 +56,16 @@ def monitor(
     grain: Grain = WHOLE_SERIES,
     tenant_grain: Grain = WHOLE_SERIES,
     settings: Settings = DEFAULTS,
-    n_levels: int = 6,
+    levels: Sequence[int] | None = None,
     with_values: bool = True,
     with_times: bool = True,
 ) -> DataFrame:
     """Level states of all sampled points, with the times and values an alert reports.
 
-    States range over levels 0 to ``n_levels`` - 1; raise it, up to 14, where tenants define more.
+    States range over ``levels``; those that the rules in use name, unless given.
     """
-    leveled = point_levels(points, baseline, rules, controls, series_controls, grain, tenant_grain, settings, n_levels)
+    levels = levels_in_use(settings, rules, controls) if levels is None else levels
+    leveled = point_levels(points, baseline, rules, controls, series_controls, grain, tenant_grain, settings)
     keys = ["series_key"] if series_controls is None else ["series_key", "epoch"]
     # Python workers are handed every column there is, so keep to what an alert needs.
     wanted = [*keys, "cell", "uuid", "ts_ms", "seq", "type", "reaction", "value", "weight", "level", "recurrences", "fit_epoch"]
@@ -71,8 +73,8 @@ def monitor(
     if not grain.whole:
         # The state machine reads its input once for the cell borders and once for the cells.
         samples = cut_lineage(samples)
-    states = level_states(samples, grain, keys, settings, n_levels, with_values)
-    return with_level_times(states, grain, keys, n_levels) if with_times else states
+    states = level_states(samples, grain, keys, settings, levels, with_values)
+    return with_level_times(states, grain, keys, levels) if with_times else states
 
 
 def monitor_alerts(points: DataFrame, **options) -> DataFrame:

@@ -348,7 +348,7 @@ def error_log(spark, folder):
 def level_window_counts(spark, folder):
     leveled, grain = _point_levels(spark, folder)
     windows = hysteresis.level_windows(hysteresis.sampled(leveled), grain)
-    return hysteresis.level_counts(windows).select("series_key", "seq", "level", "n_samples", *[f"cnt_{j}" for j in range(6)])
+    return hysteresis.level_counts(windows, range(6)).select("series_key", "seq", "level", "n_samples", *[f"cnt_{j}" for j in range(6)])
 
 
 @query

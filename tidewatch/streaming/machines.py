@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from dataclasses import asdict, dataclass, field
 
-from tidewatch.functions.packed import next_level
+from tidewatch.functions.steps import next_level
 from tidewatch.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -59,7 +59,6 @@ class LevelMachine:
     """Regression, level, window and level state of one series."""
 
     window: int
-    n_levels: int
     fit: Fit = field(default_factory=Fit)
     samples: list = field(default_factory=list)
     level: int = -1
@@ -68,9 +67,9 @@ class LevelMachine:
     ends: dict = field(default_factory=dict)
 
     @classmethod
-    def load(cls, stored: dict | None, window: int, n_levels: int) -> LevelMachine:
+    def load(cls, stored: dict | None, window: int) -> LevelMachine:
         if stored is None:
-            return cls(window, n_levels)
+            return cls(window)
         fit = Fit(**stored.pop("fit"))
         return cls(fit=fit, **stored)
 
@@ -78,7 +77,7 @@ class LevelMachine:
         return asdict(self)
 
     def forget(self) -> None:
-        self.__init__(self.window, self.n_levels)
+        self.__init__(self.window)
 
     def reset_fit(self) -> None:
         self.fit = Fit()
@@ -100,16 +99,13 @@ class LevelMachine:
                 ):
                     level = max(level, rule["level"])
         self.samples = [*self.samples, [level, value]][-self.window :]
-        counts = sum(((1 << 4 * (s[0] + 1)) - 1) // 15 for s in self.samples)
-        needed = sum(15 << 4 * j for j in range(self.n_levels))
-        for rule in rules:
-            if rule["level"] < self.n_levels:
-                needed += (min(max(rule["rec_count"], 0), 15) - 15) << 4 * rule["level"]
-        before = self.level
-        after = next_level(counts, level, needed, before, self.n_levels, len(self.samples))
-        if counts:
+        levels = [s[0] for s in self.samples]
+        needed = {rule["level"]: max(rule["rec_count"], 0) for rule in rules}
+        before, heard = self.level, max(levels) > -1
+        after = next_level(levels, level, needed, before)
+        if heard:
             self.up = weight > 0
-        for passed in range(self.n_levels):
+        for passed in {*needed, *map(int, self.starts)}:
             if before < passed <= after:
                 self.starts[str(passed)] = ts_ms
             elif after < passed <= before:
@@ -120,8 +116,8 @@ class LevelMachine:
             "prev_level": before,
             "state_level": after,
             "state": state_of(before, after),
-            "emitted": bool(counts) or before != -1,
-            "upstate": self.up if counts or before != -1 else False,
+            "emitted": heard or before != -1,
+            "upstate": self.up if heard or before != -1 else False,
         }
 
 

@@ -59,7 +59,7 @@ def _sorted_batches(batches: Iterator[pd.DataFrame], order: list[str]) -> Iterat
 
 
 def level_states_stream(
-    scored: DataFrame, controls: DataFrame | None = None, settings: Settings = DEFAULTS, n_levels: int = 6
+    scored: DataFrame, controls: DataFrame | None = None, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Running regression, levels and level states of a stream of scored points.
 
@@ -81,7 +81,7 @@ def level_states_stream(
 
     def work(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         kept = json.loads(state.get[0]) if state.exists else {"machine": None, "rules": None}
-        machine = LevelMachine.load(kept["machine"], window, n_levels)
+        machine = LevelMachine.load(kept["machine"], window)
         updated = kept["rules"]
         out = []
         merged = pd.concat(list(batches))
