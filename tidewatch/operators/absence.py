@@ -22,9 +22,11 @@ def absence_events(
 ) -> DataFrame:
     """A severe event on the first clock tick past the limit, and its end with the next heartbeat.
 
-    ``last_seen_ms`` is the heartbeat before the silence; a silence event has no point of its own.
+    ``last_seen_ms`` is the heartbeat before the silence.  The event of the return carries its heartbeat's ``type``,
+    ``reaction`` and ``value`` where there are such columns; a silence event has no point of its own.
     """
     keys = list(keys)
+    kinds = {c: t for c, t in heartbeats.dtypes if c in ("type", "reaction", "value")}
     rows = neighbours(
         add_cell(heartbeats, grain), keys, ORDER, grain, {"prev_ts_ms": "ts_ms"}, {"next_ts_ms": "ts_ms"}
     ).drop("cell")
@@ -39,6 +41,7 @@ def absence_events(
         F.lit(NO_LEVEL).alias("prev_level"),
         F.lit(SEVERE_LEVEL).alias("state_level"),
         F.lit(STATE_START).alias("state"),
+        *[F.lit(None).cast(t).alias(c) for c, t in kinds.items()],
     )
     back = rows.where(first_tick_after(F.col("prev_ts_ms") + limit, settings.tick_ms) < F.col("ts_ms")).select(
         *keys,
@@ -49,6 +52,7 @@ def absence_events(
         F.lit(SEVERE_LEVEL).alias("prev_level"),
         F.lit(NO_LEVEL).alias("state_level"),
         F.lit(STATE_END).alias("state"),
+        *kinds,
     )
     return silent.unionByName(back)
 

@@ -7,9 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.config import DEFAULTS, REACTION_MUTED, STATE_SAME, Settings
+from tidewatch.config import DEFAULTS, REACTION_MUTED, SEVERE_LEVEL, STATE_SAME, Settings
 from tidewatch.functions.identity import series_hash
 from tidewatch.functions.time import epoch_seconds
+from tidewatch.operators.cells import WHOLE_SERIES, Grain
+from tidewatch.operators.hysteresis import with_level_times
+from tidewatch.operators.levels import levels_in_use
 
 _TIMES = "map<int,bigint>"
 _VALUES = "array<struct<level:int,value:double>>"
@@ -69,20 +72,29 @@ def level_alerts(states: DataFrame, source: str = "level") -> DataFrame:
     )
 
 
-def special_alerts(events: DataFrame, source: str = "special") -> DataFrame:
+def _timed(events: DataFrame, grain: Grain, settings: Settings, start_at: str = "event_ms") -> DataFrame:
+    """Events with the times at which their series last entered and left each level, carried on from event to event."""
+    point = F.col("ts_ms") if "ts_ms" in events.columns else F.lit(None).cast("bigint")
+    order = F.col("seq") if "seq" in events.columns else F.lit(0).cast("bigint")
+    levels = sorted({*levels_in_use(settings), SEVERE_LEVEL, *(j for j in settings.status_levels.values() if j >= 0)})
+    rows = events.withColumns({"point_ms": point, "ts_ms": F.col("event_ms"), "seq": order})
+    return with_level_times(rows, grain, levels_used=levels, start_at=start_at)
+
+
+def special_alerts(
+    events: DataFrame, source: str = "special", grain: Grain = WHOLE_SERIES, settings: Settings = DEFAULTS
+) -> DataFrame:
     """Alert events of special points; they always have a point, so its own time is reported."""
-    times = F.when(F.col("state_level") > F.col("prev_level"), F.create_map("state_level", "event_ms"))
-    ends = F.when(F.col("state_level") < F.col("prev_level"), F.create_map("prev_level", "event_ms"))
-    return events.select(
+    return _timed(events, grain, settings).select(
         *_identity(),
         F.col("state").alias("action"),
-        F.col("ts_ms").alias("time"),
+        F.col("point_ms").alias("time"),
         "type",
         "reaction",
         F.col("value").alias("startvalue"),
         "message",
-        times.cast(_TIMES).alias("starttimes"),
-        ends.cast(_TIMES).alias("endtimes"),
+        F.col("starttimes").cast(_TIMES).alias("starttimes"),
+        F.col("endtimes").cast(_TIMES).alias("endtimes"),
         F.lit(source).alias("source"),
         F.col("state_level").alias("level"),
         F.lit(False).alias("upstate"),
@@ -92,20 +104,25 @@ def special_alerts(events: DataFrame, source: str = "special") -> DataFrame:
     )
 
 
-def absence_alerts(events: DataFrame, source: str = "absence") -> DataFrame:
-    """Alert events of silent hosts: no point, hence no type, reaction or value."""
-    starts = F.when(F.col("kind") == "absent", F.create_map("state_level", "last_seen_ms"))
-    ends = F.when(F.col("kind") == "back", F.create_map("prev_level", "event_ms"))
-    return events.select(
+def absence_alerts(
+    events: DataFrame, source: str = "absence", grain: Grain = WHOLE_SERIES, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Alert events of silent hosts.
+
+    A silence starts with the last heartbeat and has no point, hence no type, reaction or value; the return has its own.
+    """
+    point = {"type": "smallint", "reaction": "int", "value": "double"}
+    own = {c: (F.col(c) if c in events.columns else F.lit(None)).cast(t) for c, t in point.items()}
+    return _timed(events, grain, settings, "last_seen_ms").select(
         *_identity(),
         F.col("state").alias("action"),
         F.col("event_ms").alias("time"),
-        F.lit(None).cast("smallint").alias("type"),
-        F.lit(None).cast("int").alias("reaction"),
-        F.lit(None).cast("double").alias("startvalue"),
+        own["type"].alias("type"),
+        own["reaction"].alias("reaction"),
+        own["value"].alias("startvalue"),
         F.lit(None).cast("string").alias("message"),
-        starts.cast(_TIMES).alias("starttimes"),
-        ends.cast(_TIMES).alias("endtimes"),
+        F.col("starttimes").cast(_TIMES).alias("starttimes"),
+        F.col("endtimes").cast(_TIMES).alias("endtimes"),
         F.lit(source).alias("source"),
         F.col("state_level").alias("level"),
         F.lit(False).alias("upstate"),

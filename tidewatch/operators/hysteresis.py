@@ -81,7 +81,7 @@ def level_windows(
 
 def level_counts(windows: DataFrame, levels: Sequence[int]) -> DataFrame:
     """How many samples of the window reach each level, one column per level."""
-    return windows.withColumns({f"cnt_{j}": F.size(F.filter("samples", lambda s, j=j: s >= j)) for j in levels})
+    return windows.withColumns({f"cnt_{j}": F.expr(f"size(filter(samples, s -> s >= {int(j)}))") for j in levels})
 
 
 def level_states(
@@ -158,12 +158,15 @@ def _cell_starts(stepped: DataFrame, keys: list[str], used: Sequence[int]) -> Da
 
 
 def with_level_times(
-    states: DataFrame, grain: Grain = WHOLE_SERIES, keys: Sequence[str] = ("series_key",), levels_used: Sequence[int] | None = None
+    states: DataFrame, grain: Grain = WHOLE_SERIES, keys: Sequence[str] = ("series_key",), levels_used: Sequence[int] | None = None, start_at: str = "ts_ms"
 ) -> DataFrame:
-    """Add ``starttimes`` and ``endtimes``: when each level in use was last entered and last left."""
+    """Add ``starttimes`` and ``endtimes``: when each level in use was last entered and last left.
+
+    Both are always there, empty before the first alert.  A level counts as entered at ``start_at``.
+    """
     folds, used = {}, levels_in_use() if levels_used is None else tuple(levels_used)
     for level in used:
-        folds[f"_s{level}"] = ("max", F.expr(f"CASE WHEN prev_level < {level} AND state_level >= {level} THEN ts_ms END"))
+        folds[f"_s{level}"] = ("max", F.expr(f"CASE WHEN prev_level < {level} AND state_level >= {level} THEN {start_at} END"))
         folds[f"_e{level}"] = ("max", F.expr(f"CASE WHEN state_level < {level} AND prev_level >= {level} THEN ts_ms END"))
     placed = states if "cell" in states.columns else add_cell(states, grain)
     timed = running(placed, list(keys), ORDER, grain, folds)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidewatch.plans.queries import AS_OF_MS, CUT_MS
+from collections.abc import Iterable
+
+from tidewatch.plans.queries import AS_OF_MS, CUT_MS, HIGH_LEVELS
 
 _HOUR = 3_600_000
 _DAY = 86_400_000
@@ -108,27 +110,27 @@ _LEVELED = """leveled AS (
 
 LEVELED = (*SCORED, _fit("scored", "series_key"), _DEFAULT_RULES, _LEVELED)
 
-_COUNTS = ", ".join(f"count(*) FILTER (level >= {j}) OVER w AS c{j}" for j in range(6))
-
-
-def _windows(keys: str) -> str:
+def _windows(keys: str, levels: Iterable[int] = range(6)) -> str:
+    counts = ", ".join(f"count(*) FILTER (level >= {j}) OVER w AS c{j}" for j in levels)
     return f"""windows AS (
-  SELECT *, {_COUNTS}, max(level) OVER w AS wmax, count(*) OVER w AS n_w,
+  SELECT *, {counts}, max(level) OVER w AS wmax, count(*) OVER w AS n_w,
          row_number() OVER (PARTITION BY {keys} ORDER BY ts_ms, seq) AS rn
   FROM leveled WHERE reaction <> -3
   WINDOW w AS (PARTITION BY {keys} ORDER BY ts_ms, seq ROWS 14 PRECEDING))"""
 
 
-def _machine(keys: list[str], recs: list[str]) -> str:
+def _machine(keys: list[str], recs: list[str] | dict[int, str]) -> str:
     """A recursive walk along each series, one sample per step."""
-    holding = "CASE t.s WHEN -1 THEN w.n_w " + " ".join(f"WHEN {j} THEN w.c{j}" for j in range(6)) + " END"
+    recs = recs if isinstance(recs, dict) else dict(enumerate(recs))
+    levels = sorted(recs)
+    holding = "CASE t.s WHEN -1 THEN w.n_w " + " ".join(f"WHEN {j} THEN w.c{j}" for j in levels) + " END"
     rows = " ".join(
-        f"WHEN w.c{j} > {recs[j]} AND (t.s < w.level OR w.c{j} - ({holding}) > {recs[j]}) THEN {j}" for j in range(5, -1, -1)
+        f"WHEN w.c{j} > {recs[j]} AND (t.s < w.level OR w.c{j} - ({holding}) > {recs[j]}) THEN {j}" for j in reversed(levels)
     )
-    recurs = " OR ".join(f"w.c{j} > {recs[j]}" for j in range(6))
+    recurs = " OR ".join(f"w.c{j} > {recs[j]}" for j in levels)
     # A series starts at level -1, which any recurring level lies above or is counted beyond.
     start = " ".join(
-        f"WHEN w.c{j} > {recs[j]} AND (-1 < w.level OR w.c{j} - w.n_w > {recs[j]}) THEN {j}" for j in range(5, -1, -1)
+        f"WHEN w.c{j} > {recs[j]} AND (-1 < w.level OR w.c{j} - w.n_w > {recs[j]}) THEN {j}" for j in reversed(levels)
     )
     join = " AND ".join(f"w.{k} = t.{k}" for k in keys)
     names = ", ".join(keys)
@@ -240,10 +242,11 @@ _BEATS = f"""beats AS (
          lead(ts_ms) OVER w AS next_ms, lag(ts_ms) OVER w AS prev_ms
   FROM pts WHERE name = 'view' WINDOW w AS (PARTITION BY series_key ORDER BY ts_ms, seq)),
 silence AS (
-  SELECT series_key, uuid, 'absent' AS kind, fire AS event_ms, ts_ms AS last_seen_ms, -1 AS prev_level, 5 AS state_level, 0 AS state
+  SELECT series_key, uuid, 'absent' AS kind, fire AS event_ms, ts_ms AS last_seen_ms, -1 AS prev_level, 5 AS state_level, 0 AS state,
+         NULL::INTEGER AS reaction, NULL::DOUBLE AS value
   FROM beats WHERE fire <= {AS_OF_MS} AND (next_ms IS NULL OR fire < next_ms)
   UNION ALL
-  SELECT series_key, uuid, 'back', ts_ms, prev_ms, 5, -1, 3
+  SELECT series_key, uuid, 'back', ts_ms, prev_ms, 5, -1, 3, reaction, value
   FROM beats WHERE ((prev_ms + 600000) // 60000 + 1) * 60000 < ts_ms)"""
 
 _EPOCHS = """epochs AS (
@@ -295,7 +298,7 @@ _ALL_ALERTS = f"""found AS (
     SELECT prev_level, state_level, ts_ms FROM ev_status
     UNION ALL SELECT prev_level, state_level, ts_ms FROM ev_close
     UNION ALL SELECT prev_level, state_level, ts_ms FROM ev_dead)
-  UNION ALL SELECT 'absence', uuid, state, state_level, prev_level, event_ms, false FROM silence)"""
+  UNION ALL SELECT 'absence', uuid, state, state_level, prev_level, event_ms, kind = 'back' FROM silence)"""
 # Regular points are those that are not errors, from the first step on.
 _REGULAR = PTS.replace("FROM ev)", "FROM ev WHERE name <> 'error')").replace("pts AS (", "pts AS (", 1)
 _ALERTS = (
@@ -321,6 +324,68 @@ _TIMED = f"""timed AS (
   WINDOW w AS (PARTITION BY series_key ORDER BY ts_ms, seq ROWS UNBOUNDED PRECEDING))"""
 
 
+# Tenants with levels of their own next to those with the default ones.
+_TENANT_EV = EV.replace(f"{_TENANT} AS uuid", "'c' || (user_id % 7 + 1) AS uuid")
+
+
+def _tenants(own: tuple[int, ...]) -> tuple[str, ...]:
+    levels = sorted({*range(6), *own})
+    default = dict(enumerate(_DEFAULT_RECS))
+    recs = {
+        j: f"(CASE WHEN w.own THEN {3 - own.index(j) if j in own else 99} ELSE {default.get(j, 99)} END)" for j in levels
+    }
+    passes = "abs(d.weight) >= r.min_weight AND coalesce(abs(d.weight_pct) >= r.min_pct, true)"
+    return (
+        _TENANT_EV,
+        PTS,
+        *SCORE,
+        _fit("scored", "series_key"),
+        _DEFAULT_RULES,
+        f"""own_rules AS (
+  SELECT 'c' || c_custkey AS uuid, ([{", ".join(map(str, own))}])[j + 1] AS level,
+         (c_nationkey % 3 + 1) * (j + 1) AS min_weight, 5 * (j + 1) AS min_pct
+  FROM customer, (SELECT unnest(range(3)) AS j) WHERE c_custkey % 3 = 1),
+owners AS (SELECT DISTINCT uuid AS owner FROM own_rules),
+leveled AS (
+  SELECT d.*, owner IS NOT NULL AS own,
+         CASE WHEN weight = 0 THEN -1
+              WHEN owner IS NOT NULL THEN coalesce((SELECT max(r.level) FROM own_rules r WHERE r.uuid = d.uuid AND {passes}), -1)
+              ELSE coalesce((SELECT max(r.level) FROM rules r WHERE {passes}), -1) END AS level
+  FROM deviating d LEFT JOIN owners ON owner = uuid)""",
+        _windows("series_key", levels),
+        _machine(["series_key"], recs),
+    )
+
+
+def _entered(prefix: str, at: str, order: str, levels: Iterable[int] = range(6)) -> str:
+    """When each level was last entered, or left, up to each row."""
+    crossed = "prev_level < {j} AND state_level >= {j}" if prefix == "start" else "state_level < {j} AND prev_level >= {j}"
+    return ", ".join(
+        f"max(CASE WHEN {crossed.format(j=j)} THEN {at} END) OVER (PARTITION BY series_key ORDER BY {order} "
+        f"ROWS UNBOUNDED PRECEDING) AS {prefix}_{j}"
+        for j in levels
+    )
+
+
+_TIME_NAMES = ", ".join(f"{p}_{j}" for p in ("start", "end") for j in range(6))
+_PAYLOADS = f"""payloads AS (
+  SELECT series_key, uuid, state AS action, ts_ms AS time, 0 AS type, reaction, value AS startvalue, NULL::VARCHAR AS message,
+         'level' AS source, state_level AS level, prev_level, upstate, n_w AS n_values, {_TIME_NAMES}
+  FROM timed WHERE emitted
+  UNION ALL
+  SELECT series_key, 't1', {_STATE}, ts_ms, 1, reaction, value, 'error seen', 'special', state_level, prev_level, false, 0,
+         {_entered("start", "event_ms", "event_ms, seq")}, {_entered("end", "event_ms", "event_ms, seq")}
+  FROM (SELECT s.*, e.reaction, v.value FROM (
+      SELECT series_key, seq, ts_ms, event_ms, prev_level, state_level FROM ev_status
+      UNION ALL SELECT series_key, seq, ts_ms, event_ms, prev_level, state_level FROM ev_close
+      UNION ALL SELECT series_key, seq, ts_ms, event_ms, prev_level, state_level FROM ev_dead) s
+    JOIN err e USING (seq) JOIN ev v USING (seq))
+  UNION ALL
+  SELECT series_key, uuid, state, event_ms, CASE kind WHEN 'back' THEN 0 END, reaction, value, NULL, 'absence', state_level,
+         prev_level, false, 0, {_entered("start", "last_seen_ms", "event_ms")}, {_entered("end", "event_ms", "event_ms")}
+  FROM silence)"""
+
+
 def _filled(prefix: str) -> str:
     return " + ".join(f"CAST({prefix}_{j} IS NOT NULL AS INTEGER)" for j in range(6))
 
@@ -492,6 +557,19 @@ FROM timed WHERE emitted""".replace("level AS last_level", "timed.level AS last_
   SELECT source, uuid || level AS topic, 'level' AS role FROM found
   UNION ALL SELECT source, uuid || prev_level, 'left' FROM found WHERE level <> prev_level
   UNION ALL SELECT source, 'errors', 'main' FROM found WHERE action <> 1) GROUP BY ALL""",
+    "alert_payload": _with(*_ALERTS, _TIMED, _PAYLOADS)
+    + f"""SELECT topic, role, lower(hex(series_key)) AS key, action, time, type, reaction, startvalue, message, source, level,
+  upstate, CASE role WHEN 'main' THEN uuid END AS uuid, {_TIME_NAMES}, true AS has_starttimes, true AS has_endtimes, n_values
+FROM (
+  SELECT *, uuid || level AS topic, 'level' AS role FROM payloads
+  UNION ALL SELECT *, uuid || prev_level, 'left' FROM payloads WHERE level <> prev_level
+  UNION ALL SELECT *, 'errors', 'main' FROM payloads WHERE action <> 1)""",
+    "point_levels_tenant": _with(*_tenants((0, 1, 2))) + "SELECT series_key, seq, weight, level FROM leveled",
+    "level_state_tenant": _with(*_tenants((0, 1, 2)))
+    + "SELECT series_key, seq, level, prev_level, state_level, state FROM states",
+    "level_state_high_levels": _with(*_tenants(HIGH_LEVELS))
+    + f"""SELECT series_key, seq, level, prev_level, state_level, state,
+  {_entered("start", "ts_ms", "ts_ms, seq", HIGH_LEVELS)}, {_entered("end", "ts_ms", "ts_ms, seq", HIGH_LEVELS)} FROM states""",
     "observed_points": _with(EV, USR) + "SELECT series_key, ts_ms, seq FROM usr",
     "percent_deviation": """
 SELECT o_orderkey AS seq, round((o_totalprice - m) / m * 100, 4) + 0.0 AS pct

@@ -364,6 +364,38 @@ def level_state(spark, folder):
     return states.select("series_key", "seq", "prev_level", "state_level", "state", "emitted", "upstate")
 
 
+def _tenant_rules(spark, folder, own_levels=(0, 1, 2)):
+    return events.tenant_points(spark, folder), levels.tenant_rules(events.users(spark, folder, own_levels))
+
+
+@query
+def point_levels_tenant(spark, folder):
+    """A third of the tenants with levels of their own, a third with empty ones, a third with none."""
+    points, rules = _tenant_rules(spark, folder)
+    leveled = point_levels(points, rules=rules, grain=measure_grain(points))
+    return leveled.select("series_key", "seq", "weight", "level")
+
+
+@query
+def level_state_tenant(spark, folder):
+    points, rules = _tenant_rules(spark, folder)
+    states = monitor(points, rules=rules, grain=measure_grain(points), with_values=False, with_times=False)
+    return states.select("series_key", "seq", "level", "prev_level", "state_level", "state")
+
+
+HIGH_LEVELS = (7, 12, 20)
+
+
+@query
+def level_state_high_levels(spark, folder):
+    """Some tenants use levels 7, 12 and 20 next to others with the default ones."""
+    points, rules = _tenant_rules(spark, folder, HIGH_LEVELS)
+    states = monitor(points, rules=rules, grain=measure_grain(points), with_values=False)
+    at = lambda m, j, p: F.try_element_at(m, F.lit(j)).alias(f"{p}_{j}")
+    times = [at(f"{p}times", j, p) for p in ("start", "end") for j in HIGH_LEVELS]
+    return states.select("series_key", "seq", "level", "prev_level", "state_level", "state", *times)
+
+
 @query
 def level_times(spark, folder):
     points, grain = _points_and_grain(spark, folder)
@@ -494,10 +526,11 @@ def _all_alerts(spark, folder):
     errors = events.special_points(spark, folder)
     beats = ingest.heartbeats(events.metric_points(spark, folder), HEARTBEAT)
     states = monitor(regular, grain=measure_grain(regular))
+    error_grain, beat_grain = measure_grain(errors), measure_grain(beats)
     return alerts.merge_alerts(
         alerts.level_alerts(states),
-        alerts.special_alerts(special.special_events(errors, AS_OF_MS, measure_grain(errors))),
-        alerts.absence_alerts(absence.absence_events(beats, AS_OF_MS, measure_grain(beats), settings=HEARTBEAT)),
+        alerts.special_alerts(special.special_events(errors, AS_OF_MS, error_grain), grain=error_grain),
+        alerts.absence_alerts(absence.absence_events(beats, AS_OF_MS, beat_grain, settings=HEARTBEAT), grain=beat_grain),
     )
 
 
@@ -544,6 +577,23 @@ def alert_routing(spark, folder):
     )
 
 
+@query
+def alert_payload(spark, folder):
+    """Every record, its fields read back from the text that is sent."""
+    records = alerts.route_alerts(_all_alerts(spark, folder)).select("topic", "role", "value", "prev_level")
+    kinds = {
+        "key": "string", "action": "int", "time": "bigint", "type": "int", "reaction": "int", "startvalue": "double",
+        "message": "string", "source": "string", "level": "int", "upstate": "boolean", "UUID": "string",
+    }
+    fields = [F.get_json_object("value", f"$.{c}").cast(t).alias(c.lower()) for c, t in kinds.items()]
+    times = [
+        F.get_json_object("value", f"$.{p}times.{j}").cast("bigint").alias(f"{p}_{j}") for p in ("start", "end") for j in range(6)
+    ]
+    there = [F.get_json_object("value", f"$.{c}").isNotNull().alias(f"has_{c}") for c in ("starttimes", "endtimes")]
+    n_values = F.json_array_length(F.get_json_object("value", "$.values")).alias("n_values")
+    return records.select("topic", "role", *fields, *times, *there, n_values)
+
+
 @query
 def observed_points(spark, folder):
     """The diagnostic tap leaves the rows as they are."""

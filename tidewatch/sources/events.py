@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -216,11 +218,23 @@ def control_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def users(spark: SparkSession, folder: str) -> DataFrame:
+TENANTS = 7
+
+
+def tenant_points(spark: SparkSession, folder: str) -> DataFrame:
+    """The metric points dealt out to the first customers as tenants, a series per event type and tenant."""
+    uuid = F.concat(F.lit("c"), (F.col("user_id") % TENANTS + 1).cast("string"))
+    of_user = table(spark, folder, "events").select(F.col("event_id").alias("seq"), uuid.alias("uuid"))
+    points = metric_points(spark, folder).drop("uuid").join(of_user, "seq")
+    tags = _tags(F.col("uuid"), F.col("name"))
+    return points.withColumns({"tags": tags, "series_key": _key(F.col("name"), F.col("uuid"), F.col("name"))})
+
+
+def users(spark: SparkSession, folder: str, own_levels: Sequence[int] = (0, 1, 2)) -> DataFrame:
     """Customers as tenants: a third with levels of their own, a third with empty JSON, a third with none."""
     key = F.col("c_custkey")
     rule = lambda j: F.concat(
-        F.lit(f'"{j}":{{"min_weight":'),
+        F.lit(f'"{own_levels[j]}":{{"min_weight":'),
         ((F.col("c_nationkey") % 3 + 1) * (j + 1)).cast("string"),
         F.lit(f',"min_pct":{5 * (j + 1)},"rec_count":{3 - j}}}'),
     )
