@@ -167,10 +167,10 @@ def test_sinks_can_be_repeated(spark, folder, tmp_path):
     for _ in range(2):
         write_points(points, f"{tmp_path}/points", 1)
         write_baseline(hourly_baseline(points), f"{tmp_path}/baseline", 1)
-        update_catalog(points, f"{tmp_path}/catalog", 1)
+        update_catalog(points, f"{tmp_path}/catalog", 0)
     assert read_points(spark, f"{tmp_path}/points").count() == points.count()
     assert stored_table(spark, f"{tmp_path}/baseline", BASELINE).count() == hourly_baseline(points).count()
-    assert read_catalog(spark, f"{tmp_path}/catalog", 1).agg(F.sum("n_points")).first()[0] == points.count()
+    assert read_catalog(spark, f"{tmp_path}/catalog", 0).agg(F.sum("n_points")).first()[0] == points.count()
     records = spark.createDataFrame([("t0-1", "{}"), ("errors", "{}")], "topic string, value string")
     write_alerts(records, f"{tmp_path}/alerts")
     assert spark.read.parquet(f"{tmp_path}/alerts").where("topic = 'errors'").count() == 1
@@ -181,6 +181,12 @@ def test_sinks_can_be_repeated(spark, folder, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/fit").first().version == 0
 
 
+def test_a_lost_catalog_version_is_noticed(spark, folder, tmp_path):
+    points = events.metric_points(spark, folder)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        update_catalog(points, f"{tmp_path}/catalog", 3)
+
+
 def test_absent_table_is_empty_but_a_broken_one_raises(spark, tmp_path):
     assert stored_table(spark, f"{tmp_path}/nowhere", BASELINE).count() == 0
     (tmp_path / "broken").mkdir()

@@ -18,7 +18,7 @@ from tidewatch.config import (
 )
 from tidewatch.functions.time import hour_slot
 from tidewatch.operators.baseline import hourly_baseline, reference_slots, reference_table
-from tidewatch.operators.cells import WHOLE_SERIES, Grain, add_cell
+from tidewatch.operators.cells import WHOLE_SERIES, Grain
 
 
 def with_effective_reaction(
@@ -44,25 +44,23 @@ def baseline_join(points: DataFrame, baseline: DataFrame, settings: Settings = D
 def _attach_references(points: DataFrame, references: DataFrame, grain: Grain) -> DataFrame:
     """Join each point to its one reference row.
 
-    A series with cells shorter than an hour is spread over that many sub-keys within the hour; its few
-    reference rows are copied to each of them, its points are not.
+    A series with cells shorter than an hour is dealt over as many parts as an hour has cells, by a hash of the
+    point's number, so points of one instant are spread too; its few reference rows are copied to each part.
     """
     probes = points.withColumn("slot_ms", hour_slot(F.col("ts_ms")))
-    fine = tuple((key, step) for key, step in grain.listed if step < HOUR_MS)
-    default = grain.default_ms if grain.default_ms is not None and grain.default_ms < HOUR_MS else HOUR_MS
-    if not fine and default == HOUR_MS:
+    fine = [(key, -(-HOUR_MS // step)) for key, step in grain.listed if step < HOUR_MS]
+    default = -(-HOUR_MS // grain.default_ms) if grain.default_ms is not None and grain.default_ms < HOUR_MS else 1
+    if not fine and default == 1:
         return probes.join(references, ["series_key", "slot_ms"], "left").drop("slot_ms")
-    split = Grain(default, fine)
-    probes = add_cell(probes, split, out="part_ms")
+    parts = F.lit(default)
     if fine:
-        listed = references.sparkSession.createDataFrame(list(fine), "series_key string, grain_ms bigint")
-        references = references.join(F.broadcast(listed), "series_key", "left")
-        step = F.coalesce("grain_ms", F.lit(default))
-    else:
-        step = F.lit(default)
-    parts = F.sequence(F.col("slot_ms"), F.col("slot_ms") + F.lit(HOUR_MS) - step, step)
-    references = references.withColumn("part_ms", F.explode(parts)).drop("grain_ms", "slot_ms")
-    return probes.join(references, ["series_key", "part_ms"], "left").drop("part_ms", "slot_ms")
+        # The grain lists a bounded number of series.
+        listed = F.broadcast(references.sparkSession.createDataFrame(fine, "series_key string, _parts int"))
+        probes, references = (side.join(listed, "series_key", "left") for side in (probes, references))
+        parts = F.coalesce("_parts", parts)
+    probes = probes.withColumn("_part", F.pmod(F.xxhash64("seq"), parts).cast("int")).drop("_parts")
+    references = references.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return probes.join(references, ["series_key", "slot_ms", "_part"], "left").drop("_part", "slot_ms")
 
 
 def score_columns(settings: Settings = DEFAULTS) -> dict[str, Column]:

@@ -155,18 +155,21 @@ _DEFAULT_RECS = ["3", "3", "3", "2", "2", "1"]
 STATES = (*LEVELED, _windows("series_key"), _machine(["series_key"], _DEFAULT_RECS))
 
 # The same text as the Spark side builds, parsed here by other means.
-MESSAGES = f"""messages AS (
-  SELECT seq // 8 AS msg_id,
-    CASE (seq // 8) % 25 WHEN 7 THEN '{{"metric":"a"}}' WHEN 13 THEN '[{{bad' WHEN 19 THEN '[]'
-    ELSE '[' || string_agg(CASE WHEN k = 15 THEN '7' ELSE '{{' || concat_ws(',',
+MESSAGES = f"""sent AS (
+  SELECT seq // 8 AS msg_id, '[' || string_agg(CASE WHEN k = 15 THEN '7' ELSE '{{' || concat_ws(',',
       CASE WHEN k <> 10 THEN '"metric":"' || name || '"' END,
       CASE WHEN k <> 11 THEN '"timestamp":' || ts_ms END,
       CASE WHEN k = 12 THEN '"value":"abc"' WHEN k = 16 THEN '"value":"2.5"' ELSE '"value":' || value END,
       CASE WHEN k = 14 THEN '"tags":{{"host":"' || name || '"}}'
            WHEN k <> 13 THEN '"tags":{{"host":"' || name || '","UUID":"' || uuid || '"}}' END,
       CASE WHEN name = 'error' THEN '"type":"Special","status":"ERROR","message":"m"' ELSE '"type":"Regular"' END,
-      CASE WHEN k % 2 = 0 THEN '"reaction":' || (k % 5 - 3) END) || '}}' END, ',' ORDER BY seq) || ']' END AS value
+      CASE WHEN k % 2 = 0 THEN '"reaction":' || (k % 5 - 3) END) || '}}' END, ',' ORDER BY seq) || ']' AS value
   FROM ev GROUP BY seq // 8),
+messages AS (
+  SELECT * FROM sent
+  UNION ALL
+  SELECT msg_id + 1000000000, CASE msg_id % 25 WHEN 7 THEN '{{"metric":"a"}}' WHEN 13 THEN '[{{bad' WHEN 19 THEN '[]' END
+  FROM sent WHERE msg_id % 25 IN (7, 13, 19)),
 gated AS (
   SELECT *, CASE WHEN NOT json_valid(value) THEN 'bad_json' WHEN json_type(value) <> 'ARRAY' THEN 'not_array' END AS gate
   FROM messages),

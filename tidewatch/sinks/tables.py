@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.time import to_timestamp
 from tidewatch.operators.catalog import deduplicate_points, upsert_catalog, series_catalog
-from tidewatch.sources.messages import stored_table
 
 
 def _replace(df: DataFrame, path: str, *partitions: str) -> None:
@@ -68,11 +67,13 @@ def kafka_alerts(records: DataFrame, servers: str) -> None:
 def update_catalog(points: DataFrame, path: str, version: int) -> None:
     """Write version ``version`` of the catalog from the one before and the new points.
 
-    Versions make a repeated batch harmless: it starts again from the same earlier version.
+    Versions make a repeated batch harmless: it starts again from the same earlier version.  Version 0 starts an
+    empty catalog; an earlier version that is lost fails the batch, so the catalog never begins anew unnoticed.
     """
     spark = points.sparkSession
     new = series_catalog(points)
-    stored = stored_table(spark, f"{path}/version={version - 1}", new.schema)
+    before = f"{path}/version={version - 1}"
+    stored = spark.createDataFrame([], new.schema) if version == 0 else spark.read.schema(new.schema).parquet(before)
     upsert_catalog(stored, points).hint("rebalance").write.mode("overwrite").parquet(f"{path}/version={version}")
 
 

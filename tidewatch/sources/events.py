@@ -143,10 +143,12 @@ def lineitem_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 MESSAGE_POINTS = 8
+# Numbers of the faulty messages that are sent besides the real ones.
+PLANTED_FROM = 1_000_000_000
 
 
 def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as wire messages of up to eight elements, with faults planted by ``props.k``."""
+    """Events as wire messages of up to eight elements, with faulty elements, and faulty messages besides."""
     k = F.col("k")
     quoted = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     is_error = F.col("event_type") == "error"
@@ -173,10 +175,10 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
     array = F.concat(F.lit("["), F.array_join(F.transform("es", lambda x: x["e"]), ","), F.lit("]"))
     turn = F.col("msg_id") % 25
-    value = (
-        F.when(turn == 7, F.lit('{"metric":"a"}')).when(turn == 13, F.lit("[{bad")).when(turn == 19, F.lit("[]")).otherwise(array)
-    )
-    return grouped.select("msg_id", value.alias("value"))
+    planted = F.when(turn == 7, '{"metric":"a"}').when(turn == 13, "[{bad").when(turn == 19, "[]")
+    extra = F.when(planted.isNotNull(), F.struct((F.col("msg_id") + PLANTED_FROM).alias("msg_id"), planted.alias("value")))
+    both = F.array_compact(F.array(F.struct("msg_id", array.alias("value")), extra))
+    return grouped.select(F.explode(both).alias("m")).select("m.*")
 
 
 def control_messages(spark: SparkSession, folder: str) -> DataFrame:
