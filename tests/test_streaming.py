@@ -126,6 +126,22 @@ def test_special_stream_equals_batch(spark, folder, tmp_path, parts):
     assert sorted(map(tuple, result.select(*columns).collect())) == sorted(map(tuple, batch.select(*columns).collect()))
 
 
+def test_special_stream_with_deletes_equals_batch(spark, tmp_path):
+    start, minute = 1_704_067_200_000, 60_000
+    rows = [("a", 0, 0, "ERROR", 2), ("a", 1, 10, "WARNING", -3), ("a", 2, 20, "ERROR", 4), ("a", 3, 40, "OK", 0), ("b", 4, 40, "OK", 0)]
+    points = spark.createDataFrame([(k, s, start + minute * m, t, r) for k, s, m, t, r in rows], "series_key string, seq bigint, ts_ms bigint, status string, reaction int")
+    marks = [("a", 100, start + minute * 5 + 1, "deletemetricbyhash"), ("a", 101, start + minute * 11, "deletemetricbyhash"), ("a", 102, start + minute * 20, "deletemetricbyhash")]
+    controls = spark.createDataFrame(marks, "series_key string, seq bigint, ts_ms bigint, action string")
+    columns = ["series_key", "seq", "kind", "event_ms", "prev_level", "state_level", "state"]
+    batch = special.special_events(points, start + 40 * minute, series_controls=controls).select(*columns).collect()
+    both = points.withColumn("action", F.lit(None).cast("string")).unionByName(controls, allowMissingColumns=True)
+    both.coalesce(1).write.parquet(f"{tmp_path}/both")
+    read = lambda: stream_table(spark, f"{tmp_path}/both", both.schema, 1)
+    found = drain(special_stream(read().where("action IS NULL"), series_controls=read().where("action IS NOT NULL")), str(tmp_path))
+    assert sorted(map(tuple, found.select(*columns).collect())) == sorted(map(tuple, batch))
+    assert {r.kind for r in batch} == {"status", "deadman"}
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_absence_stream_equals_batch(spark, folder, tmp_path, parts):
     options = Settings(heartbeat_name="view", absence_limit_ms=600_000)

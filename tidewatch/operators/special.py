@@ -12,10 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.config import DEFAULTS, NO_LEVEL, SEVERE_LEVEL, Settings
+from tidewatch.config import ACTION_DELETE_SERIES, DEFAULTS, NO_LEVEL, SEVERE_LEVEL, Settings
 from tidewatch.functions.time import first_tick_after
-from tidewatch.operators.cells import WHOLE_SERIES, Grain, add_cell, neighbours
+from tidewatch.operators.cells import WHOLE_SERIES, Grain, add_cell, neighbours, running
+from tidewatch.operators.control import count_before
 from tidewatch.operators.hysteresis import ORDER, state_code
+from tidewatch.operators.joins import lookup
 from tidewatch.operators.levels import with_status_level
 
 _EVENT = ("kind", "event_ms", "prev_level", "state_level", "state")
@@ -39,7 +41,8 @@ def with_neighbour_status(
     """Known-status points with the previous point's time, reaction and level and the next one's time."""
     known = with_status_level(points, settings).where(F.col("status_level").isNotNull())
     before = {"prev_ts_ms": "ts_ms", "prev_reaction": "reaction", "prev_status_level": "status_level"}
-    return neighbours(add_cell(known, grain), list(keys), ORDER, grain, before, {"next_ts_ms": "ts_ms"}).drop("cell")
+    placed = known if "cell" in known.columns else add_cell(known, grain)
+    return neighbours(placed, list(keys), ORDER, grain, before, {"next_ts_ms": "ts_ms"}).drop("cell")
 
 
 def _as_event(rows: DataFrame, kind: str, at: Column, before: Column, after: Column) -> DataFrame:
@@ -85,15 +88,33 @@ def deadman_events(
     return _as_event(repeated, "deadman", F.col("_tick"), before, F.lit(SEVERE_LEVEL)).drop("_n", "_tick")
 
 
+def _until_delete(rows: DataFrame, deletes: DataFrame, grain: Grain) -> DataFrame:
+    """End each epoch's last point at the delete that ends the epoch: its timers are forgotten from then on."""
+    numbered = running(add_cell(deletes, grain), ["series_key"], ["ts_ms", "seq"], grain, {"epoch": ("sum", F.lit(1))})
+    ends = numbered.select("series_key", (F.col("epoch") - 1).cast("int").alias("epoch"), F.col("ts_ms").alias("_deleted_ms"))
+    found = lookup(rows, ends, ["series_key", "epoch"])
+    return found.withColumn("next_ts_ms", F.coalesce("next_ts_ms", "_deleted_ms")).drop("_deleted_ms")
+
+
 def special_events(
     points: DataFrame,
     as_of_ms: int,
     grain: Grain = WHOLE_SERIES,
     keys: Sequence[str] = ("series_key",),
     settings: Settings = DEFAULTS,
+    series_controls: DataFrame | None = None,
 ) -> DataFrame:
-    """Status, auto-close and dead-man events of all special points."""
-    rows = with_neighbour_status(points, grain, keys, settings)
+    """Status, auto-close and dead-man events of all special points.
+
+    A delete among ``series_controls`` makes its series start anew, without a level, and stops its timers.
+    """
+    if series_controls is None:
+        rows = with_neighbour_status(points, grain, keys, settings)
+    else:
+        deletes = series_controls.where(F.col("action") == ACTION_DELETE_SERIES).select("series_key", "ts_ms", "seq")
+        epochs = count_before(points, deletes, {"epoch": F.lit(True)}, grain=grain)
+        rows = with_neighbour_status(epochs, grain, [*keys, "epoch"], settings)
+        rows = _until_delete(rows, deletes, grain)
     return (
         status_events(rows, settings)
         .unionByName(autoclose_events(rows, as_of_ms, settings))

@@ -206,8 +206,11 @@ CATALOG = (EV, USR, _CATALOG)
 _CATALOG_COLUMNS = "series_key, uuid, name, first_ts_ms, last_ts_ms, type, is_special, n_points"
 
 
-def _special(by_user: bool = False) -> tuple[str, ...]:
+def _special(by_user: bool = False, controlled: bool = False) -> tuple[str, ...]:
     host = "('u' || user_id)" if by_user else "name"
+    # A delete at or before a point counts; one after it ends what its timers may do.
+    epoch = "(SELECT count(*) FROM err d WHERE d.k = 99 AND d.series_key = e.series_key AND d.ts_ms <= e.ts_ms)" if controlled else "0"
+    deleted = "(SELECT min(d.ts_ms) FROM err d WHERE d.k = 99 AND d.series_key = e.series_key AND d.ts_ms > e.ts_ms)" if controlled else "NULL"
     return (
         EV,
         f"""err AS (
@@ -217,20 +220,21 @@ def _special(by_user: bool = False) -> tuple[str, ...]:
 st AS (
   SELECT *, CASE status WHEN 'OK' THEN -1 WHEN 'WARNING' THEN 3 WHEN 'ERROR' THEN 5 END AS lv,
          ((ts_ms + 3600000) // 60000 + 1) * 60000 AS fire
-  FROM err WHERE status <> 'STALE'),
+, {epoch} AS epoch, {deleted} AS deleted_ms
+  FROM err e WHERE status <> 'STALE'),
 nb AS (
-  SELECT *, lead(ts_ms) OVER w AS next_ms, lag(fire) OVER w AS p_fire, lag(reaction) OVER w AS p_reaction, lag(lv) OVER w AS p_lv
-  FROM st WINDOW w AS (PARTITION BY series_key ORDER BY ts_ms, seq)),
+  SELECT *, coalesce(lead(ts_ms) OVER w, deleted_ms) AS next_ms, lag(fire) OVER w AS p_fire, lag(reaction) OVER w AS p_reaction, lag(lv) OVER w AS p_lv
+  FROM st WINDOW w AS (PARTITION BY series_key, epoch ORDER BY ts_ms, seq)),
 ev_status AS (
-  SELECT 'status' AS kind, series_key, seq, ts_ms, ts_ms AS event_ms, lv AS state_level,
+  SELECT 'status' AS kind, epoch, series_key, seq, ts_ms, ts_ms AS event_ms, lv AS state_level,
          CASE WHEN p_fire < ts_ms AND p_reaction < 0 THEN -1 WHEN p_fire < ts_ms AND p_reaction > 0 THEN 5
               ELSE coalesce(p_lv, -1) END AS prev_level
   FROM nb),
 ev_close AS (
-  SELECT 'autoclose' AS kind, series_key, seq, ts_ms, fire AS event_ms, -1 AS state_level, lv AS prev_level
+  SELECT 'autoclose' AS kind, epoch, series_key, seq, ts_ms, fire AS event_ms, -1 AS state_level, lv AS prev_level
   FROM nb WHERE reaction < 0 AND fire <= {AS_OF_MS} AND (next_ms IS NULL OR fire < next_ms)),
 ev_dead AS (
-  SELECT 'deadman' AS kind, series_key, seq, ts_ms, tick AS event_ms, 5 AS state_level,
+  SELECT 'deadman' AS kind, epoch, series_key, seq, ts_ms, tick AS event_ms, 5 AS state_level,
          CASE WHEN tick = fire THEN lv ELSE 5 END AS prev_level, tick = fire AS is_first
   FROM (SELECT *, unnest(range(fire, least({AS_OF_MS}, coalesce(next_ms - 1, {AS_OF_MS})) + 1, 60000)) AS tick
         FROM nb WHERE reaction > 0))""",
@@ -523,6 +527,8 @@ QUALIFY row_number() OVER (PARTITION BY uuid, ts_ms // 1000, series_key ORDER BY
     "special_autoclose": _with(*_special()) + f"SELECT {_SPECIAL_COLUMNS} FROM ev_close",
     "special_deadman": _with(*_special()) + f"SELECT {_SPECIAL_COLUMNS} FROM ev_dead",
     "special_deadman_first": _with(*_special(by_user=True)) + f"SELECT {_SPECIAL_COLUMNS} FROM ev_dead WHERE is_first",
+    "special_controlled": _with(*_special(controlled=True))
+    + " UNION ALL ".join(f"SELECT kind, {_SPECIAL_COLUMNS}, epoch FROM ev_{t}" for t in ("status", "close", "dead")),
     "host_absence": _with(EV, PTS, _BEATS)
     + "SELECT series_key, kind, event_ms, last_seen_ms, prev_level, state_level, state FROM silence",
     "overdue_hosts": _with(EV, USR)

@@ -455,6 +455,16 @@ def special_deadman_first(spark, folder):
     return special.deadman_events(rows, AS_OF_MS, first_only=True).select(*_SPECIAL)
 
 
+@query
+def special_controlled(spark, folder):
+    """Special points whose series are deleted now and then."""
+    points = events.special_points(spark, folder)
+    decoded = cut_lineage(_controls(spark, folder))
+    per_series = cut_lineage(control.resolve_series(decoded, catalog.series_catalog(points)))
+    found = special.special_events(points, AS_OF_MS, measure_grain(points), series_controls=per_series)
+    return found.select("kind", *_SPECIAL, "epoch")
+
+
 @query
 def host_absence(spark, folder):
     beats = ingest.heartbeats(events.metric_points(spark, folder), HEARTBEAT)

@@ -163,6 +163,12 @@ class Timer:
             self.last_ms, self.reaction, self.fired_ms = ts_ms, reaction, None
         return events
 
+    def delete(self, ts_ms: int) -> list[tuple]:
+        """Forget the series: what was due before still fires, nothing afterwards."""
+        events = self.fire_special(ts_ms - 1)
+        self.last_ms, self.reaction, self.fired_ms, self.level = None, 0, None, -1
+        return events
+
     def fire_absence(self, until_ms: int, limit_ms: int) -> list[tuple]:
         """A silence event if one is due by ``until_ms``: (kind, time, last seen, before, after)."""
         if self.last_ms is None or self.fired_ms is not None or self.due_after(limit_ms) > until_ms:

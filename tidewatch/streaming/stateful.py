@@ -135,9 +135,10 @@ def _timed_stream(
         if state.hasTimedOut:
             out += [shape(key[0], e, seq) for e in expire(timer, state.getCurrentWatermarkMs())]
         else:
-            for row in _sorted_batches(batches, ["ts_ms", "seq"]):
+            # At one instant a control comes before the points.
+            for row in _sorted_batches(batches, ["ts_ms", "is_point", "seq"]):
                 before = seq
-                seq = int(row.seq)
+                seq = int(row.seq) if row.is_point else before
                 # Events that a timer raised belong to the point that set it.
                 out += [shape(key[0], e, seq if e[0] == "status" else before) for e in take(timer, row)]
         at = due(timer)
@@ -152,10 +153,19 @@ def _timed_stream(
     )
 
 
-def special_stream(points: DataFrame, delay: str = "1 minute", settings: Settings = DEFAULTS) -> DataFrame:
-    """Status, auto-close and dead-man events; silent series fire as the watermark moves on."""
+def special_stream(
+    points: DataFrame, delay: str = "1 minute", settings: Settings = DEFAULTS, series_controls: DataFrame | None = None
+) -> DataFrame:
+    """Status, auto-close and dead-man events; silent series fire as the watermark moves on.
+
+    A delete among ``series_controls`` makes its series start anew and stops its timers.
+    """
     known = with_status_level(points, settings).where(F.col("status_level").isNotNull())
-    rows = known.select("series_key", "seq", "ts_ms", "reaction", "status_level")
+    rows = known.select("series_key", "seq", "ts_ms", "reaction", "status_level", F.lit(True).alias("is_point"))
+    if series_controls is not None:
+        deletes = series_controls.where(F.col("action") == ACTION_DELETE_SERIES)
+        nothing = [F.lit(0).cast("int").alias("reaction"), F.lit(-1).cast("int").alias("status_level"), F.lit(False).alias("is_point")]
+        rows = rows.unionByName(deletes.select("series_key", "seq", "ts_ms", *nothing))
 
     def shape(key: str, event: tuple, seq: int) -> dict:
         kind, at, before, after = event
@@ -173,7 +183,11 @@ def special_stream(points: DataFrame, delay: str = "1 minute", settings: Setting
         rows,
         TIMER_ROWS,
         delay,
-        take=lambda timer, row: timer.special_point(int(row.ts_ms), int(row.reaction), int(row.status_level)),
+        take=lambda timer, row: (
+            timer.special_point(int(row.ts_ms), int(row.reaction), int(row.status_level))
+            if row.is_point
+            else timer.delete(int(row.ts_ms))
+        ),
         expire=lambda timer, now: timer.fire_special(now),
         due=lambda timer: timer.next_special(),
         shape=shape,
@@ -201,7 +215,7 @@ def absence_stream(heartbeats: DataFrame, delay: str = "1 minute", settings: Set
         return None if timer.last_ms is None or timer.fired_ms is not None else timer.due_after(limit)
 
     return _timed_stream(
-        heartbeats.select("series_key", "seq", "ts_ms"),
+        heartbeats.select("series_key", "seq", "ts_ms", F.lit(True).alias("is_point")),
         ABSENCE_ROWS,
         delay,
         take=lambda timer, row: timer.heartbeat(int(row.ts_ms), limit),
