@@ -86,3 +86,12 @@ def test_absence_twins(spark):
     rows = synthesize_absence(points).where("is_special").collect()
     assert [(r.name, r.status, r.message, r.type) for r in rows] == [("host_absent", "ERROR", "Host Absent", 1)]
     assert rows[0].series_key.startswith("host_absent|")
+
+
+def test_a_range_of_events_is_read_as_such(spark, folder):
+    from tidewatch.sources.events import metric_points
+
+    low, high = 1_704_500_000_000, 1_705_000_000_000
+    part, whole = metric_points(spark, folder, low, high), metric_points(spark, folder)
+    assert part.count() == whole.where(F.col("ts_ms").between(low, high)).count() > 0
+    assert "GreaterThanOrEqual(ts" in part._jdf.queryExecution().executedPlan().toString()

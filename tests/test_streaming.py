@@ -187,6 +187,10 @@ def test_sinks_can_be_repeated(spark, folder, tmp_path):
     assert read_points(spark, f"{tmp_path}/points").count() == points.count()
     assert stored_table(spark, f"{tmp_path}/baseline", BASELINE).count() == hourly_baseline(points).count()
     assert read_catalog(spark, f"{tmp_path}/catalog", 0).agg(F.sum("n_points")).first()[0] == points.count()
+    low, high = 1_704_500_000_000, 1_705_000_000_000
+    part = read_points(spark, f"{tmp_path}/points", low, high)
+    assert part.count() == points.where(F.col("ts_ms").between(low, high)).count() > 0
+    assert "date" in part._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
     records = spark.createDataFrame([("t0-1", "{}"), ("errors", "{}")], "topic string, value string")
     write_alerts(records, f"{tmp_path}/alerts")
     assert spark.read.parquet(f"{tmp_path}/alerts").where("topic = 'errors'").count() == 1

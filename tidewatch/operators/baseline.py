@@ -25,7 +25,10 @@ def hourly_baseline(points: DataFrame) -> DataFrame:
 
 
 def points_between(points: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
-    """Points in the closed range; a plain comparison, so it reaches the scan."""
+    """Points in the closed range.
+
+    ``ts_ms`` reaches the scan of tables that store it; where it is computed, give the source the range as well.
+    """
     return points.where(F.col("ts_ms").between(start_ms, end_ms))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import ACTION_DELETE_SERIES, DEFAULTS, NO_LEVEL, SEVERE_LEVEL, Settings
-from tidewatch.functions.time import first_tick_after
+from tidewatch.functions.time import explode_ticks, first_tick_after
 from tidewatch.operators.cells import WHOLE_SERIES, Grain, add_cell, neighbours, running
 from tidewatch.operators.control import count_before
 from tidewatch.operators.hysteresis import ORDER, state_code
@@ -81,11 +81,9 @@ def deadman_events(
     due = neighbour_status.where((F.col("reaction") > 0) & (first <= last))
     if first_only:
         return _as_event(due, "deadman", first, F.col("status_level"), F.lit(SEVERE_LEVEL))
-    step = F.lit(settings.tick_ms).cast("bigint")
-    ticks = F.when(first <= last, F.sequence(first, last, step))
-    repeated = due.select("*", F.posexplode(ticks).alias("_n", "_tick"))
-    before = F.when(F.col("_n") == 0, F.col("status_level")).otherwise(F.lit(SEVERE_LEVEL))
-    return _as_event(repeated, "deadman", F.col("_tick"), before, F.lit(SEVERE_LEVEL)).drop("_n", "_tick")
+    repeated = explode_ticks(due, first, last, settings.tick_ms, "_tick")
+    before = F.when(F.col("_tick") == first, F.col("status_level")).otherwise(F.lit(SEVERE_LEVEL))
+    return _as_event(repeated, "deadman", F.col("_tick"), before, F.lit(SEVERE_LEVEL)).drop("_tick")
 
 
 def _until_delete(rows: DataFrame, deletes: DataFrame, grain: Grain) -> DataFrame:

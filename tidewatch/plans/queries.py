@@ -177,7 +177,8 @@ def hourly_baseline_lineitem(spark, folder):
 
 @query
 def baseline_range_read(spark, folder):
-    points = baseline.points_between(events.metric_points(spark, folder), CUT_MS, CUT_MS + 24 * HOUR_MS - 1)
+    last_ms = CUT_MS + 24 * HOUR_MS - 1
+    points = baseline.points_between(events.metric_points(spark, folder, CUT_MS, last_ms), CUT_MS, last_ms)
     return points.select("series_key", "ts_ms", "seq", "value")
 
 

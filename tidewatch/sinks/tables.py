@@ -29,9 +29,17 @@ def write_points(points: DataFrame, path: str, batch: int = 0) -> None:
     _replace(unique, path, "batch", "date")
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """Stored points; a timestamp that several batches wrote counts once, the last batch winning."""
-    stored = spark.read.parquet(path).drop("date")
+def read_points(spark: SparkSession, path: str, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+    """Stored points; a timestamp that several batches wrote counts once, the last batch winning.
+
+    Of a range, ends included, only the folders of its days are read.
+    """
+    stored = spark.read.parquet(path)
+    for bound, below in ((start_ms, False), (end_ms, True)):
+        if bound is not None:
+            day, at = F.to_date(to_timestamp(F.lit(bound))), F.lit(bound)
+            stored = stored.where((F.col("date") <= day) & (F.col("ts_ms") <= at) if below else (F.col("date") >= day) & (F.col("ts_ms") >= at))
+    stored = stored.drop("date")
     columns = [c for c in stored.columns if c not in ("series_key", "ts_ms", "batch")]
     order = F.struct("batch", "seq")
     best = stored.groupBy("series_key", "ts_ms").agg(F.max_by(F.struct(*columns), order).alias("_row"))

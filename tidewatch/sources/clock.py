@@ -4,21 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import DEFAULTS, Settings
-from tidewatch.functions.time import first_tick_after
+from tidewatch.functions.time import explode_ticks, first_tick_after
 from tidewatch.operators.cells import WHOLE_SERIES, Grain, add_cell, neighbours
 from tidewatch.operators.hysteresis import ORDER
 
 
-def ticks(spark: SparkSession, start_ms: int, end_ms: int, settings: Settings = DEFAULTS) -> DataFrame:
-    """Clock ticks in the closed range, a distributed counter."""
-    step = settings.tick_ms
-    return spark.range(-(-start_ms // step) * step, end_ms + 1, step).toDF("tick_ms")
-
-
 def silence_at_ticks(
     points: DataFrame,
     as_of_ms: int,
@@ -31,10 +25,7 @@ def silence_at_ticks(
     Each point yields the ticks of the gap that follows it, so no tick is compared with all series.
     """
     rows = neighbours(add_cell(points, grain), list(keys), ORDER, grain, after={"next_ts_ms": "ts_ms"})
-    step = F.lit(settings.tick_ms).cast("bigint")
     first = first_tick_after(F.col("ts_ms") + F.lit(settings.absence_limit_ms), settings.tick_ms)
     last = F.least(F.lit(as_of_ms), F.col("next_ts_ms") - 1)
-    due = rows.where(first <= last)
-    return due.select(
-        *keys, F.col("ts_ms").alias("last_seen_ms"), F.explode(F.when(first <= last, F.sequence(first, last, step))).alias("tick_ms")
-    )
+    due = explode_ticks(rows, first, last, settings.tick_ms, "tick_ms")
+    return due.select(*keys, F.col("ts_ms").alias("last_seen_ms"), "tick_ms")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import datetime
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,15 +38,29 @@ def _key(name: Column, uuid: Column, host: Column) -> Column:
     return F.concat(name, F.lit('|{"UUID":"'), uuid, F.lit('","host":"'), host, F.lit('"}'))
 
 
-def metric_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as regular points: one series per event type, reaction from ``props.k``."""
+def _stamp(ms: int) -> Column:
+    """An instant as the tables store it, so that a comparison with it reaches the scan."""
+    stamp = datetime.datetime(1970, 1, 1) + datetime.timedelta(milliseconds=ms)
+    return F.expr(f"TIMESTAMP_NTZ '{stamp.isoformat(sep=' ', timespec='milliseconds')}'")
+
+
+def metric_points(spark: SparkSession, folder: str, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+    """Events as regular points: one series per event type, reaction from ``props.k``.
+
+    Points from ``start_ms`` to ``end_ms``, both included, where these are given.
+    """
+    rows = table(spark, folder, "events")
+    if start_ms is not None:
+        rows = rows.where(F.col("ts") >= _stamp(start_ms))
+    if end_ms is not None:
+        rows = rows.where(F.col("ts") < _stamp(end_ms + 1))
     digit = F.col("k") % 10
     reaction = (
         F.when(digit <= 5, 0).when(digit == 6, -1).when(digit == 7, -2).when(digit == 8, -3).otherwise(100).cast("int")
     )
     name = F.col("event_type")
     tags = _tags(_tenant("event_type"), name)
-    return _with_k(table(spark, folder, "events")).select(
+    return _with_k(rows).select(
         _key(name, _tenant("event_type"), name).alias("series_key"),
         name.alias("name"),
         _millis("ts").alias("ts_ms"),
