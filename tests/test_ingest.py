@@ -95,3 +95,36 @@ def test_a_range_of_events_is_read_as_such(spark, folder):
     part, whole = metric_points(spark, folder, low, high), metric_points(spark, folder)
     assert part.count() == whole.where(F.col("ts_ms").between(low, high)).count() > 0
     assert "GreaterThanOrEqual(ts" in part._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_keep_the_order_of_arrival(spark):
+    from tidewatch.functions.arrival import element_number
+    from tidewatch.sources.messages import control_messages, topic_messages
+
+    rows = [
+        (600, 0, "2024-01-01 00:00:00.001", "late"),
+        (0, 2**34, "2024-01-01 00:00:00", "c"),
+        (1, 0, "2024-01-01 00:00:00", "d"),
+        (0, 2**34 - 1, "2024-01-01 00:00:00", "b"),
+        (3, 7, "2023-12-31 23:59:59", "a"),
+    ]
+    raw = spark.createDataFrame(rows, "partition int, offset bigint, at string, value string")
+    messages = topic_messages(raw.withColumn("timestamp", F.col("at").cast("timestamp")))
+    assert [r.value for r in messages.orderBy("msg_id").collect()] == ["a", "b", "c", "d", "late"]
+    assert messages.select("msg_id").distinct().count() == 5
+    controls = control_messages(messages)
+    assert controls.columns == ["ts_ms", "seq", "value"] and controls.orderBy("seq").first().ts_ms == 1_704_067_199_000
+    places = spark.createDataFrame([(1, 2**20 + 1), (2, 0), (1, 9), (1, 10)], "msg_id bigint, pos int")
+    ordered = places.orderBy(element_number(F.col("msg_id"), False, F.col("pos"))).collect()
+    assert [tuple(r) for r in ordered] == [(1, 9), (1, 10), (1, 2**20 + 1), (2, 0)]
+
+
+def test_the_last_arrival_wins_over_partitions(spark):
+    from tidewatch.operators.catalog import latest_by_arrival
+    from tidewatch.sources.messages import topic_messages
+
+    body = '[{"metric":"a","timestamp":1704067200000,"value":%d,"tags":{"UUID":"t0","host":"h"}}]'
+    rows = [(0, 5, "2024-01-01 00:00:05", body % 2), (9, 1, "2024-01-01 00:00:01", body % 1)]
+    raw = spark.createDataFrame(rows, "partition int, offset bigint, at string, value string")
+    points = good_points(parse_messages(topic_messages(raw.withColumn("timestamp", F.col("at").cast("timestamp")))))
+    assert [r.value for r in latest_by_arrival(points, ["value"]).collect()] == [2.0]

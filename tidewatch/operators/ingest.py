@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import ABSENCE_NAME, DEFAULTS, HEARTBEAT_NAME, Settings
+from tidewatch.functions.arrival import element_number
 from tidewatch.functions.identity import series_key
 from tidewatch.schemas import METRIC_POINT, WIRE_ELEMENT
 
@@ -77,7 +78,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         is_special.alias("is_special"),
         "status",
         "message",
-        F.shiftleft("msg_id", 20).bitwiseOR(F.coalesce("pos", F.lit(0)).cast("bigint")).alias("seq"),
+        element_number(F.col("msg_id"), dict(messages.dtypes)["msg_id"] == "string", F.col("pos")).alias("seq"),
     )
 
 

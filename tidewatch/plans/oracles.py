@@ -187,7 +187,7 @@ fields AS (
          json_extract_string(e, '$.status') AS status
   FROM elements),
 parsed AS (
-  SELECT *, msg_id * 1048576 + pos AS seq, {_key("name", "uuid", "host")} AS series_key,
+  SELECT *, lpad(CAST(msg_id AS VARCHAR), 19, '0') || '-' || lpad(CAST(pos AS VARCHAR), 10, '0') AS seq, {_key("name", "uuid", "host")} AS series_key,
          CASE WHEN json_type(e) <> 'OBJECT' THEN 'bad_element' WHEN name IS NULL THEN 'missing_name'
               WHEN ts_ms IS NULL THEN 'missing_timestamp' WHEN value IS NULL THEN 'missing_value'
               WHEN tags IS NULL THEN 'missing_tags' WHEN uuid IS NULL THEN 'missing_uuid' END AS reason

@@ -33,7 +33,7 @@ METRIC_POINT = T.StructType(
         T.StructField("is_special", T.BooleanType()),
         T.StructField("status", T.StringType()),
         T.StructField("message", T.StringType()),
-        T.StructField("seq", T.LongType()),
+        T.StructField("seq", T.StringType()),
     ]
 )
 

@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.functions.arrival import message_number
 from tidewatch.session import prepare
 
 MESSAGES = "msg_id bigint, value string"
-CONTROL_MESSAGES = "ts_ms bigint, seq bigint, value string"
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, stream: bool = True) -> DataFrame:
     """Messages of a Kafka topic; needs the Kafka connector on the class path.
 
-    The message id joins partition and offset, so it grows with arrival within a partition.
+    The message id is a text that sorts by the instant of arrival, then by partition and offset.
     """
     prepare(spark)
     reader = spark.readStream if stream else spark.read
@@ -24,12 +24,18 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, max_offsets: i
     if stream and max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     raw = reader.format("kafka").options(**options).load()
-    place = F.shiftleft(F.col("partition").cast("bigint"), 34).bitwiseOR(F.col("offset"))
-    return raw.select(place.alias("msg_id"), F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received"))
+    return topic_messages(raw)
 
 
-def stored_messages(spark: SparkSession, path: str, schema: str = MESSAGES) -> DataFrame:
-    return prepare(spark).read.schema(schema).parquet(path)
+def topic_messages(raw: DataFrame) -> DataFrame:
+    """(msg_id, value, received) of a topic's rows (partition, offset, timestamp, value)."""
+    number = message_number(F.col("timestamp"), F.col("partition"), F.col("offset"))
+    return raw.select(number.alias("msg_id"), F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received"))
+
+
+def control_messages(messages: DataFrame) -> DataFrame:
+    """Messages of a control topic as ``decode_control`` takes them: in force from their arrival on."""
+    return messages.select(F.unix_millis("received").alias("ts_ms"), F.col("msg_id").alias("seq"), "value")
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = 100) -> DataFrame:

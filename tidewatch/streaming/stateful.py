@@ -53,6 +53,15 @@ def control_rows(series_controls: DataFrame, level_controls: DataFrame, catalog:
     return named.unionByName(fanned.select("series_key", "ts_ms", "seq", "action", "rules"), allowMissingColumns=True)
 
 
+def _numbered_like(schema: str, rows: DataFrame) -> str:
+    """The schema with numbers of the kind that the rows have: whole numbers or texts in the order of arrival."""
+    return schema.replace("seq bigint", f"seq {dict(rows.dtypes)['seq']}")
+
+
+def _plain(number):
+    return number if isinstance(number, str) else int(number)
+
+
 def _sorted_batches(batches: Iterator[pd.DataFrame], order: list[str]) -> Iterator[tuple]:
     rows = pd.concat(list(batches)).sort_values(order, kind="stable")
     return rows.itertuples(index=False)
@@ -112,7 +121,7 @@ def level_states_stream(
         yield pd.DataFrame(out, columns=names)
 
     return rows.groupBy("series_key").applyInPandasWithState(
-        work, LEVEL_ROWS, STATE, "append", GroupStateTimeout.NoTimeout
+        work, _numbered_like(LEVEL_ROWS, rows), STATE, "append", GroupStateTimeout.NoTimeout
     )
 
 
@@ -129,7 +138,7 @@ def _timed_stream(
     names = [part.split()[0] for part in schema.split(", ")]
 
     def work(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = json.loads(state.get[0]) if state.exists else {"timer": {"tick_ms": tick_ms}, "seq": -1}
+        kept = json.loads(state.get[0]) if state.exists else {"timer": {"tick_ms": tick_ms}, "seq": None}
         timer, seq = Timer(**kept["timer"]), kept["seq"]
         out = []
         if state.hasTimedOut:
@@ -138,7 +147,7 @@ def _timed_stream(
             # At one instant a control comes before the points.
             for row in _sorted_batches(batches, ["ts_ms", "is_point", "seq"]):
                 before = seq
-                seq = int(row.seq) if row.is_point else before
+                seq = _plain(row.seq) if row.is_point else before
                 # Events that a timer raised belong to the point that set it.
                 out += [shape(key[0], e, seq if e[0] == "status" else before) for e in take(timer, row)]
         at = due(timer)
@@ -149,7 +158,7 @@ def _timed_stream(
 
     timed = rows.withColumn("ts", to_timestamp(F.col("ts_ms"))).withWatermark("ts", delay)
     return timed.groupBy("series_key").applyInPandasWithState(
-        work, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout
+        work, _numbered_like(schema, rows), STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
