@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import Settings
 from tidewatch.operators import absence, control, special
+from tidewatch.operators.alerts import absence_alerts, from_stream, level_alerts, route_alerts, special_alerts
 from tidewatch.operators.baseline import hourly_baseline
 from tidewatch.operators.catalog import series_catalog
 from tidewatch.operators.ingest import dead_letters, good_points, heartbeats, parse_messages
@@ -114,6 +115,35 @@ def test_level_stream_over_small_files(spark, folder, tmp_path):
     assert ends == {r.seq: r.endtimes for r in batch.select("seq", "endtimes").collect()}
 
 
+def records(alert_rows):
+    routed = route_alerts(alert_rows).select("topic", "role", "value").collect()
+    return sorted((r.topic, r.role, json.dumps(json.loads(r.value), sort_keys=True)) for r in routed)
+
+
+def test_streamed_records_equal_batch_records(spark, folder, tmp_path):
+    points = events.metric_points(spark, folder)
+    base = hourly_baseline(points).persist()
+    rows = points.select("series_key", "seq", "ts_ms", "uuid", "type", "value", "reaction")
+    source = in_files(rows, f"{tmp_path}/in", "ts_ms", 2)
+    states = drain(level_states_stream(score_stream(stream_table(spark, source, rows.schema, 1), base)), f"{tmp_path}/a")
+    assert records(level_alerts(from_stream(states))) == records(level_alerts(monitor(points, baseline=base)))
+
+    errors = events.special_points(spark, folder).drop("tags")
+    as_of = errors.agg(F.max("ts_ms")).first()[0]
+    source = in_files(errors, f"{tmp_path}/errors", "ts_ms", 3)
+    found = drain(special_stream(stream_table(spark, source, errors.schema, 1)), f"{tmp_path}/b")
+    batch = special.special_events(errors, as_of).where(F.col("event_ms") <= as_of)
+    assert records(special_alerts(from_stream(found))) == records(special_alerts(batch))
+
+    options = Settings(heartbeat_name="view", absence_limit_ms=600_000)
+    beats = heartbeats(points, options).drop("tags")
+    as_of = beats.agg(F.max("ts_ms")).first()[0]
+    source = in_files(beats, f"{tmp_path}/beats", "ts_ms", 3)
+    found = drain(absence_stream(stream_table(spark, source, beats.schema, 1), settings=options), f"{tmp_path}/c")
+    batch = absence.absence_events(beats, as_of, settings=options)
+    assert records(absence_alerts(from_stream(found))) == records(absence_alerts(batch))
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_special_stream_equals_batch(spark, folder, tmp_path, parts):
     points = events.special_points(spark, folder).select("series_key", "seq", "ts_ms", "status", "reaction")

@@ -72,11 +72,28 @@ def level_alerts(states: DataFrame, source: str = "level") -> DataFrame:
     )
 
 
+def event_levels(settings: Settings = DEFAULTS) -> list[int]:
+    """Levels whose times the events of special points and of silence carry on."""
+    return sorted({*levels_in_use(settings), SEVERE_LEVEL, *(j for j in settings.status_levels.values() if j >= 0)})
+
+
+def from_stream(rows: DataFrame) -> DataFrame:
+    """Rows of the streaming machines with their times and values as the batch operators have them."""
+    times = {c: F.from_json(c, "map<string,bigint>").cast(_TIMES) for c in ("starttimes", "endtimes")}
+    values = {"values": F.from_json("values", _VALUES)} if "values" in rows.columns else {}
+    return rows.withColumns(times | values)
+
+
 def _timed(events: DataFrame, grain: Grain, settings: Settings, start_at: str = "event_ms") -> DataFrame:
-    """Events with the times at which their series last entered and left each level, carried on from event to event."""
+    """Events with the times at which their series last entered and left each level, carried on from event to event.
+
+    Those that come from a stream have them already.
+    """
+    if "starttimes" in events.columns:
+        return events
     point = F.col("ts_ms") if "ts_ms" in events.columns else F.lit(None).cast("bigint")
     order = F.col("seq") if "seq" in events.columns else F.lit(0).cast("bigint")
-    levels = sorted({*levels_in_use(settings), SEVERE_LEVEL, *(j for j in settings.status_levels.values() if j >= 0)})
+    levels = event_levels(settings)
     rows = events.withColumns({"point_ms": point, "ts_ms": F.col("event_ms"), "seq": order})
     return with_level_times(rows, grain, levels_used=levels, start_at=start_at)
 
