@@ -10,8 +10,8 @@ that share their gram form a context, about LENGTH/2 windows in a run.
    windows have equal blocks, and all suffixes of the block sequences are sorted by linear grouping.  Neighbours in that
    order that agree in all full blocks of a window form a class; two windows are equal when their class, their place
    in it and the bytes left over at their ends are equal.
-3. A hash under which more than BUCKET different contexts meet is not gathered: its windows are counted by their
-   digests in a plain aggregation.
+3. A hash under which more than BUCKET different contexts meet is not gathered: what the windows of a block share, and
+   then the bytes they don't, are counted in plain aggregations.
 """
 
 from __future__ import annotations
@@ -214,19 +214,55 @@ def _cut_contexts(length: int):
     return run
 
 
-def _window_digests(length: int):
+_PLACES = "w binary, doc bigint, t bigint, at bigint, alone boolean, least int, most int, head binary, tail binary"
+
+
+def _block_places(length: int, block: int):
+    """One row for all windows that begin in the same block: what they share, and what is before and behind it.
+
+    ``w`` digests the whole blocks from ``at`` on that all of them hold, with their place against the gram.  A window
+    that begins k bytes before, ``least`` to ``most``, also holds the last k bytes of ``head`` and the first block - k
+    of ``tail``.
+    """
+    whole = length - block
+
     def run(batches):
-        names = ["w", "doc", "t", "first", "alone"]
-        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
         for batch in batches:
-            for _, doc, t, first, n, _, alone, raw in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
-                found = [xxhash.xxh3_128_digest(raw[k : k + length]) for k in range(n)]
-                columns = [found, [doc] * n, [t] * n, list(range(first, first + n)), [alone] * n]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            out = [[] for _ in range(9)]
+            for h, doc, t, first, n, gram, alone, raw in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
+                for at in range(gram % block, n + block - 1, block):
+                    least, most = max(0, at - n + 1), min(block - 1, at)
+                    if least > most:
+                        continue
+                    digest = xxhash.xxh3_128(raw[at : at + whole])
+                    digest.update(f"{h} {at - gram}")
+                    row = digest.digest(), doc, t, first + at, alone, least, most, raw[at - most : at], raw[at + whole : at + length - least]
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            names = [c.split()[0] for c in _PLACES.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
     return run
 
 
+def _crowded_spans(contexts_with_bytes: DataFrame, length: int, block: int) -> DataFrame:
+    """Spans of the contexts of crowded hashes, by counting alone: nothing is gathered, whatever many have in common."""
+    places = stored(contexts_with_bytes.mapInArrow(_block_places(length, block), _PLACES))
+    total = places.count()
+    sides = F.struct("least", "most", "head", "tail")
+    shared = places.groupBy("w").agg(F.count(F.lit(1)).alias("m"), F.min(sides).alias("lo"), F.max(sides).alias("hi")).where("m > 1")
+    shared = stored(shared.select("w", "m", (F.col("lo") == F.col("hi")).alias("alike")))
+    met = stored(attach(places, shared, "w", "m", total))
+    whole = met.where("alike AND alone").select("doc", "t", (F.col("at") - F.col("most")).alias("first"), (F.col("at") - F.col("least") + length).alias("end"))
+    each = met.where("NOT alike").select("w", "doc", "t", "at", "alone", "most", "head", "tail", F.explode(F.sequence("least", "most")).alias("k"))
+    left = F.expr("substring(head, most - k + 1, k)"), F.expr(f"substring(tail, 1, {block} - k)")
+    windows = stored(each.select(F.concat("w", F.encode(F.char("k"), "utf-8"), *left).alias("v"), "doc", "t", (F.col("at") - F.col("k")).alias("first"), "alone"))
+    twice = stored(windows.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
+    found = attach(windows.where("alone"), twice, "v", "m", total)
+    return whole.unionByName(found.select("doc", "t", "first", (F.col("first") + length).alias("end")))
+
+
 def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
     """Spans (doc, t, first, end) of bytes, overlapping, that cover all repeated windows of texts (doc, t, text)."""
     found = stored(keyed.mapInArrow(_all_contexts(length, gram), _CONTEXT))
@@ -259,9 +295,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, blo
     compared = small.repartition("h").sortWithinPartitions("h").mapInArrow(_compare(length, block), _SPAN)
 
     big = bytes_of.join(crowded, "h", "left_semi").select("h", "doc", "t", "first", "n", "gram", "alone", "bytes")
-    windows = stored(big.mapInArrow(_window_digests(length), "w binary, doc bigint, t bigint, first bigint, alone boolean"))
-    twice = stored(windows.groupBy("w").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
-    counted = attach(windows.where("alone"), twice, "w", "m", max(total, windows.count())).select("doc", "t", "first", (F.col("first") + length).alias("end"))
+    counted = _crowded_spans(big, length, block)
     return whole.unionByName(copies).unionByName(compared).unionByName(counted)
 
 
