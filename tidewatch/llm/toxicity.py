@@ -34,7 +34,7 @@ TOXIC_SHARE = 0.3
 # Bounds of the sample the model is fitted on: documents of each label, and the characters of each of them.
 SAMPLE_EACH = 1500
 SAMPLE_CHARS = 20_000
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 300_000
 _WORD = re.compile(r"\w+")
 
 
@@ -45,10 +45,12 @@ def words_of(text: str | None) -> list[str]:
 def grams_of(word: str) -> list[int]:
     """Buckets of the whole word and of its character n-grams, its borders marked."""
     marked = f"<{word}>"
-    grams = {marked}
-    for n in GRAMS:
-        grams.update(marked[i : i + n] for i in range(len(marked) - n + 1))
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in sorted(grams)]
+    # Slices of bytes are slices of characters where every character is one byte.
+    text = marked.encode() if marked.isascii() else marked
+    grams = [text, *(text[i : i + n] for n in GRAMS for i in range(len(text) - n + 1))]
+    if text is marked:
+        grams = [g.encode("utf-8", "surrogatepass") for g in grams]
+    return [zlib.crc32(g) % BUCKETS for g in grams]
 
 
 @dataclass
@@ -61,12 +63,13 @@ class Classifier:
 
 class _WordWeights(dict):
     def __init__(self, model: Classifier):
-        self.weights = model.bucket_weights
+        self.weights = model.bucket_weights.tolist()
 
     def __missing__(self, word: str) -> float:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        value = self[word] = float(self.weights[grams_of(word)].mean())
+        grams = grams_of(word)
+        value = self[word] = sum(map(self.weights.__getitem__, grams)) / len(grams)
         return value
 
 
