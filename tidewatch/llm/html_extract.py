@@ -136,10 +136,13 @@ def extract(page: str | None, weights: Weights) -> str:
 def fitted(pages: DataFrame, sample: int = SAMPLE_PAGES, max_chars: int = SAMPLE_CHARS) -> Weights:
     """Fit on the layouts of the package and on at most ``sample`` pages that mark their article themselves.
 
-    Sampled are the first by a hash of page_id, of at most ``max_chars`` characters.
+    Sampled are the first by a hash of page_id and text, of at most ``max_chars`` characters.
     """
     marked = pages.where((F.char_length("html") <= max_chars) & F.col("html").rlike("(?i)<(article|main)[ >]"))
-    chosen = marked.orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).select("html").limit(sample).collect()
+    keyed = marked.select(F.xxhash64("page_id", "html").alias("h"), "html")
+    # Only hashes are ordered; the texts of the chosen ones alone come to the driver.
+    first = F.broadcast(keyed.select("h").distinct().orderBy("h").limit(sample))
+    chosen = keyed.join(first, "h").groupBy("h").agg(F.first("html").alias("html")).orderBy("h").collect()
     found = []
     for source in [*layouts(), *(r.html for r in chosen)]:
         nodes = parse(source)
