@@ -40,6 +40,7 @@ def test_lines_without_letters_stay(spark):
 
 def test_template_placeholders():
     assert template("He paid 3.50 dollars to Anna. Anna left")[0] == ["he", "paid", "<number>", "<unit>", "to", "<name>", "anna", "left"]
+    assert template("THE WHOLE TEXT CRIES. AND I SAY A WORD")[0] == "the whole text cries and i say a word".split()
     assert template("twelve km")[0] == ["<number>", "<unit>"]
     assert template(None) == ([], [])
 
@@ -56,13 +57,14 @@ ITEM = "Yesterday Peter bought 12 apples and 5 pears from Maria and gave 12 appl
         (ITEM.replace("bought 12", "bought 31"), False),  # 12 would stand for two values
         (ITEM.replace("12", "5"), False),  # 12 and 5 would become one
         (ITEM[:60], False),
+        ("another thing entirely that nobody asked of anyone here".upper(), None),
         ("nothing of the kind is said here at all", False),
     ],
 )
 def test_contamination(spark, text, there):
     items = spark.createDataFrame([(7, ITEM), (8, "another thing entirely that nobody asked of anyone here")], "item_id bigint, text string")
     found = contaminated(documents(spark, [text, None, ""]), items).collect()
-    assert [(x.doc_id, x.item_id) for x in found] == ([(0, 7)] if there else [])
+    assert [(x.doc_id, x.item_id) for x in found] == ([(0, 8)] if there is None else [(0, 7)] if there else [])
 
 
 def test_alignment_increases_in_both():

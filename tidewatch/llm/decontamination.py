@@ -46,7 +46,7 @@ def template(text: str | None) -> tuple[list[str], list[str]]:
     """(template tokens, values behind placeholders, "" for plain words).
 
     Numbers are digits or number words; units are measures right after a number; names are capitalised words that
-    do not begin a sentence.
+    do not begin a sentence and are not in capitals throughout, as all words of some texts are.
     """
     tokens, values, start, number = [], [], True, False
     for word in _TOKEN.findall(text or ""):
@@ -62,7 +62,7 @@ def template(text: str | None) -> tuple[list[str], list[str]]:
             if number and low in UNITS:
                 tokens.append("<unit>")
                 values.append(low)
-            elif not start and word[0].isupper():
+            elif not start and word[0].isupper() and not word.isupper():
                 tokens.append("<name>")
                 values.append(low)
             else:
