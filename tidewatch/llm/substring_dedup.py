@@ -214,7 +214,7 @@ def _cut_contexts(length: int):
     return run
 
 
-_PLACES = "w binary, doc bigint, t bigint, at bigint, alone boolean, least int, most int, head binary, tail binary"
+_PLACES = "w binary, kind binary, doc bigint, t bigint, at bigint, alone boolean, least int, most int, head binary, tail binary"
 
 
 def _block_places(length: int, block: int):
@@ -228,7 +228,7 @@ def _block_places(length: int, block: int):
 
     def run(batches):
         for batch in batches:
-            out = [[] for _ in range(9)]
+            out = [[] for _ in range(10)]
             for h, doc, t, first, n, gram, alone, raw in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
                 for at in range(gram % block, n + block - 1, block):
                     least, most = max(0, at - n + 1), min(block - 1, at)
@@ -236,10 +236,12 @@ def _block_places(length: int, block: int):
                         continue
                     digest = xxhash.xxh3_128(raw[at : at + whole])
                     digest.update(f"{h} {at - gram}")
-                    row = digest.digest(), doc, t, first + at, alone, least, most, raw[at - most : at], raw[at + whole : at + length - least]
+                    w, head, tail = digest.digest(), raw[at - most : at], raw[at + whole : at + length - least]
+                    digest.update(f" {least} {most} ".encode() + head + tail)
+                    row = w, digest.digest(), doc, t, first + at, alone, least, most, head, tail
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             names = [c.split()[0] for c in _PLACES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
@@ -250,12 +252,15 @@ def _crowded_spans(contexts_with_bytes: DataFrame, length: int, block: int) -> D
     """Spans of the contexts of crowded hashes, by counting alone: nothing is gathered, whatever many have in common."""
     places = stored(contexts_with_bytes.mapInArrow(_block_places(length, block), _PLACES))
     total = places.count()
-    sides = F.struct("least", "most", "head", "tail")
-    shared = places.groupBy("w").agg(F.count(F.lit(1)).alias("m"), F.min(sides).alias("lo"), F.max(sides).alias("hi")).where("m > 1")
-    shared = stored(shared.select("w", "m", (F.col("lo") == F.col("hi")).alias("alike")))
-    met = stored(attach(places, shared, "w", "m", total))
-    whole = met.where("alike AND alone").select("doc", "t", (F.col("at") - F.col("most")).alias("first"), (F.col("at") - F.col("least") + length).alias("end"))
-    each = met.where("NOT alike").select("w", "doc", "t", "at", "alone", "most", "head", "tail", F.explode(F.sequence("least", "most")).alias("k"))
+    one = F.min(F.struct("doc", "t", "at", "alone", "least", "most", "head", "tail")).alias("one")
+    kinds = stored(places.groupBy("kind").agg(F.count(F.lit(1)).alias("m"), F.first("w").alias("w"), one))
+    alike = attach(places.where("alone"), kinds.where("m > 1").select("kind", "m"), "kind", "m", total)
+    whole = alike.select("doc", "t", (F.col("at") - F.col("most")).alias("first"), (F.col("at") - F.col("least") + length).alias("end"))
+    # Of every kind one place is compared with the other kinds that share its blocks; only kinds of one place are open.
+    shared = kinds.groupBy("w").agg(F.count(F.lit(1)).alias("k"), F.min("m").alias("fewest"))
+    shared = stored(shared.where("k > 1 AND fewest = 1").drop("fewest"))
+    met = attach(kinds, shared, "w", "k", total).select("w", "one.*", (F.col("m") == 1).alias("open"))
+    each = met.select("w", "doc", "t", "at", (F.col("open") & F.col("alone")).alias("alone"), "most", "head", "tail", F.explode(F.sequence("least", "most")).alias("k"))
     left = F.expr("substring(head, most - k + 1, k)"), F.expr(f"substring(tail, 1, {block} - k)")
     windows = stored(each.select(F.concat("w", F.encode(F.char("k"), "utf-8"), *left).alias("v"), "doc", "t", (F.col("at") - F.col("k")).alias("first"), "alone"))
     twice = stored(windows.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
