@@ -6,7 +6,7 @@ import zlib
 import pytest
 from frames import documents
 
-from tidewatch.llm.decontamination import contaminated, template
+from tidewatch.llm.decontamination import _hash, contaminated, readings, template, token_hashes
 from tidewatch.llm.license_texts import TEMPLATES
 from tidewatch.llm.licenses import Scanner, align, words_of
 from tidewatch.llm.line_templates import line_report
@@ -67,6 +67,48 @@ def test_contamination(spark, text, there):
     assert [(x.doc_id, x.item_id) for x in found] == ([(0, 8)] if there is None else [(0, 7)] if there else [])
 
 
+def test_hashes_are_those_of_the_readings():
+    r = random.Random(8)
+    words = "Tom Anna Maria has buys 3 12 twenty five km Dollars minutes OK A . ! apples how How".split()
+    for _ in range(300):
+        text = " ".join(r.choice(words) for _ in range(r.randint(0, 25)))
+        wanted = [[_hash(t) for t in tokens] for tokens, _ in readings(text)]
+        found = token_hashes(text, {})
+        assert found[0].tolist() == wanted[0] and (found[0] if found[1] is None else found[1]).tolist() == wanted[1]
+
+
+TOM = "Tom has 3 apples. Tom buys 5 more apples. How many does Tom have?"
+LONG = ITEM + " if each of the pears that were left over weighs as much as three of the red apples on the table"
+
+
+def found_items(spark, text, item):
+    items = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    return [x.doc_id for x in contaminated(documents(spark, [text]), items).collect()]
+
+
+@pytest.mark.parametrize("text", [TOM.replace("Tom", "Olga"), TOM.replace("Tom", "Anna Maria"), "we ask: " + TOM.replace("Tom", "Olga").replace("3", "9")])
+def test_names_that_begin_a_sentence(spark, text):
+    assert found_items(spark, text, TOM) == [0]
+
+
+@pytest.mark.parametrize("item, text, there", [("what is truth", "so i ask what is truth and go", True), ("what is truth", "so i ask what is the truth", False), ("12", "all of 13 of us", False)])
+def test_items_shorter_than_a_window(spark, item, text, there):
+    assert found_items(spark, text, item) == [0] * there
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        LONG.replace("to her so", "to her gladly so"),
+        LONG.replace("back to her", "to her"),
+        LONG.replace("12", "twenty five"),
+        LONG.replace("Peter", "Anna Maria"),
+    ],
+)
+def test_items_with_words_put_in_or_left_out(spark, text):
+    assert found_items(spark, "before it. " + text + " and after", LONG) == [0]
+
+
 def test_alignment_increases_in_both():
     r = random.Random(5)
     for _ in range(200):

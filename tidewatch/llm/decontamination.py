@@ -1,8 +1,9 @@
 """Benchmark decontamination by templates: re-parameterised items are found as well as copied ones.
 
 Words become template tokens: numbers, names and units give way to typed placeholders, other words to their lower
-case.  Windows of template tokens of documents and items are joined by hash.  Along one alignment of a document with
-an item, the values behind the placeholders must be consistent: the same value in the item always stands for the same
+case.  Whether a capitalised word that begins a sentence is a name can't be seen, so texts are read both ways.  Windows
+of template tokens of documents and items are joined by hash.  Along one alignment of a document with an item, which
+may shift where words were put in or left out, the values behind the placeholders must be consistent: the same value in the item always stands for the same
 value in the document, and the other way round.  An item whose windows are covered well enough is contained.
 """
 
@@ -23,6 +24,8 @@ ship_by_value(__name__)
 
 WINDOW = 5
 COVERAGE = 0.8
+# Tokens by which an alignment may shift from one window to the next: words put in or left out.
+DRIFT = 5
 # Measures whose names are replaced when they follow a number.
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg gram grams kilogram kilograms lb lbs "
@@ -42,35 +45,67 @@ _TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]")
 _ENDS = frozenset(".!?\n")
 
 
-def template(text: str | None) -> tuple[list[str], list[str]]:
-    """(template tokens, values behind placeholders, "" for plain words).
+END, NUMBER, UNIT, CAPITALISED, CAPITALISED_UNIT, PLAIN = range(6)
+
+
+def _kind(word: str) -> tuple[int, str]:
+    low = word.lower()
+    if word in _ENDS:
+        return END, low
+    if word[0].isdecimal() or low in NUMBER_WORDS:
+        return NUMBER, low
+    if word[0].isupper() and not word.isupper():
+        return (CAPITALISED_UNIT if low in UNITS else CAPITALISED), low
+    return (UNIT if low in UNITS else PLAIN), low
+
+
+def readings(text: str | None) -> tuple[tuple[list[str], list[str]], tuple[list[str], list[str]]]:
+    """(template tokens, values behind placeholders, "" for plain words), in two readings.
 
-    Numbers are digits or number words; units are measures right after a number; names are capitalised words that
-    do not begin a sentence and are not in capitals throughout, as all words of some texts are.
+    Numbers are digits or number words; units are measures right after a number; names are capitalised words that are
+    not in capitals throughout, as all words of some texts are.  A capitalised word that begins a sentence is a plain
+    word in the first reading and a name in the second.  Numbers or names that follow each other in a sentence are one
+    token.
     """
-    tokens, values, start, number = [], [], True, False
+    tokens, values, named, behind = [], [], [], []
+    start, number = True, False
     for word in _TOKEN.findall(text or ""):
-        if word in _ENDS:
+        kind, low = _kind(word)
+        if kind == PLAIN:
+            tokens.append(low)
+            values.append("")
+            named.append(low)
+            behind.append("")
+            start = number = False
+            continue
+        if kind == END:
             start, number = True, False
             continue
-        low = word.lower()
-        if word[0].isdecimal() or low in NUMBER_WORDS:
-            tokens.append("<number>")
-            values.append(low)
-            number = True
+        if kind == NUMBER:
+            one = other = "<number>"
+        elif number and kind in (UNIT, CAPITALISED_UNIT):
+            one = other = "<unit>"
+        elif kind == UNIT:
+            one = other = low
         else:
-            if number and low in UNITS:
-                tokens.append("<unit>")
-                values.append(low)
-            elif not start and word[0].isupper() and not word.isupper():
-                tokens.append("<name>")
-                values.append(low)
+            one, other = low if start else "<name>", "<name>"
+        number = kind == NUMBER
+        for out, slots, token in ((tokens, values, one), (named, behind, other)):
+            if token == low:
+                out.append(token)
+                slots.append("")
+            elif not start and out and out[-1] == token:
+                slots[-1] += " " + low
             else:
-                tokens.append(low)
-                values.append("")
-            number = False
+                out.append(token)
+                slots.append(low)
         start = False
-    return tokens, values
+    return (tokens, values), (named, behind)
+
+
+def template(text: str | None) -> tuple[list[str], list[str]]:
+    """The first of the :func:`readings`."""
+    return readings(text)[0]
 
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -81,21 +116,57 @@ def _hash(token: str) -> int:
     return zlib.crc32(raw) | zlib.crc32(raw, 0x5BD1E995) << 32
 
 
-def window_hashes(tokens: list[str], memo: dict | None = None, window: int = WINDOW) -> np.ndarray:
-    """One hash per window of template tokens; fewer tokens than a window count as one window."""
-    memo = {} if memo is None else memo
-    n = len(tokens)
-    if not n:
-        return np.empty(0, np.int64)
-    h = np.empty(n, np.uint64)
-    for i, t in enumerate(tokens):
-        v = memo.get(t)
-        if v is None:
+_NUMBER, _UNIT, _NAME = map(_hash, ("<number>", "<unit>", "<name>"))
+
+
+def token_hashes(text: str | None, memo: dict) -> tuple[np.ndarray, np.ndarray | None]:
+    """The hashes of the tokens of both :func:`readings`, made without the values; no second one if they are equal."""
+    ids, marks, joined = [], [], []
+    start, number = True, False
+    for word in _TOKEN.findall(text or ""):
+        known = memo.get(word)
+        if known is None:
             if len(memo) > 500_000:
                 memo.clear()
-            v = memo[t] = _hash(t)
-        h[i] = v
-    width = min(window, n)
+            kind, low = _kind(word)
+            known = memo[word] = kind, _hash(low)
+        kind, token = known
+        if kind == PLAIN:
+            ids.append(token)
+            start = number = False
+            continue
+        if kind == END:
+            start, number = True, False
+            continue
+        if kind == NUMBER:
+            token, number = _NUMBER, True
+        else:
+            if number and kind != CAPITALISED:
+                token = _UNIT
+            elif kind != UNIT:
+                if start:
+                    marks.append(len(ids))
+                else:
+                    token = _NAME
+            number = False
+        if start or not ids or ids[-1] != token or token not in (_NUMBER, _UNIT, _NAME):
+            if token == _NAME and marks and marks[-1] == len(ids) - 1:
+                joined.append(len(ids))
+            ids.append(token)
+        start = False
+    first = np.array(ids, np.uint64)
+    if not marks:
+        return first, None
+    second = first.copy()
+    second[marks] = _NAME
+    return first, np.delete(second, joined) if joined else second
+
+
+def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
+    """One hash per window of so many tokens, of which there are at least as many."""
+    n = len(h)
+    if not n:
+        return np.empty(0, np.int64)
     total = np.zeros(n - width + 1, np.uint64)
     for k in range(width):
         part = h[k : n - width + 1 + k] * _MULTIPLIERS[k % len(_MULTIPLIERS)] + np.uint64(k)
@@ -103,38 +174,121 @@ def window_hashes(tokens: list[str], memo: dict | None = None, window: int = WIN
     return (total ^ (total >> np.uint64(32))).view(np.int64)
 
 
-_SCHEMA = "id bigint, h bigint, pos bigint, n bigint, slots array<string>"
+_SCHEMA = "id bigint, reading int, h bigint, pos bigint, n bigint, slots array<string>"
 
 
-def _windows(window: int, sift):
-    """Rows (id, hash, position, windows of the text, values behind the placeholders) of the windows sifted."""
+def _windows(window: int, widths: frozenset[int] | None, sift):
+    """Rows (id, reading, hash, position, windows of the text, values behind the placeholders) of the windows sifted.
+
+    Windows have each of the ``widths``; without them, one width, which is that of a text shorter than a window.
+    """
 
     def run(batches):
-        memo: dict[str, int] = {}
+        memo: dict[str, tuple[int, int]] = {}
         wanted = None if sift is None else sift.value
         for batch in batches:
-            out = [[], [], [], [], []]
+            out = [[], [], [], [], [], []]
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                tokens, values = template(text.as_py())
-                hashes = window_hashes(tokens, memo, window)
-                at = np.arange(len(hashes))
-                if wanted is not None:
-                    where = np.minimum(np.searchsorted(wanted, hashes), max(0, len(wanted) - 1))
-                    at = at[wanted[where] == hashes] if len(wanted) else at[:0]
-                for p in at.tolist():
-                    for column, value in zip(out, (i, int(hashes[p]), p, len(hashes), values[p : p + window]), strict=True):
-                        column.append(value)
+                text, values = text.as_py(), None
+                for reading, tokens in enumerate(token_hashes(text, memo)):
+                    if tokens is None:
+                        continue
+                    for width in (min(window, len(tokens)),) if widths is None else widths:
+                        if width > len(tokens):
+                            continue
+                        hashes = window_hashes(tokens, width)
+                        at = np.arange(len(hashes))
+                        if wanted is not None:
+                            where = np.minimum(np.searchsorted(wanted, hashes), max(0, len(wanted) - 1))
+                            at = at[wanted[where] == hashes] if len(wanted) else at[:0]
+                        if len(at) and values is None:
+                            values = [v for _, v in readings(text)]
+                        for p in at.tolist():
+                            for column, value in zip(out, (i, reading, int(hashes[p]), p, len(hashes), values[reading][p : p + width]), strict=True):
+                                column.append(value)
                 if len(out[0]) > 20_000:
                     yield _batch(out)
-                    out = [[], [], [], [], []]
+                    out = [[], [], [], [], [], []]
             yield _batch(out)
 
     return run
 
 
 def _batch(out):
-    kinds = [pa.int64()] * 4 + [pa.list_(pa.string())]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["id", "h", "pos", "n", "slots"])
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["id", "reading", "h", "pos", "n", "slots"])
+
+
+def chains(hits: list[tuple[int, int]], drift: int = DRIFT) -> list[list[int]]:
+    """Numbers of the hits (q, pos) of every alignment: each hit with equal pos - q, and the longest chains that
+    increase in both and in which pos - q changes by no more than ``drift`` from one hit to the next.
+    """
+    order = sorted(range(len(hits)), key=hits.__getitem__)
+    rigid: dict[int, list[int]] = {}
+    for k in order:
+        rigid.setdefault(hits[k][1] - hits[k][0], []).append(k)
+    if len(rigid) == 1:
+        return list(rigid.values())
+    # Of each offset the longest chain that ends there: (hits, its last hit), and the hit before each.
+    ends: dict[int, tuple[int, int]] = {}
+    before: dict[int, int] = {}
+    at = 0
+    while at < len(order):
+        q, added = hits[order[at]][0], {}
+        while at < len(order) and hits[order[at]][0] == q:
+            k = order[at]
+            pos, length, last = hits[k][1], 0, -1
+            for offset in range(pos - q - drift, pos - q + drift + 1):
+                found = ends.get(offset)
+                if found and found[0] > length and hits[found[1]][1] < pos:
+                    length, last = found
+            added[pos - q] = length + 1, k
+            before[k] = last
+            at += 1
+        ends.update(added)
+    out = list(rigid.values())
+    for _, k in ends.values():
+        chain = []
+        while k >= 0:
+            chain.append(k)
+            k = before[k]
+        out.append(chain[::-1])
+    return out
+
+
+def _judged(window: int, coverage: float):
+    """(id, number, share, n_slots, n_changed, readings) of the best alignment that is consistent and long enough."""
+
+    def best(of: int, hits: list[dict]):
+        tops = None
+        for chain in chains([(x["q"], x["pos"]) for x in hits]):
+            share = len(chain) / of
+            if share < coverage:
+                continue
+            slots = {(hits[k]["q"] + n, a, d) for k in chain for n, (a, d) in enumerate(zip(hits[k]["asked"], hits[k]["slots"], strict=True)) if a}
+            pairs = {(a, d) for _, a, d in slots}
+            if len({a for a, _ in pairs}) != len(pairs) or len({d for _, d in pairs}) != len(pairs):
+                continue
+            changed = sum(a != d for _, a, d in slots)
+            # A short item without a plain word would fit any number or name.
+            if changed and len(hits[0]["asked"]) < window and all(hits[0]["asked"]):
+                continue
+            one = share, -changed, len(slots)
+            tops = one if tops is None or one > tops else tops
+        return tops
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for x in batch.to_pylist():
+                found = best(x["of"], x["hits"])
+                if found:
+                    rows.append((x["id"], x["number"], found[0], -found[1], found[2], x["readings"]))
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int32()]
+            names = ["id", "number", "share", "n_changed", "n_slots", "readings"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
+
+    return run
 
 
 def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, id_column: str = "doc_id") -> DataFrame:
@@ -142,44 +296,35 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, covera
 
     ``coverage`` is the share of the item's template windows found along one alignment with consistent slots, the
     best of all alignments; ``n_slots`` and ``n_changed`` count its placeholders and those with another value.
-    Null and empty texts contain nothing and are contained in nothing; an item shorter than a window is one window.
+    Null and empty texts contain nothing and are contained in nothing; an item shorter than a window is one window,
+    looked for in that width, and without a plain word it has to keep its values.
     Items are told apart by item_id, of equal ones by their text; repeated rows of a document count once.  Empty
     tables give no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     texts = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     numbered = stored(texts.where("item_id is not null and text is not null").distinct().withColumn("number", F.monotonically_increasing_id()))
-    asked = stored(numbered.select("number", "text").mapInArrow(_windows(window, None), _SCHEMA))
+    asked = stored(numbered.select("number", "text").mapInArrow(_windows(window, None, None), _SCHEMA))
     distinct = asked.select("h").distinct()
     n = distinct.count()
     sift = None
     if n <= SIFTED:
         sift = spark.sparkContext.broadcast(np.sort(np.array([r.h for r in distinct.toLocalIterator()], np.int64)))
+    widths = frozenset({window, *(r.width for r in asked.select(F.size("slots").alias("width")).distinct().collect())})
     found = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    found = found.where(F.col("text").isNotNull() & F.col("id").isNotNull()).mapInArrow(_windows(window, sift), _SCHEMA)
-    asked = asked.select(F.col("id").alias("number"), "h", F.col("pos").alias("q"), F.col("n").alias("of"), F.col("slots").alias("asked"))
+    found = found.where(F.col("text").isNotNull() & F.col("id").isNotNull()).mapInArrow(_windows(window, widths, sift), _SCHEMA)
+    asked = asked.select(F.col("id").alias("number"), F.col("reading").alias("as"), "h", F.col("pos").alias("q"), F.col("n").alias("of"), F.col("slots").alias("asked"))
     asked = F.broadcast(asked) if n <= BROADCAST_WINDOWS and asked.count() <= BROADCAST_WINDOWS else asked
-    met = found.join(asked, "h").withColumn("offset", F.col("pos") - F.col("q"))
-    # Values per position of the item: the windows overlap, so most positions come several times.
-    pairs = F.filter(
-        F.transform(F.col("asked"), lambda v, k: F.struct((F.col("q") + k).alias("at"), v.alias("a"), F.element_at("slots", (k + 1).cast("int")).alias("d"))),
-        lambda x: x["a"] != "",
-    )
-    aligned = met.groupBy("id", "number", "offset").agg(
-        F.countDistinct("q").alias("windows"),
-        F.any_value("of").alias("of"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"),
-    )
-    values = F.transform("slots", lambda x: F.struct(x["a"].alias("a"), x["d"].alias("d")))
-    sides = aligned.withColumns({"n_slots": F.size("slots"), "pairs": F.array_distinct(values)}).withColumns(
-        {
-            "consistent": (F.size("pairs") == F.size(F.array_distinct(F.col("pairs.a")))) & (F.size("pairs") == F.size(F.array_distinct(F.col("pairs.d")))),
-            "n_changed": F.size(F.filter("slots", lambda x: x["a"] != x["d"])),
-            "share": F.col("windows") / F.col("of"),
-        }
+    met = found.join(asked, "h").where(F.size("slots") == F.size("asked"))
+    # Only pairs that share enough windows, wherever they are, are aligned.
+    pairs = met.groupBy("id", "number", "reading", "as").agg(
+        F.any_value("of").alias("of"), F.collect_set(F.struct("q", "pos", "asked", "slots")).alias("hits")
     )
-    good = sides.where(F.col("consistent") & (F.col("share") >= coverage))
-    best = good.groupBy("id", "number").agg(F.max(F.struct("share", (-F.col("n_changed")).alias("c"), "n_slots")).alias("b"))
+    pairs = pairs.where(F.size(F.array_distinct(F.col("hits.q"))) >= F.lit(coverage) * F.col("of"))
+    pairs = pairs.select("id", "number", (F.col("reading") + F.col("as")).cast("int").alias("readings"), "of", "hits")
+    judged = pairs.mapInArrow(_judged(window, coverage), "id bigint, number bigint, share double, n_changed bigint, n_slots bigint, readings int")
+    rank = F.struct("share", (-F.col("n_changed")).alias("c"), (-F.col("readings")).alias("r"), "n_slots")
+    best = judged.groupBy("id", "number").agg(F.max(rank).alias("b"))
     named = best.join(F.broadcast(numbered.select("number", "item_id")) if n <= BROADCAST_WINDOWS else numbered.select("number", "item_id"), "number")
     one = named.groupBy("id", "item_id").agg(F.max("b").alias("b"))
     return one.select(
