@@ -132,6 +132,20 @@ def test_licenses_are_found_in_long_texts_and_told_apart():
     assert scanner.scan(prose(r, 5000)) == []
 
 
+def test_every_place_of_a_license_is_found():
+    r = random.Random(9)
+    scanner = Scanner(TEMPLATES, 0.8)
+    for name, text in TEMPLATES.items():
+        size = len(words_of(text))
+        for between in (0, 3, size // 2, 500):
+            found = [f for f in scanner.scan(prose(r, 5) + " " + text + " " + prose(r, between) + " " + text + " " + prose(r, 7)) if f[0] == name]
+            assert [(f[1], f[2]) for f in found] == [(1.0, 5), (1.0, 5 + size + between)], (name, between)
+    longest = max(TEMPLATES, key=lambda n: len(TEMPLATES[n]))
+    short = min(TEMPLATES, key=lambda n: len(TEMPLATES[n]))
+    names = [f[0] for f in scanner.scan(TEMPLATES[longest] + " " + prose(r, 300) + " " + TEMPLATES[short] + " " + prose(r, 300) + " " + TEMPLATES[short])]
+    assert names.count(short) >= 2
+
+
 def test_toxicity_on_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))

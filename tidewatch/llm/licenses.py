@@ -78,36 +78,59 @@ class Scanner:
             words = words_of(text)
             self.templates.append((name, words, Counter(words), int(np.ceil(coverage * len(words)))))
 
+    def _places(self, words: list[str], inside: np.ndarray, template: list[str], least: int, at: int, end: int) -> list[tuple[float, int, int]]:
+        """(coverage, first word, word after the last) of the places of a template among the words from at to end.
+
+        Beside a place that is found, the words before and behind it are searched in the same way.  Copies that share
+        a stretch leave few words that occur once; where that hides a place or draws it over several copies, pieces
+        not much longer than the template are looked at.
+        """
+        if inside[end] - inside[at] < least:
+            return []
+        size = len(template)
+        step = max(1, size // 4)
+        pairs = align(words[at:end], template)
+        covered = len(pairs) >= least
+        first, last = (at + pairs[0][0], at + pairs[-1][0] + 1) if covered else (at, end)
+        if last - first > size + step:
+            pieces = range(first, max(first + 1, last - least + 1), step)
+            found = [p for k in pieces for p in self._places(words, inside, template, least, k, min(last, k + size + step))]
+            if found and not covered:
+                return found
+        else:
+            found = []
+        if not covered:
+            return []
+        found = found or [(len(pairs) / size, first, last)]
+        return [
+            *self._places(words, inside, template, least, at, first),
+            *found,
+            *self._places(words, inside, template, least, last, end),
+        ]
+
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """(template, coverage, first word, word after the last) of the best place of each template that is covered.
+        """(template, coverage, first word, word after the last) of every place where a template is covered.
 
         The text is looked at in stretches of twice the template's words, each beginning one template after the one
         before, so any place that the template fits is whole in one of them.  A stretch with too few of the
-        template's words can't be covered and is passed over.  Where places of several templates overlap, the one that
-        is covered best stays, of equal ones the longest.
+        template's words can't be covered and is passed over.  Where places overlap, of one template or of several,
+        the one that is covered best stays, of equal ones the longest.
         """
         words = words_of(text)
-        found = []
+        found = set()
         if not words:
-            return found
+            return []
         present = set(words)
         for name, template, counts, least in self.templates:
             if sum(n for w, n in counts.items() if w in present) < least:
                 continue
             inside = np.concatenate([[0], np.cumsum(np.fromiter((w in counts for w in words), np.int64, len(words)))])
-            size, best = len(template), None
+            size = len(template)
             for at in range(0, len(words), size):
-                end = min(len(words), at + 2 * size)
-                if inside[end] - inside[at] < least:
-                    continue
-                pairs = align(words[at:end], template)
-                share = len(pairs) / size
-                if len(pairs) >= least and (best is None or share > best[1]):
-                    best = (name, share, at + pairs[0][0], at + pairs[-1][0] + 1)
-            if best:
-                found.append(best)
+                places = self._places(words, inside, template, least, at, min(len(words), at + 2 * size))
+                found.update((name, *place) for place in places)
         kept = []
-        for one in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[0])):
+        for one in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[0], f[2])):
             if all(one[3] <= other[2] or other[3] <= one[2] for other in kept):
                 kept.append(one)
         return sorted(kept, key=lambda f: f[2])
@@ -126,10 +149,9 @@ def _scanned(templates: dict[str, str], coverage: float):
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
-    """Rows (doc_id, license, coverage, first_word, end_word) of documents that cover a template.
+    """Rows (doc_id, license, coverage, first_word, end_word) of the places where documents cover a template.
 
-    Words are counted from 0.  Of several places of one template in a document the best counts, of equal ones the
-    first.  Null and empty texts cover nothing; repeated rows give repeated results; an empty table gives none; other
+    Words are counted from 0.  Several places of one template in a document give a row each.  Null and empty texts cover nothing; repeated rows give repeated results; an empty table gives none; other
     columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
