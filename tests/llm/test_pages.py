@@ -47,6 +47,12 @@ def test_unseen_layouts(weights):
     assert right / seen > 0.97
 
 
+@pytest.mark.parametrize("start", ["<p>Article", "<div><p>Article", "<b>Article</b>", "Article", "</head><p>Article", "<body><p>Article"])
+def test_head_ends_where_its_tags_are_left_out(start):
+    nodes = parse(f"<html><head><title>x</title>\n<meta charset=utf-8><style>p {{}}</style>{start} text</p><p>More")
+    assert " ".join(text for n in nodes for _, text, _ in n.runs if not n.hidden).split() == ["Article", "text", "More"]
+
+
 def test_blocks_white_space_and_references(weights):
     page = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p>";</script></head><body>
         <nav><ul><li><a href="/a">Home</a></li><li><a href="/b">More</a></li></ul></nav><!-- <p>no</p> -->

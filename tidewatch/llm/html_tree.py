@@ -18,6 +18,8 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 HIDDEN = frozenset("script style textarea title noscript iframe noembed noframes template head select option button object svg math canvas audio video map datalist".split())
+# Elements that can be in a head; any other one, or text, ends it.
+IN_HEAD = frozenset("title meta link base basefont bgsound script style noscript noframes template html head".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hgroup hr main menu nav ol p pre search section table ul li dd dt body td th tr tbody thead tfoot".split()
@@ -93,6 +95,8 @@ def parse(page: str | None) -> list[Node]:
     while at < end:
         found = _TAG.search(page, at)
         chunk = page[at : found.start() if found else end]
+        if nodes[stack[-1]].tag == "head" and chunk and not chunk.isspace():
+            stack.pop()
         if chunk and not nodes[stack[-1]].hidden:
             text.append(chunk)
             if links:
@@ -103,6 +107,8 @@ def parse(page: str | None) -> list[Node]:
         closing, tag, rest = found[1], (found[2] or "").lower(), found[3] or ""
         if not tag:
             continue
+        if nodes[stack[-1]].tag == "head" and not closing and tag not in IN_HEAD:
+            stack.pop()
         if tag in INLINE:
             if tag == "a":
                 links = max(0, links + (-1 if closing else 1))
