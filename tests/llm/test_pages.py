@@ -1,5 +1,6 @@
 """HTML extraction and the WARC audit."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -11,6 +12,7 @@ from tidewatch.llm.fixity import fixity_audit, record_index, warc_record
 from tidewatch.llm.html_extract import extract, features, fit, main_text, marginals
 from tidewatch.llm.html_layouts import known_label, layouts
 from tidewatch.llm.html_tree import Node, parse
+from tidewatch.llm.queries import replicated
 
 
 @pytest.fixture(scope="module")
@@ -101,3 +103,14 @@ def test_offsets_follow_lengths_and_equal_replicas_differ_in_nothing(spark):
     assert fixity_audit(index, index).count() == 0
     assert fixity_audit(index.where("false"), index.where("false")).count() == 0
     assert fixity_audit(index, index.where("false")).count() == 50
+
+
+def test_replica_digests_are_hashes_of_its_bytes(spark):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", "é" * i) for i in range(400)], "page_id bigint, url string, html string")
+    records = {r.page_id: bytes(r.b) for r in pages.select("page_id", warc_record(F.col("url"), F.col("html")).alias("b")).collect()}
+    rows = replicated(pages).collect()
+    hurt = [r for r in rows if r.fate in ("00", "01")]
+    assert hurt and len(rows) == 400
+    for r in rows:
+        held = records[r.page_id][:-1] + b"\x00" if r in hurt else records[r.page_id]
+        assert r.replica == hashlib.sha256(held).hexdigest() and r.length == len(held)

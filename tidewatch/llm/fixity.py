@@ -32,6 +32,11 @@ def warc_record(url: Column, payload: Column) -> Column:
     return F.concat(head.cast("binary"), body, F.lit("\r\n\r\n").cast("binary"))
 
 
+def damaged(record: Column) -> Column:
+    """The record with another last byte, which is a line feed in every whole record."""
+    return F.concat(record.substr(F.lit(1), F.octet_length(record) - 1), F.lit(b"\x00"))
+
+
 def record_index(records: DataFrame, record: Column, *carried: str) -> DataFrame:
     """(file, offset, length, digest, carried...): one file per partition of ``records``, records in their order."""
     rows = records.select(

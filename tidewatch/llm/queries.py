@@ -72,16 +72,24 @@ def op5_suffix_array_dedup(spark, folder):
     return substring_dedup.remove_repeats(table(spark, folder, "documents"))
 
 
+def replicated(pages: DataFrame) -> DataFrame:
+    """The index of all pages as WARC records, with the digest of the bytes that the replica has for each.
+
+    Some of the replica's records are damaged and keep their length and offset, told by their URL.
+    """
+    record = fixity.warc_record(F.col("url"), F.col("html"))
+    fate = F.substring(F.md5(F.coalesce("url", F.lit("")).cast("binary")), 1, 2).alias("fate")
+    rows = pages.select("page_id", fate, record.alias("record"))
+    held = F.when(F.col("fate").isin("00", "01"), fixity.damaged(F.col("record"))).otherwise(F.col("record"))
+    return fixity.record_index(rows.withColumn("replica", F.sha2(held, 256)), F.col("record"), "page_id", "fate", "replica")
+
+
 @query
 def op6_warc_fixity(spark, folder):
     """All pages as WARC files, and a replica of them of which some records are damaged or lost, told by their URL."""
-    record = fixity.warc_record(F.col("url"), F.col("html"))
-    fate = F.substring(F.md5(F.coalesce("url", F.lit("")).cast("binary")), 1, 2).alias("fate")
-    damaged = F.when(F.col("fate").isin("00", "01"), F.sha2(F.concat("digest", F.lit("damaged")), 256)).otherwise(F.col("digest"))
-    pages = table(spark, folder, "pages").select("page_id", fate, record.alias("record"))
-    index = stored(fixity.record_index(pages, F.col("record"), "page_id", "fate"))
-    replica = index.where(~F.col("fate").isin("02", "03")).withColumn("digest", damaged)
-    found = fixity.fixity_audit(index.select("file", "offset", "digest"), replica.select("file", "offset", "digest"))
+    index = stored(replicated(table(spark, folder, "pages")))
+    replica = index.where(~F.col("fate").isin("02", "03")).select("file", "offset", F.col("replica").alias("digest"))
+    found = fixity.fixity_audit(index.select("file", "offset", "digest"), replica)
     return found.join(index, ["file", "offset"]).select("page_id", "fault")
 
 
