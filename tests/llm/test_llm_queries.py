@@ -21,7 +21,7 @@ def test_query_equals_sql(name, spark, folder, duck):
 
 
 def test_every_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in llm_queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in llm_queries()} == set(range(1, 14))
 
 
 def labels(spark):

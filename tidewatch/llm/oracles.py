@@ -53,4 +53,40 @@ ORACLES = {
         SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(d.m) AS n_dropped,
                coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (d.m IS NULL), '') AS text
         FROM masked LEFT JOIN dropped d USING (m) GROUP BY uid""",
+    # crc32 bit by bit; near words meet where deleting a code point, or none, leaves the same.
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE runs AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[a-z\x{C0}-\x{FF}]+')) AS run
+            FROM documents),
+        counted AS (SELECT doc_id, run, count(*) AS n, hex(encode(doc_id || ':' || run)) AS bytes FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+        hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(1, length(bytes), 2), lambda k: ('0x' || substr(bytes, k, 2))::BIGINT)),
+                lambda c, b: list_reduce(
+                    list_prepend(xor(c, b), range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS h
+            FROM counted),
+        kept AS (
+            SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+            FROM hashed),
+        words AS (SELECT word, sum(n)::BIGINT AS n FROM kept WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+        places AS (SELECT word, n, unnest(range(length(word))) AS k FROM words),
+        less AS (SELECT word, n, k, substr(word, 1, k) || substr(word, k + 2) AS rest FROM places),
+        pairs AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b USING (k, rest) WHERE a.word <> b.word
+            UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+            UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+        near AS (
+            SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS best, max(other_n) AS best_n
+            FROM pairs GROUP BY word),
+        formed AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN best_n >= 2 * n THEN best END AS form, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+            FROM words LEFT JOIN near USING (word)),
+        chain AS (
+            SELECT word, word AS root FROM formed
+            UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+        FROM formed f JOIN chain c USING (word) JOIN formed e ON c.root = e.word WHERE e.form IS NULL""",
 }

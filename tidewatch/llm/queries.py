@@ -14,10 +14,13 @@ from tidewatch.llm import (
     html_extract,
     licenses,
     line_templates,
+    packing,
     sentencepieces,
     simhash,
+    spelling,
     substring_dedup,
     toxicity,
+    whitening,
 )
 from tidewatch.llm.common import stored, table
 from tidewatch.llm.oracles import ORACLES
@@ -111,3 +114,25 @@ def op9_line_dedup(spark, folder):
 @query
 def op10_sentencepiece(spark, folder):
     return sentencepieces.encode_decode(table(spark, folder, "documents"), tokenizer_path())
+
+
+@query
+def op11_spelling_variants(spark, folder):
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+@query
+def op12_embedding_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def word_tokenizer_path() -> str:
+    """The public tokenizer that the contract of operator 13 names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op13_packing(spark, folder):
+    return packing.pack_documents(table(spark, folder, "documents"), word_tokenizer_path())
