@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewatch.llm.queries import tokenizer_path
-from tidewatch.llm.sentencepieces import CharacterMap, Model
+from tidewatch.llm.sentencepieces import CharacterMap, Model, encode_decode
 
 MODEL = Model.read(tokenizer_path())
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
@@ -63,3 +63,45 @@ def test_character_map_takes_the_longest_prefix_and_records_its_place():
     assert len(source) == len(out) + 1 and source[-1] == len(text.encode())
     assert source[:2] == [0, 0]  # both letters of the ligature come from its first byte
     assert sorted(source) == source
+
+
+def test_query_over_a_table_equals_the_library(spark, folder):
+    import hashlib
+
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in table.collect()}
+    for r in encode_decode(table.repartition(3), tokenizer_path()).collect():
+        ids = LIBRARY.encode(texts[r.doc_id], add_bos=True, add_eos=True)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()
+        raw = texts[r.doc_id].encode()
+        assert len(r.ends) == len(ids) - 2 and r.ends == sorted(r.ends) and (r.ends or [0])[-1] == len(raw)
+        for piece, start, end in zip(ids[1:-1], [0, *r.ends], r.ends):
+            if MODEL.types[piece] == 1:
+                assert raw[start:end].decode() in (MODEL.pieces[piece].replace("▁", " "), MODEL.pieces[piece].replace("▁", " ")[1:])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("ab ▁é語\U0001f600\n"), max_size=30))
+def test_spans_of_spaces_and_marks(text):
+    raw, at = text.encode(), 0
+    for _, start, end in MODEL.spans(text):
+        assert start == at <= end
+        at = end
+    assert at == len(raw)
+    normal, source = MODEL.normalise_aligned(text)
+    ends, at = [], 0
+    for word in MODEL.words(normal):
+        for _, width in MODEL.split(word):
+            at += width
+            ends.append(source[at])
+    assert [e for _, _, e in MODEL.spans(text)] == ends
+
+
+def test_five_megabytes(spark):
+    from frames import documents
+
+    text = "some words, é and 語 " * 240_000
+    row = encode_decode(documents(spark, [text]), tokenizer_path()).first()
+    assert row.ends[-1] == len(text.encode()) and row.n_tokens == len(row.ends) + 2

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,3 +64,11 @@ def unwrapped(columns: list[str], changed: dict | None = None, row: str = "_row"
     """The columns of :func:`wrapped` again, some of them replaced."""
     changed = changed or {}
     return [(changed[c] if c in changed else F.col(row).getField(c)).alias(c) for c in columns]
+
+
+def kept_in_worker(key: str, make: Callable):
+    """What ``make`` gives, made once in each Python worker: it outlives the task where workers are used again."""
+    held = sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]

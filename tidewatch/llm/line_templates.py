@@ -1,13 +1,13 @@
 """Line deduplication by a log-template tree, in DataFrame functions only.
 
-The tree has a fixed depth: a line goes by its number of tokens and then by its leading tokens; a token with a
-digit is a variable field from the start.  In a leaf, a later position is a variable field where no token is
-shared by enough documents.  What stays constant is the line's template; a line too little of which is constant is
-its own template.  Templates that recur across documents are dropped.
-
-Copies of one document repeat every line without any of them being a template.  They have equally many lines,
-while the documents around a real template differ in length: a template has to occur in documents of several
-different line counts, and of the more, the more documents it has.
+A token with a digit is a variable field from the start.  The tree has a fixed depth: a line goes by its number of tokens and
+then by its leading tokens, at most half of those without a digit.  In a leaf, a later token is constant where at least
+MIN_DOCS documents and CONSTANT of all in the leaf have it at that place; elsewhere there is a variable field.  What
+stays constant is the line's template; a line with too many fields is its own template.  Templates that recur across
+documents are dropped, however many documents have them.
+
+Documents with the same set of masked lines are copies of one document: they have one vote together.  Copies with
+differing lines are different documents.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ from tidewatch.llm.common import stored, unwrapped
 
 LEADING = 4
 MIN_DOCS = 3
-# A template with variable fields found in the leaf: tokens at least, and constant ones among them.
-MIN_TOKENS = 8
-CONSTANT = 0.8
+# Lines with as many tokens can have a template with variable fields.
+MIN_TOKENS = 4
+# The share of a leaf's documents that a constant token needs, so there are three at most in one place.
+CONSTANT = 0.3
+# Fields that a template may have besides tokens with digits: so many, or this share of the other tokens, and fewer than
+# constant ones.
+FIELDS = 2
+FIELD_SHARE = 0.2
 FIELD = "<*>"
-# Distinct line counts that a template needs: one for so many documents, within these bounds.
-DOCS_PER_LAYOUT = 10
-MOST_LAYOUTS = 16
 # Tables of hashes up to this many rows (16 bytes each) are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -43,22 +45,15 @@ def masked(line: Column) -> Column:
 
 
 def _distinct_lines(docs: DataFrame) -> DataFrame:
-    """(line, h, layouts): the distinct masked lines of each document that have a letter outside variable fields."""
-    lines = docs.select(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), masked).alias("lines"))
-    once = lines.select(F.expr("shiftleft(1L, size(lines) % 64)").alias("layouts"), F.explode(F.array_distinct("lines")).alias("line"))
+    """(line, h, vote): the distinct masked lines of each document that have a letter outside variable fields."""
+    lines = docs.select(F.array_distinct(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), masked)).alias("lines"))
+    # Beside explode() only columns: an expression there is worked out for every line, and takes the whole text along.
+    voting = lines.withColumn("vote", F.xxhash64(F.array_sort("lines")))
+    once = voting.select("vote", F.explode("lines").alias("line"))
     words = F.when(F.contains("line", F.lit(FIELD)), F.regexp_replace("line", r"<\*>", "")).otherwise(F.col("line"))
     return once.where(words.rlike(r"\p{L}")).withColumn("h", F.xxhash64("line"))
 
 
-def _recurs(min_docs: int) -> Column:
-    wanted = F.least(F.greatest(F.ceil(F.col("docs") / DOCS_PER_LAYOUT), F.lit(min_docs)), F.lit(MOST_LAYOUTS))
-    return (F.col("docs") >= min_docs) & (F.bit_count("layouts") >= wanted)
-
-
-def _counted(frame: DataFrame, *keys: str) -> DataFrame:
-    return frame.groupBy(*keys).agg(F.sum("docs").alias("docs"), F.bit_or("layouts").alias("layouts"))
-
-
 def _semi(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in ``keys`` (stored): broadcast if it was counted and found small."""
     return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, key, "left_semi")
@@ -67,28 +62,32 @@ def _semi(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(h): the hash of every masked line whose template recurs across documents."""
     size = F.size(F.split("line", " "))
-    leaf = F.when(size >= MIN_TOKENS, F.xxhash64(size, F.substring_index("line", " ", LEADING)))
-    found = _distinct_lines(docs).select("h", "layouts", leaf.alias("leaf"))
-    found = stored(found.groupBy("h").agg(F.any_value("leaf").alias("leaf"), F.count(F.lit(1)).alias("docs"), F.bit_or("layouts").alias("layouts")))
-    exact = found.where(_recurs(min_docs)).select("h")
-
-    leaves = stored(_counted(found.where("leaf IS NOT NULL"), "leaf").where(_recurs(min_docs)).select("leaf"))
-    members = stored(_semi(found, leaves, "leaf"))
+    start = F.expr(f"substring_index(line, ' ', least({LEADING}, size(filter(split(line, ' '), t -> t <> '{FIELD}')) div 2))")
+    leaf = F.when(size >= MIN_TOKENS, F.xxhash64(size, start))
+    found = _distinct_lines(docs).select("h", "vote", leaf.alias("leaf"))
+    voted = found.groupBy("h", "vote").agg(F.any_value("leaf").alias("leaf"))
+    found = stored(voted.groupBy("h").agg(F.any_value("leaf").alias("leaf"), F.count(F.lit(1)).alias("docs")))
+    exact = found.where(F.col("docs") >= min_docs).select("h")
+
+    # A leaf of one line has no fields.
+    leaves = found.where("leaf IS NOT NULL").groupBy("leaf").agg(F.sum("docs").alias("all"), F.count(F.lit(1)).alias("lines"))
+    leaves = stored(leaves.where((F.col("all") >= min_docs) & (F.col("lines") > 1)).drop("lines"))
+    members = stored(_semi(found, leaves.select("leaf"), "leaf"))
     texts = _semi(_distinct_lines(docs).select("h", "line"), members.select("h"), "h").groupBy("h").agg(F.any_value("line").alias("line"))
     patterns = stored(members.join(texts, "h").withColumn("tokens", F.split("line", " ")).drop("line"))
-    placed = patterns.select("leaf", "h", "docs", "layouts", F.posexplode("tokens").alias("pos", "token"))
-    shared = placed.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("with"))
-    constant = shared.where((F.col("with") >= min_docs) & (F.col("token") != FIELD)).select("leaf", "pos", "token", F.lit(True).alias("constant"))
-    constant = stored(constant)
-    constant = F.broadcast(constant) if constant.count() <= BROADCAST_ROWS // 8 else constant
-    kept = placed.join(constant, ["leaf", "pos", "token"], "left").groupBy("leaf", "h").agg(
-        F.any_value("docs").alias("docs"),
-        F.any_value("layouts").alias("layouts"),
-        F.avg(F.coalesce(F.col("constant"), F.lit(False)).cast("double")).alias("share"),
-        F.array_sort(F.collect_list(F.when(F.col("constant"), F.struct("pos", "token")))).alias("fields"),
-    )
-    general = stored(kept.where(F.col("share") >= CONSTANT).withColumn("template", F.xxhash64("leaf", "fields")).drop("fields"))
-    again = _counted(general, "template").where(_recurs(min_docs)).select("template")
+    placed = patterns.select("leaf", "h", F.posexplode("tokens").alias("pos", "token"), "docs").where(F.col("token") != FIELD)
+    shared = placed.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("with")).where(F.col("with") >= min_docs)
+    constant = shared.join(leaves, "leaf").where(F.col("with") >= F.col("all") * CONSTANT)
+    # At most three tokens in a place: one row for each leaf, as short as the lines in it.
+    constant = stored(constant.groupBy("leaf").agg(F.collect_set(F.struct("pos", "token")).alias("constant")))
+    constant = F.broadcast(constant) if constant.count() <= BROADCAST_ROWS // 100 else constant
+    numbered = F.transform("tokens", lambda t, k: F.struct(k.alias("pos"), t.alias("token")))
+    open_tokens = F.size(F.filter("tokens", lambda t: t != FIELD)).alias("n")
+    kept = patterns.join(constant, "leaf").select("h", "leaf", "docs", open_tokens, F.array_intersect(numbered, "constant").alias("kept"))
+    fields = F.col("n") - F.size("kept")
+    few = (fields <= F.greatest(F.lit(FIELDS), F.col("n") * FIELD_SHARE)) & (fields < F.size("kept"))
+    general = stored(kept.where(few).select("h", "docs", F.xxhash64("leaf", "kept").alias("template")))
+    again = general.groupBy("template").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("template")
     return exact.unionByName(general.join(again, "template", "left_semi").select("h")).distinct()
 
 
@@ -98,9 +97,9 @@ def _marked(docs: DataFrame, min_docs: int) -> DataFrame:
     drop = F.broadcast(drop) if drop.count() <= BROADCAST_ROWS else drop
     others = [c for c in docs.columns if c != "text"]
     rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0))
-    rows = docs.select(F.monotonically_increasing_id().alias("_uid"), rest.alias("_rest"), F.col("text").alias("_text"))
-    lines = F.posexplode(F.split(F.coalesce("_text", F.lit("")), "\n")).alias("_pos", "_line")
-    each = rows.select("_uid", "_rest", F.isnull("_text").alias("_null"), lines)
+    lines = F.split(F.coalesce("text", F.lit("")), "\n").alias("_lines")
+    rows = docs.select(F.monotonically_increasing_id().alias("_uid"), rest.alias("_rest"), F.isnull("text").alias("_null"), lines)
+    each = rows.select("_uid", "_rest", "_null", F.posexplode("_lines").alias("_pos", "_line"))
     # The other columns travel with the first line only.
     each = each.withColumns({"_rest": F.when(F.col("_pos") == 0, F.col("_rest")), "h": F.xxhash64(masked(F.col("_line")))})
     kept = F.when(F.col("_drop").isNull(), F.struct("_pos", "_line"))

@@ -24,32 +24,25 @@ ORACLES = {
             SELECT *, regexp_replace(
                 trim(regexp_replace(line, '[\x09\x0B\x0C\x0D ]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m
             FROM lines),
+        votes AS (SELECT uid, string_agg(DISTINCT m, chr(10) ORDER BY m) AS vote FROM masked GROUP BY uid),
         once AS (
-            SELECT DISTINCT uid, n % 64 AS layout, m FROM masked WHERE regexp_replace(m, '<\*>|[^\p{L}]', '', 'g') <> ''),
-        exact AS (
-            SELECT m FROM once GROUP BY m
-            HAVING count(*) >= 3 AND count(DISTINCT layout) >= least(greatest(ceil(count(*) / 10.0), 3), 16)),
+            SELECT DISTINCT vote, m FROM masked JOIN votes USING (uid) WHERE regexp_replace(m, '<\*>|[^\p{L}]', '', 'g') <> ''),
+        voted AS (SELECT m, count(*) AS docs, string_split(m, ' ') AS t FROM once GROUP BY m),
         leaved AS (
-            SELECT uid, layout, m, string_split(m, ' ') AS t, [len(t)::VARCHAR] || t[1:4] AS leaf FROM once WHERE len(t) >= 8),
-        leaves AS (
-            SELECT leaf FROM leaved GROUP BY leaf
-            HAVING count(*) >= 3 AND count(DISTINCT layout) >= least(greatest(ceil(count(*) / 10.0), 3), 16)),
-        placed AS (
-            SELECT leaf, m, unnest(t) AS token, generate_subscripts(t, 1) AS pos
-            FROM (SELECT DISTINCT leaf, m, t FROM leaved SEMI JOIN leaves USING (leaf))),
-        shared AS (
-            SELECT leaf, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM leaved SEMI JOIN leaves USING (leaf)),
+            SELECT m, docs, t, [len(t)::VARCHAR] || t[1:least(4, len(list_filter(t, lambda x: x <> '<*>')) // 2)] AS leaf FROM voted WHERE len(t) >= 4),
+        leaves AS (SELECT leaf, sum(docs) AS everyone FROM leaved GROUP BY leaf HAVING sum(docs) >= 3),
+        placed AS (SELECT leaf, m, docs, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM leaved),
         constant AS (
-            SELECT leaf, pos, token FROM shared WHERE token <> '<*>' GROUP BY ALL HAVING count(*) >= 3),
+            SELECT leaf, pos, token FROM placed JOIN leaves USING (leaf) WHERE token <> '<*>'
+            GROUP BY leaf, pos, token, everyone HAVING sum(docs) >= 3 AND sum(docs) >= everyone * 0.3),
         general AS (
-            SELECT p.leaf, p.m, list((p.pos, p.token) ORDER BY p.pos) FILTER (c.token IS NOT NULL) AS fields
+            SELECT p.leaf, p.m, p.docs, list((p.pos, p.token) ORDER BY p.pos) FILTER (c.token IS NOT NULL) AS fields
             FROM placed p LEFT JOIN constant c ON p.leaf = c.leaf AND p.pos = c.pos AND p.token = c.token
-            GROUP BY p.leaf, p.m HAVING avg((c.token IS NOT NULL)::INT) >= 0.8),
-        again AS (
-            SELECT g.leaf, g.fields FROM general g JOIN once USING (m) GROUP BY g.leaf, g.fields
-            HAVING count(*) >= 3 AND count(DISTINCT layout) >= least(greatest(ceil(count(*) / 10.0), 3), 16)),
+            WHERE p.token <> '<*>' GROUP BY p.leaf, p.m, p.docs
+            HAVING count(*) - count(c.token) <= greatest(2, count(*) * 0.2) AND count(*) < 2 * count(c.token)),
+        again AS (SELECT leaf, fields FROM general GROUP BY leaf, fields HAVING sum(docs) >= 3),
         dropped AS (
-            SELECT m FROM exact UNION SELECT m FROM general SEMI JOIN again USING (leaf, fields))
+            SELECT m FROM voted WHERE docs >= 3 UNION SELECT m FROM general SEMI JOIN again USING (leaf, fields))
         SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(d.m) AS n_dropped,
                coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (d.m IS NULL), '') AS text
         FROM masked LEFT JOIN dropped d USING (m) GROUP BY uid""",

@@ -15,6 +15,7 @@ into windows, and at last into powers of two.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import stored
+from tidewatch.llm.common import kept_in_worker, stored
 from tidewatch.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -140,8 +141,10 @@ def _documents(ids: Ids, batch: pa.RecordBatch):
 
 
 def _cut(content: str, window: int):
+    name = f"packing {hashlib.sha256(content.encode()).hexdigest()}"
+
     def run(batches):
-        ids, size = Ids(content), 4 * window
+        ids, size = kept_in_worker(name, lambda: Ids(content)), 4 * window
         for batch in batches:
             out = [[] for _ in range(7)]
             for row, doc, raw in _documents(ids, batch):

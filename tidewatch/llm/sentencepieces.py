@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import kept_in_worker
 from tidewatch.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -217,12 +218,16 @@ class Model:
                 out.append((self.unk, width))
         return out
 
-    def packed(self, word: str) -> bytes:
-        """The ids of a word as little-endian unsigned 32-bit integers; short words are remembered."""
+    def known(self, word: str) -> tuple[bytes, bytes, str]:
+        """Of a word: its ids and the normalised bytes of each as unsigned 32-bit integers, and its decoded text.
+
+        Short words are remembered.
+        """
         found = self.memo.get(word)
         if found is None:
-            ids = [i for i, _ in self.split(word)]
-            found = struct.pack(f"<{len(ids)}I", *ids)
+            pieces = self.split(word)
+            ids = np.array([i for i, _ in pieces], "<u4")
+            found = ids.tobytes(), np.array([w for _, w in pieces], "<u4").tobytes(), self.joined(ids)
             if len(word) <= MEMO_CHARS:
                 if len(self.memo) >= MEMO_WORDS:
                     self.memo.clear()
@@ -233,44 +238,76 @@ class Model:
         # A run of marks goes with the word behind it.
         return _WORD.findall(normal) if self.splits else [normal] if normal else []
 
+    def pieces_of(self, text: str) -> tuple[np.ndarray, np.ndarray, str]:
+        """The ids of the pieces, the source byte behind each of them, and the decoded text."""
+        plain = self.charmap is None and not self.trim and SPACE not in text
+        normal, source = (self.normalise(text), None) if plain else self.normalise_aligned(text)
+        found = [self.known(w) for w in self.words(normal)]
+        ids = np.frombuffer(b"".join([f[0] for f in found]), "<u4")
+        ends = np.cumsum(np.frombuffer(b"".join([f[1] for f in found]), "<u4"), dtype=np.int64)
+        if source is not None:
+            ends = np.array(source, np.int64)[ends]
+        elif len(ends):
+            # Nothing but spaces was replaced: the source bytes up to each place are those of no mark, and the spaces.
+            raw = np.frombuffer(normal.encode(), np.uint8)
+            if self.escape:
+                kept = np.cumsum(~_inside_marks(raw), dtype=np.int64)
+                ends = kept[ends - 1]
+            ends = ends - self.dummy_prefix
+        text = "".join([f[2] for f in found])
+        if self.dummy_prefix and len(ids) and self.types[ids[0]] not in (BYTE, UNKNOWN) and text.startswith(" "):
+            text = text[1:]
+        return ids, ends, text
+
     def encode(self, text: str) -> bytes:
         """All ids, begin and end included, as little-endian unsigned 32-bit integers."""
-        body = b"".join(map(self.packed, self.words(self.normalise(text))))
-        return struct.pack("<I", self.bos) + body + struct.pack("<I", self.eos)
+        return struct.pack("<I", self.bos) + self.pieces_of(text)[0].tobytes() + struct.pack("<I", self.eos)
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(id, first source byte, byte after the last) of each piece, begin and end left out."""
-        normal, source = self.normalise_aligned(text)
-        out, at = [], 0
-        for word in self.words(normal):
-            for piece, width in self.split(word):
-                out.append((piece, source[at], source[at + width]))
-                at += width
-        return out
+        ids, ends, _ = self.pieces_of(text)
+        ends = ends.tolist()
+        return list(zip(ids.tolist(), [0, *ends], ends))
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of the ids: bytes joined to characters, marks as spaces, the added first one left out."""
+    def joined(self, ids: np.ndarray) -> str:
+        """The text of the ids: bytes joined to characters, marks as spaces."""
         if not hasattr(self, "_plain"):
             self._plain = [p.replace(SPACE, " ") if t == NORMAL else "" for p, t in zip(self.pieces, self.types, strict=True)]
             self._is_byte = np.array([t == BYTE for t in self.types])
-            self._first = np.array([t == NORMAL for t in self.types]) | self._is_byte
+            self._shown = np.array([t in (NORMAL, BYTE, UNKNOWN) for t in self.types])
             self._plain[self.unk] = " ⁇ "
-        kept = ids[self._first[ids] | (ids == self.unk)]
-        if not len(kept):
-            return ""
+        if not self._is_byte[ids].any():
+            return "".join(map(self._plain.__getitem__, ids.tolist()))
+        kept = ids[self._shown[ids]]
         runs = np.flatnonzero(np.diff(self._is_byte[kept].astype(np.int8))) + 1
         out = []
-        for part in np.split(kept, runs) if len(runs) else [kept]:
+        for part in np.split(kept, runs):
             if self._is_byte[part[0]]:
                 out.append(_utf8(bytes(int(self.pieces[i][3:5], 16) for i in part)))
             else:
                 out.extend(map(self._plain.__getitem__, part.tolist()))
-        text = "".join(out)
-        if self.dummy_prefix and not self._is_byte[kept[0]] and text.startswith(" ") and kept[0] != self.unk:
+        return "".join(out)
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of the ids, the space added in front left out."""
+        text = self.joined(ids)
+        shown = ids[self._shown[ids]]
+        if self.dummy_prefix and len(shown) and self.types[shown[0]] == NORMAL and text.startswith(" "):
             text = text[1:]
         return text
 
 
+_MARK = SPACE.encode()
+
+
+def _inside_marks(raw: np.ndarray) -> np.ndarray:
+    """Which bytes are the second or third one of a mark."""
+    first = np.flatnonzero((raw[:-2] == _MARK[0]) & (raw[1:-1] == _MARK[1]) & (raw[2:] == _MARK[2]))
+    out = np.zeros(len(raw), bool)
+    out[first + 1] = out[first + 2] = True
+    return out
+
+
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -291,31 +328,44 @@ def _utf8(raw: bytes) -> str:
     return "".join(out)
 
 
+def _model(content: bytes):
+    """The model with the words it has met, once in each worker."""
+    name = f"sentencepieces {hashlib.sha256(content).hexdigest()}"
+    return lambda: kept_in_worker(name, lambda: Model.parse(content))
+
+
 def _encoded(content: bytes, with_ids: bool):
+    held = _model(content)
+
     def run(batches):
-        model = Model.parse(content)
+        model = held()
+        first, last = struct.pack("<I", model.bos), struct.pack("<I", model.eos)
         for batch in batches:
-            n, ids_hash, text_hash, ids = [], [], [], []
+            n, ids_hash, text_hash, all_ends, all_ids = [], [], [], [], []
             for text in batch.column(1):
-                packed = model.encode(text.as_py() or "")
-                array = np.frombuffer(packed, "<u4")
-                n.append(len(array))
+                ids, ends, decoded = model.pieces_of(text.as_py() or "")
+                packed = first + ids.tobytes() + last
+                n.append(len(ids) + 2)
                 ids_hash.append(hashlib.sha256(packed).hexdigest())
-                text_hash.append(hashlib.sha256(model.decode(array).encode()).hexdigest())
+                text_hash.append(hashlib.sha256(decoded.encode()).hexdigest())
+                all_ends.append(ends.astype(np.int32))  # a text has less than 2 GB
                 if with_ids:
-                    ids.append(array.astype(np.int32))
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                    all_ids.append(np.frombuffer(packed, "<u4").astype(np.int32))
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())]
+            columns = [batch.column(0), *(pa.array(c, k) for c, k in zip((n, ids_hash, text_hash, all_ends), kinds, strict=True))]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ends"]
             if with_ids:
-                columns, names = [*columns, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
+                columns, names = [*columns, pa.array(all_ids, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
 def _piece_spans(content: bytes):
+    held = _model(content)
+
     def run(batches):
-        model = Model.parse(content)
+        model = held()
         for batch in batches:
             found = [model.spans(t.as_py() or "") for t in batch.column(1)]
             lists = [pa.array([[s[k] for s in f] for f in found], pa.list_(t)) for k, t in enumerate((pa.int32(), pa.int64(), pa.int64()))]
@@ -334,13 +384,15 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def encode_decode(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if wanted, the ids.
+    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, ends and, if wanted, the ids.
 
+    ``ends`` has for each piece, begin and end left out, the byte of the original text behind it; it begins where the one
+    before ends.  A character without a piece falls back to bytes, of which the first stands for the whole of it.
     Begin and end ids are there; a null text counts as empty.  Rows keep their order in a partition, nothing is
     shuffled, repeated rows give repeated results, an empty table none.  Other columns are ignored.  The model
     file is read on the driver and travels with the query.
     """
-    kind = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    kind = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ends array<int>" + ", ids array<int>" * with_ids
     return _texts(docs).mapInArrow(_encoded(_content(model_path), with_ids), kind)
 
 
