@@ -24,6 +24,48 @@ def hourly_baseline(points: DataFrame) -> DataFrame:
     )
 
 
+def slot_moments(points: DataFrame) -> DataFrame:
+    """Count, mean, sum of squared deviations, minimum and maximum per series and UTC hour: baselines that can be merged."""
+    found = points.groupBy("series_key", hour_slot(F.col("ts_ms")).alias("slot_ms")).agg(
+        F.count("value").alias("n"),
+        F.avg("value").alias("mean"),
+        (F.var_pop("value") * F.count("value")).alias("m2"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    return found.where(F.col("n") > 0)
+
+
+def merged_baseline(moments: DataFrame) -> DataFrame:
+    """The hourly baseline of the points behind all moments of a series and hour.
+
+    Means are merged by their distance, in order of ``batch``, so nothing cancels and the order of rows does not matter.  A
+    series and hour has one row for each micro-batch that saw it.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("batch", "n", "mean", "m2")))
+    held = moments.groupBy("series_key", "slot_ms").agg(parts.alias("_parts"), F.min("min").alias("min"), F.max("max").alias("max"))
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def merge(a, b):
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(
+            n.alias("n"),
+            (a["mean"] + apart * b["n"] / n).alias("mean"),
+            (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"),
+        )
+
+    all_of = held.withColumn("_all", F.aggregate("_parts", start, merge))
+    return all_of.select(
+        "series_key",
+        "slot_ms",
+        F.col("_all.n").alias("n"),
+        F.col("_all.mean").alias("avg"),
+        F.when(F.col("_all.n") > 1, F.sqrt(F.col("_all.m2") / (F.col("_all.n") - 1))).otherwise(F.lit(0.0)).alias("dev"),
+        "min",
+        "max",
+    )
+
+
 def points_between(points: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
     """Points in the closed range.
 
@@ -61,6 +103,14 @@ def build_missing(wanted: DataFrame, stored: DataFrame, points: DataFrame) -> Da
     )
 
 
+def referred_slots(points: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """(series_key, slot_ms) of the baselines that these points are scored against."""
+    seen = points.select("series_key", hour_slot(F.col("ts_ms")).alias("_slot")).distinct()
+    days = F.sequence(F.lit(1), F.lit(settings.baseline_days))
+    moved = seen.select("series_key", "_slot", F.explode(days).alias("_day"))
+    return moved.select("series_key", (F.col("_slot") - F.col("_day") * F.lit(DAY_MS)).alias("slot_ms")).distinct()
+
+
 def reference_slots(baseline: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Baselines moved to the later slots they serve, one row per (series, slot, day back)."""
     days = F.sequence(F.lit(1), F.lit(settings.baseline_days))

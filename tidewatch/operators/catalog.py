@@ -76,7 +76,10 @@ def enrich(points: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def latest_by_event_time(points: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("series_key",)) -> DataFrame:
     """The point with the highest timestamp; of equal ones the first to arrive."""
-    return _latest(points, F.struct("ts_ms", -F.col("seq")), columns, keys)
+    # Numbers of points are whole numbers or texts, so the first to arrive is a minimum of them, not a negated maximum.
+    columns = list(columns)
+    first = F.min_by(F.struct(*columns), F.struct((-F.col("ts_ms")).alias("_later"), F.col("seq")))
+    return points.groupBy(*keys).agg(first.alias("_row")).select(*keys, "_row.*")
 
 
 def latest_by_arrival(points: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("series_key",)) -> DataFrame:

@@ -583,4 +583,32 @@ FROM (
     "percent_deviation": """
 SELECT o_orderkey AS seq, round((o_totalprice - m) / m * 100, 4) + 0.0 AS pct
 FROM (SELECT *, avg(o_totalprice) OVER (PARTITION BY o_orderpriority) AS m FROM orders)""",
+    "messages_to_records": _with(
+        *PARSED,
+        f"""pts AS (
+  SELECT seq, seq AS rid, name, ts_ms, value, uuid, series_key, reaction, ts_ms - ts_ms % {_HOUR} AS slot_ms
+  FROM parsed WHERE reason IS NULL AND NOT is_special)""",
+        *SCORE,
+        _fit("scored", "series_key"),
+        _DEFAULT_RULES,
+        _LEVELED,
+        _windows("series_key"),
+        _machine(["series_key"], _DEFAULT_RECS),
+    )
+    + """SELECT topic, role, action, level, prev_level, count(*) AS n, CAST(sum(ts_ms) AS BIGINT) AS sum_time FROM (
+  SELECT uuid || state_level AS topic, 'level' AS role, state AS action, state_level AS level, prev_level, ts_ms FROM states WHERE emitted
+  UNION ALL SELECT uuid || prev_level, 'left', state, state_level, prev_level, ts_ms FROM states WHERE emitted AND state_level <> prev_level
+  UNION ALL SELECT 'errors', 'main', state, state_level, prev_level, ts_ms FROM states WHERE emitted AND state <> 1) GROUP BY ALL""",
+    "latest_parsed": _with(*PARSED)
+    + f"""SELECT series_key, d AS ts_ms, seq, value, last_seq, n_points FROM (
+  SELECT *, ts_ms - ts_ms % {_DAY} AS d, max(seq) OVER (PARTITION BY series_key) AS last_seq,
+         count(*) OVER (PARTITION BY series_key) AS n_points FROM parsed WHERE reason IS NULL)
+QUALIFY row_number() OVER (PARTITION BY series_key ORDER BY d DESC, seq) = 1""",
+    "late_reactions": _with(EV, PTS)
+    + f"""SELECT seq, series_key, CAST(CASE WHEN reaction <> -3 AND ts_ms < seen - {_HOUR} THEN -4 ELSE reaction END AS INTEGER) AS reaction
+FROM (SELECT *, max(ts_ms) OVER (
+        ORDER BY ts_ms + CASE WHEN seq % 13 = 0 THEN {2 * _HOUR} ELSE 0 END, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+      FROM pts)""",
+    "merged_baseline": _with(EV, PTS, BASE)
+    + "SELECT series_key, slot_ms, n, round(avg, 6) AS avg, round(dev, 6) AS dev, min, max FROM base",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import HOUR_MS, Settings
 from tidewatch.functions.numbers import percent_of
-from tidewatch.operators import absence, alerts, baseline, catalog, control, hysteresis, ingest, levels, regression, score, special
+from tidewatch.operators import absence, alerts, baseline, catalog, control, hysteresis, ingest, lateness, levels, regression, score, special
 from tidewatch.operators.cells import measure_grain
 from tidewatch.operators.joins import lookup
 from tidewatch.plans.monitor import monitor, point_levels
@@ -619,3 +620,47 @@ def percent_deviation(spark, folder):
     mean = points.groupBy("name").agg(F.avg("value").alias("mean_value"))
     joined = lookup(points, mean, ["name"])
     return _rounded(joined.select("seq", percent_of(F.col("value"), F.col("mean_value")).alias("pct")), ["pct"], 4)
+
+
+# From messages on, and what streams do in the order of arrival
+
+
+@query
+def messages_to_records(spark, folder):
+    """The whole path: texts are parsed, regular points scored, levelled and smoothed, alerts routed to their topics."""
+    parsed = ingest.parse_messages(events.raw_messages(spark, folder))
+    points = cut_lineage(ingest.regular_points(ingest.good_points(parsed)))
+    found = alerts.level_alerts(monitor(points, grain=measure_grain(points)))
+    return (
+        alerts.route_alerts(found)
+        .groupBy("topic", "role", "action", "level", "prev_level")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("time").alias("sum_time"))
+    )
+
+
+@query
+def latest_parsed(spark, folder):
+    """Of each series in the messages, the latest point by event time, on coarse timestamps so that there are ties."""
+    points = ingest.good_points(ingest.parse_messages(events.raw_messages(spark, folder)))
+    coarse = points.withColumn("ts_ms", F.col("ts_ms") - F.pmod("ts_ms", F.lit(24 * HOUR_MS)))
+    latest = catalog.latest_by_event_time(coarse, ["ts_ms", "seq", "value"])
+    return latest.join(catalog.series_catalog(points).select("series_key", "last_seq", "n_points"), "series_key")
+
+
+@query
+def late_reactions(spark, folder):
+    """Every thirteenth point arrives two hours after its time; an hour is allowed."""
+    points = events.metric_points(spark, folder)
+    arrival = F.col("ts_ms") + F.when(F.col("seq") % 13 == 0, F.lit(2 * HOUR_MS)).otherwise(F.lit(0))
+    arrived = points.withColumn("arrival", F.struct(arrival.alias("ms"), F.col("seq")))
+    late = lateness.with_late_reaction(arrived, HOUR_MS, order="arrival")
+    return late.select("seq", "series_key", "reaction")
+
+
+@query
+def merged_baseline(spark, folder):
+    """Hourly statistics merged from the moments of five parts of the points, as a stream's batches leave them."""
+    points = events.metric_points(spark, folder)
+    parts = [baseline.slot_moments(points.where(F.col("seq") % 5 == b)).withColumn("batch", F.lit(b)) for b in range(5)]
+    log = functools.reduce(DataFrame.unionByName, parts)
+    return _rounded(baseline.merged_baseline(log), ["avg", "dev"])

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.time import to_timestamp
 from tidewatch.operators.catalog import deduplicate_points, upsert_catalog, series_catalog
+from tidewatch.schemas import BASELINE, CATALOG
+from tidewatch.sources.messages import stored_table
 
 
 def _replace(df: DataFrame, path: str, *partitions: str) -> None:
@@ -23,6 +26,11 @@ def _dated(df: DataFrame, ms: str) -> DataFrame:
     return df.withColumn("date", F.to_date(to_timestamp(F.col(ms))))
 
 
+def write_dated(rows: DataFrame, path: str, batch: int, ms: str) -> None:
+    """Rows of a batch by the day of their ``ms``."""
+    _replace(_dated(rows, ms).withColumn("batch", F.lit(batch)), path, "batch", "date")
+
+
 def write_points(points: DataFrame, path: str, batch: int = 0) -> None:
     """Points, one per series and timestamp within the batch, by day."""
     unique = _dated(deduplicate_points(points), "ts_ms").withColumn("batch", F.lit(batch))
@@ -48,7 +56,21 @@ def read_points(spark: SparkSession, path: str, start_ms: int | None = None, end
 
 def write_baseline(baseline: DataFrame, path: str, batch: int = 0) -> None:
     """Newly built baselines by day of their slot; pass only slots that are not stored yet."""
-    _replace(_dated(baseline, "slot_ms").withColumn("batch", F.lit(batch)), path, "batch", "date")
+    write_dated(baseline, path, batch, "slot_ms")
+
+
+def read_baseline(spark: SparkSession, path: str, slots: DataFrame, before: int | None = None) -> DataFrame:
+    """Stored baselines and no-data markers of these (series_key, slot_ms); only the folders of their days are read.
+
+    Of batches ``before`` this number, where it is given.
+    """
+    folders = [T.StructField("batch", T.LongType()), T.StructField("date", T.DateType())]
+    stored = stored_table(spark, path, T.StructType([*BASELINE.fields, *folders]))
+    stored = stored if before is None else stored.where(F.col("batch") < before)
+    # One value for each day that the slots lie in, however many slots there are.
+    days = [r.date for r in _dated(slots, "slot_ms").select("date").distinct().collect()]
+    wanted = slots.select("series_key", "slot_ms").distinct()
+    return stored.where(F.col("date").isin(days)).drop("date", "batch").join(wanted, ["series_key", "slot_ms"], "left_semi")
 
 
 def write_error_log(log: DataFrame, path: str, batch: int = 0) -> None:
@@ -72,18 +94,53 @@ def kafka_alerts(records: DataFrame, servers: str) -> None:
     records.select("topic", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
-def update_catalog(points: DataFrame, path: str, version: int) -> None:
-    """Write version ``version`` of the catalog from the one before and the new points.
+CATALOG_BUCKETS = 256
+_HELD = "bucket int, held bigint"
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("series_key"), F.lit(buckets)).cast("int").alias("bucket")
 
-    Versions make a repeated batch harmless: it starts again from the same earlier version.  Version 0 starts an
-    empty catalog; an earlier version that is lost fails the batch, so the catalog never begins anew unnoticed.
+
+def catalog_manifest(spark: SparkSession, path: str, version: int) -> dict[int, int]:
+    """Which version holds each bucket of the catalog; at most one entry for each bucket."""
+    return {r.bucket: r.held for r in spark.read.schema(_HELD).parquet(f"{path}/manifest/version={version}").collect()}
+
+
+def _buckets(spark: SparkSession, path: str, schema, held: dict[int, int]) -> DataFrame:
+    if not held:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/data/version={v}/bucket={b}" for b, v in sorted(held.items())])
+
+
+def update_catalog(points: DataFrame, path: str, version: int, buckets: int = CATALOG_BUCKETS) -> None:
+    """Commit version ``version`` of the catalog, from the one before and the new points.
+
+    Series are dealt to ``buckets`` by a hash.  Only buckets with new points are read and written, into the version's own
+    folder; its manifest then names the version that holds each bucket.  The manifest is the commit: until it is
+    written, readers see the version before.  Repeating a version makes it again from the same earlier one.  Version 0
+    starts an empty catalog; an earlier version that is lost fails the batch, so the catalog never begins anew unnoticed.
+    Streams number versions by the ledger, which goes on after a new checkpoint.
     """
     spark = points.sparkSession
+    held = {} if version == 0 else catalog_manifest(spark, path, version - 1)
     new = series_catalog(points)
-    before = f"{path}/version={version - 1}"
-    stored = spark.createDataFrame([], new.schema) if version == 0 else spark.read.schema(new.schema).parquet(before)
-    upsert_catalog(stored, points).hint("rebalance").write.mode("overwrite").parquet(f"{path}/version={version}")
-
-
-def read_catalog(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/version={version}")
+    touched = [r.bucket for r in points.select(_bucket(buckets)).distinct().collect()]
+    stored = _buckets(spark, path, new.schema, {b: held[b] for b in touched if b in held})
+    merged = upsert_catalog(stored, points).select("*", _bucket(buckets))
+    if touched:
+        # One file for each bucket; a bucket's series are few, whatever their points.
+        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/version={version}")
+    rows = sorted((held | dict.fromkeys(touched, version)).items())
+    spark.createDataFrame(rows, _HELD).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/version={version}")
+
+
+def read_catalog(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The catalog as of a version; the last one committed, unless given."""
+    if version is None:
+        version = spark.read.parquet(f"{path}/manifest").agg(F.max("version")).first()[0]
+    held = catalog_manifest(spark, path, version)
+    if not held:
+        return spark.createDataFrame([], CATALOG)
+    bucket, at = next(iter(held.items()))
+    return _buckets(spark, path, spark.read.parquet(f"{path}/data/version={at}/bucket={bucket}").schema, held)
