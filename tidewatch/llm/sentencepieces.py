@@ -27,8 +27,8 @@ ship_by_value(__name__)
 SPACE = "▁"
 NO_UTF8 = "�"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-# Words kept with their ids in each worker, and the longest of them in characters.
-MEMO_WORDS = 300_000
+# Words kept with their ids in each worker, beside those of one text, and the longest of them in characters.
+MEMO_WORDS = 500_000
 MEMO_CHARS = 64
 SHORT = 32
 NO_SCORE = float("-inf")
@@ -74,6 +74,20 @@ class CharacterMap:
         return bytes(out), [*source, len(text)]
 
 
+class _Words(dict):
+    """What is known of words; short ones are remembered."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: str):
+        found = self.model.known(word)
+        if len(word) <= MEMO_CHARS:
+            self[word] = found
+        return found
+
+
 @dataclass
 class Model:
     """What encoding needs of a model file."""
@@ -91,8 +105,12 @@ class Model:
     trim: bool
     escape: bool
     splits: bool
+    letters_apart: bool
     memo: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        self.memo = _Words(self)
+
     @classmethod
     def read(cls, path: str) -> Model:
         with open(path, "rb") as file:
@@ -126,6 +144,8 @@ class Model:
             escape=spec.escape_whitespaces,
             # No piece has a space mark after another character, so no merge crosses the start of a word.
             splits=not any(SPACE in pieces[i].lstrip(SPACE) for i in usable),
+            # No piece has a letter beside another character but marks, so no merge crosses the ends of a run of letters.
+            letters_apart=not any(_MIXED(pieces[i].lstrip(SPACE)) for i in usable),
         )
 
     def normalise(self, text: str) -> str:
@@ -219,30 +239,28 @@ class Model:
         return out
 
     def known(self, word: str) -> tuple[bytes, bytes, str]:
-        """Of a word: its ids and the normalised bytes of each as unsigned 32-bit integers, and its decoded text.
-
-        Short words are remembered.
-        """
-        found = self.memo.get(word)
-        if found is None:
-            pieces = self.split(word)
-            ids = np.array([i for i, _ in pieces], "<u4")
-            found = ids.tobytes(), np.array([w for _, w in pieces], "<u4").tobytes(), self.joined(ids)
-            if len(word) <= MEMO_CHARS:
-                if len(self.memo) >= MEMO_WORDS:
-                    self.memo.clear()
-                self.memo[word] = found
-        return found
+        """Of a word: its ids and the normalised bytes of each as unsigned 32-bit integers, and its decoded text."""
+        pieces = self.split(word)
+        n = len(pieces)
+        ids = struct.pack(f"<{n}I", *[i for i, _ in pieces])
+        # Pieces that are no bytes and not unknown spell the word itself.
+        spelt = all(self.types[i] == NORMAL for i, _ in pieces)
+        text = word.replace(SPACE, " ") if spelt else self.joined(np.frombuffer(ids, "<u4"))
+        return ids, struct.pack(f"<{n}I", *[w for _, w in pieces]), text
 
     def words(self, normal: str) -> list[str]:
         # A run of marks goes with the word behind it.
-        return _WORD.findall(normal) if self.splits else [normal] if normal else []
+        if not self.splits:
+            return [normal] if normal else []
+        return (_LETTERS_APART if self.letters_apart else _WORD).findall(normal)
 
     def pieces_of(self, text: str) -> tuple[np.ndarray, np.ndarray, str]:
         """The ids of the pieces, the source byte behind each of them, and the decoded text."""
         plain = self.charmap is None and not self.trim and SPACE not in text
         normal, source = (self.normalise(text), None) if plain else self.normalise_aligned(text)
-        found = [self.known(w) for w in self.words(normal)]
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
+        found = list(map(self.memo.__getitem__, self.words(normal)))
         ids = np.frombuffer(b"".join([f[0] for f in found]), "<u4")
         ends = np.cumsum(np.frombuffer(b"".join([f[1] for f in found]), "<u4"), dtype=np.int64)
         if source is not None:
@@ -309,6 +327,10 @@ def _inside_marks(raw: np.ndarray) -> np.ndarray:
 
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+# Runs of letters, and runs of other characters, each with the marks before it.  Raised numbers and fractions are no letters.
+_LETTER, _OTHER = r"[^\W\d_²³¹¼½¾]", r"[\W\d_²³¹¼½¾]"
+_LETTERS_APART = re.compile(rf"{SPACE}*(?:{_LETTER}+|(?:(?!{SPACE}){_OTHER})+)|{SPACE}+")
+_MIXED = re.compile(f"{_LETTER}{_OTHER}|{_OTHER}{_LETTER}").search
 
 
 def _utf8(raw: bytes) -> str:
