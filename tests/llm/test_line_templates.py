@@ -66,3 +66,10 @@ def test_one_very_long_text(spark):
     texts = ["\n".join(prose(9, 100_000)), "x" * 5_000_000, *("\n".join([*prose(k, 2), FOOTER]) for k in range(3))]
     rows = {r.doc_id: r.n_dropped for r in line_report(documents(spark, texts)).collect()}
     assert {k: rows[k] for k in (1, 2, 3, 4)} == {1: 0, 2: 1, 3: 1, 4: 1}
+
+
+def test_a_document_of_recurring_lines_only_stays_whole(spark):
+    texts = [FOOTER, f"{FOOTER}\n---", *("\n".join([*prose(k, 2), FOOTER]) for k in range(3))]
+    rows = {r.doc_id: (r.n_dropped, r.text) for r in line_report(documents(spark, texts)).collect()}
+    assert [rows[k] for k in (0, 1)] == [(0, texts[0]), (0, texts[1])]
+    assert all(rows[k] == (1, "\n".join(prose(k - 2, 2))) for k in (2, 3, 4))

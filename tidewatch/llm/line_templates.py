@@ -6,7 +6,8 @@ MIN_DOCS documents and CONSTANT of all in the leaf have it at that place; elsewh
 stays constant is the line's template; a line with too many fields is its own template.  Templates that recur across
 documents are dropped, however many documents have them.
 
-Documents with the same set of masked lines are copies of one document: they have one vote together.  Copies with
+A document that would be left without a letter keeps all its lines: it is no text with boilerplate around it, and whether it is a
+copy is for other operators to say.  Documents with the same set of masked lines are copies of one document: they have one vote together.  Copies with
 differing lines are different documents.
 """
 
@@ -102,13 +103,14 @@ def _marked(docs: DataFrame, min_docs: int) -> DataFrame:
     each = rows.select("_uid", "_rest", "_null", F.posexplode("_lines").alias("_pos", "_line"))
     # The other columns travel with the first line only.
     each = each.withColumns({"_rest": F.when(F.col("_pos") == 0, F.col("_rest")), "h": F.xxhash64(masked(F.col("_line")))})
-    kept = F.when(F.col("_drop").isNull(), F.struct("_pos", "_line"))
-    return each.join(drop, "h", "left").groupBy("_uid").agg(
+    found = each.join(drop, "h", "left").groupBy("_uid").agg(
         F.first("_rest", ignorenulls=True).alias("_rest"),
         F.any_value("_null").alias("_null"),
-        F.array_sort(F.collect_list(kept)).alias("_lines"),
+        F.array_sort(F.collect_list(F.struct("_pos", "_line", "_drop"))).alias("_lines"),
         F.count(F.lit(1)).alias("_n"),
+        F.max(F.col("_drop").isNull() & F.col("_line").rlike(r"\p{L}")).alias("_left"),
     )
+    return found.withColumn("_lines", F.filter("_lines", lambda x: ~F.col("_left") | x["_drop"].isNull()))
 
 
 def line_report(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -42,10 +42,13 @@ ORACLES = {
             HAVING count(*) - count(c.token) <= greatest(2, count(*) * 0.2) AND count(*) < 2 * count(c.token)),
         again AS (SELECT leaf, fields FROM general GROUP BY leaf, fields HAVING sum(docs) >= 3),
         dropped AS (
-            SELECT m FROM voted WHERE docs >= 3 UNION SELECT m FROM general SEMI JOIN again USING (leaf, fields))
-        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(d.m) AS n_dropped,
-               coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (d.m IS NULL), '') AS text
-        FROM masked LEFT JOIN dropped d USING (m) GROUP BY uid""",
+            SELECT m FROM voted WHERE docs >= 3 UNION SELECT m FROM general SEMI JOIN again USING (leaf, fields)),
+        judged AS (
+            SELECT uid, doc_id, pos, line, d.m IS NOT NULL AND bool_or(d.m IS NULL AND regexp_matches(line, '\p{L}')) OVER (PARTITION BY uid) AS gone
+            FROM masked LEFT JOIN dropped d USING (m))
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+        FROM judged GROUP BY uid""",
     # crc32 bit by bit; near words meet where deleting a code point, or none, leaves the same.
     "op11_spelling_variants": r"""
         WITH RECURSIVE runs AS (
