@@ -108,9 +108,10 @@ def _marked(docs: DataFrame, min_docs: int) -> DataFrame:
         F.any_value("_null").alias("_null"),
         F.array_sort(F.collect_list(F.struct("_pos", "_line", "_drop"))).alias("_lines"),
         F.count(F.lit(1)).alias("_n"),
-        F.max(F.col("_drop").isNull() & F.col("_line").rlike(r"\p{L}")).alias("_left"),
     )
-    return found.withColumn("_lines", F.filter("_lines", lambda x: ~F.col("_left") | x["_drop"].isNull()))
+    # The search ends at the first line with a letter.
+    left = F.exists("_lines", lambda x: x["_drop"].isNull() & x["_line"].rlike(r"\p{L}"))
+    return found.withColumn("_left", left).withColumn("_lines", F.filter("_lines", lambda x: ~F.col("_left") | x["_drop"].isNull()))
 
 
 def line_report(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
