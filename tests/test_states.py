@@ -4,15 +4,18 @@ import pytest
 from hypothesis import given, settings as hyp, strategies as st
 from pyspark.sql import functions as F
 
-from helpers import START, brute_states, level_samples, points
-from tidewatch.functions.steps import compose, identity_step, next_level, step_of
+from helpers import DAY, START, brute_states, level_samples, points
+from tidewatch.functions.steps import compose, fixed_step, identity_step, next_level, step_of
 from tidewatch.config import DEFAULTS, LevelRule
+from tidewatch.operators.baseline import hourly_baseline
 from tidewatch.operators.cells import Grain, WHOLE_SERIES
 from tidewatch.operators.control import count_before
 from tidewatch.operators.hysteresis import level_states, with_level_times
 from tidewatch.operators.levels import levels_in_use, rules_literal, tenant_dead_letters, tenant_rules
 from tidewatch.operators.regression import regression_totals, running_regression
+from tidewatch.operators.resume import last_samples, merged_totals
 from tidewatch.plans.monitor import monitor
+from tidewatch.session import cut_lineage
 
 DEFAULT_RECS = dict(enumerate((3, 3, 3, 2, 2, 1)))
 LEVELS = tuple(range(6))
@@ -212,3 +215,50 @@ def test_whole_path_does_not_depend_on_cells(spark, grain):
     other = monitor(frame, grain=grain).select(*columns, *times).orderBy("seq").collect()
     assert one == other
     assert {r.state for r in one} == {0, 1, 2, 3}
+
+
+def _noisy(n=500):
+    rng = random.Random(3)
+    rows = [(START + 1_200_000 * i, 10 + rng.random(), 0) for i in range(8 * 72)]
+    wave = [(START + 8 * DAY + 60_000 * i, rng.choice([5, 10, 40, 60, 90]) * (3 if i // 60 % 2 else 1), rng.choice([0, 0, 0, -3])) for i in range(n)]
+    return rows, wave
+
+
+@pytest.mark.parametrize("grain", [WHOLE_SERIES, Grain(None, (("s", 3_600_000),))])
+def test_runs_go_on_from_the_last_one(spark, grain):
+    rows, wave = _noisy()
+    all_points = points(spark, rows + wave)
+    hourly = hourly_baseline(all_points)
+    columns = ["seq", "level", "prev_level", "state_level", "state", "emitted", "upstate", "starttimes", "endtimes"]
+    plain = lambda df: sorted(map(str, df.select(*columns).collect()))
+    whole = plain(monitor(all_points, hourly, grain=grain))
+    # The third run has fewer samples than a window, the fourth one none.
+    cuts = [0, len(rows) + 200, len(rows) + 350, len(rows) + 355, len(rows) + 355, len(rows) + 500]
+    left, totals, got, values = None, None, [], set()
+    for a, b in zip(cuts, cuts[1:]):
+        part = all_points.where((F.col("seq") >= a) & (F.col("seq") < b))
+        states = monitor(part, hourly, grain=grain, earlier=left, earlier_totals=totals)
+        got += plain(states)
+        values |= {r.state_level for r in states.select("state_level").collect()}
+        own = regression_totals(part, ["series_key"])
+        left = cut_lineage(last_samples(states, earlier=left))
+        totals = cut_lineage(own if totals is None else merged_totals(own, totals))
+        assert left.count() <= DEFAULTS.window_samples
+    assert sorted(got) == whole
+    assert len(values) > 2
+    expected = regression_totals(all_points, ["series_key"]).collect()[0].asDict()
+    for name, value in totals.collect()[0].asDict().items():
+        assert value == pytest.approx(expected[name]) if name != "series_key" else value == "s"
+
+
+def test_a_run_that_goes_on_needs_a_baseline(spark):
+    frame = points(spark, [(START, 1, 0)])
+    with pytest.raises(ValueError, match="baseline"):
+        monitor(frame, earlier_totals=regression_totals(frame, ["series_key"]))
+
+
+@pytest.mark.parametrize("level", LEVELS)
+def test_fixed_step_leads_to_its_level(level):
+    assert {ord(c) - 0x100 for c in fixed_step(level, LEVELS)} == {level + 1}
+    assert {ord(c) - 0x100 for c in fixed_step(4, (0, 2, 7))} == {2}
+    assert {ord(c) - 0x100 for c in fixed_step(-1, LEVELS)} == {0}

@@ -22,6 +22,7 @@ MEMO_ENTRIES = 200_000
 # Places are characters from here on; the highest keeps clear of surrogates.
 FIRST_PLACE = 0x100
 MAX_PLACES = 0xD000
+FIXED = "="
 
 
 # Column side
@@ -33,6 +34,11 @@ def recurrence_text(rules: Column) -> Column:
     return F.array_join(F.transform(rules, pair), ",")
 
 
+def fixed_text(level: Column) -> Column:
+    """In place of recurrences: a sample that leads to this level from every other."""
+    return F.concat(F.lit(FIXED), level.cast("string"))
+
+
 def level_after(step: str, start_place: Column, levels: Sequence[int]) -> Column:
     """The level a step leads to from a place."""
     place = F.ascii(F.substring(F.col(step), start_place + 1, F.lit(1))) - FIRST_PLACE
@@ -72,6 +78,12 @@ def step_of(window: Sequence[int], last: int, needed: dict[int, int], levels: Se
     return "".join(chr(FIRST_PLACE + place[next_level(window, last, needed, level)]) for level in place)
 
 
+def fixed_step(level: int, levels: Sequence[int]) -> str:
+    """The step to one level; to the next one below it if it is no longer in use."""
+    reached = sum(known <= level for known in levels)
+    return chr(FIRST_PLACE + reached) * (len(levels) + 1)
+
+
 def compose(first: str, then: str) -> str:
     """The step that does ``first`` and afterwards ``then``."""
     return "".join(then[ord(c) - FIRST_PLACE] for c in first)
@@ -120,7 +132,11 @@ def samples_so_far(levels: Sequence[int]):
                     if len(memo) >= MEMO_ENTRIES:
                         memo.clear()
                     window, last, needed = key
-                    step = memo[key] = step_of([int(s) for s in window.split(",")], int(last), parse_recurrences(needed), levels)
+                    if needed.startswith(FIXED):
+                        step = fixed_step(int(needed[len(FIXED) :]), levels)
+                    else:
+                        step = step_of([int(s) for s in window.split(",")], int(last), parse_recurrences(needed), levels)
+                    memo[key] = step
                 if first:
                     composer.restart()
                 before.append(composer.so_far)

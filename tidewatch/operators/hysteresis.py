@@ -162,12 +162,18 @@ def with_level_times(
 ) -> DataFrame:
     """Add ``starttimes`` and ``endtimes``: when each level in use was last entered and last left.
 
-    Both are always there, empty before the first alert.  A level counts as entered at ``start_at``.
+    Both are always there, empty before the first alert.  A level counts as entered at ``start_at``.  Samples that an
+    earlier run left (``is_earlier``) bring their own times.
     """
     folds, used = {}, levels_in_use() if levels_used is None else tuple(levels_used)
+
+    def at(level: int, moved: str, when: str, left: str) -> Column:
+        own = F.expr(f"CASE WHEN {moved} THEN {when} END")
+        return F.when(F.col("is_earlier"), F.try_element_at(left, F.lit(level))).otherwise(own) if "is_earlier" in states.columns else own
+
     for level in used:
-        folds[f"_s{level}"] = ("max", F.expr(f"CASE WHEN prev_level < {level} AND state_level >= {level} THEN {start_at} END"))
-        folds[f"_e{level}"] = ("max", F.expr(f"CASE WHEN state_level < {level} AND prev_level >= {level} THEN ts_ms END"))
+        folds[f"_s{level}"] = ("max", at(level, f"prev_level < {level} AND state_level >= {level}", start_at, "earlier_starts"))
+        folds[f"_e{level}"] = ("max", at(level, f"state_level < {level} AND prev_level >= {level}", "ts_ms", "earlier_ends"))
     placed = states if "cell" in states.columns else add_cell(states, grain)
     timed = running(placed, list(keys), ORDER, grain, folds)
 

@@ -46,6 +46,12 @@ def regression_totals(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     return shifted.groupBy(*keys, "origin_s").agg(*[F.sum(c).alias(c) for c in _SUMS])
 
 
+def moved_totals(totals: DataFrame, keys: Sequence[str], by: str = "_gap") -> DataFrame:
+    """Totals about origins ``by`` seconds after the first one of their key, summed about that one."""
+    shifted = totals.select(*keys, "origin_s", *[e.alias(c) for c, e in _shifted("", by).items()])
+    return shifted.groupBy(*keys).agg(F.min("origin_s").alias("origin_s"), *[F.sum(c).alias(c) for c in _SUMS])
+
+
 def running_regression(
     points: DataFrame,
     grain: Grain = WHOLE_SERIES,

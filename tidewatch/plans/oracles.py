@@ -521,6 +521,10 @@ QUALIFY row_number() OVER (PARTITION BY uuid, ts_ms // 1000, series_key ORDER BY
     + "SELECT series_key, seq, "
     + ", ".join(f"{p}_{j}" for p in ("start", "end") for j in range(6))
     + " FROM timed",
+    "level_state_resumed": _with(*STATES, _TIMED)
+    + "SELECT series_key, seq, level, prev_level, state_level, state, emitted, upstate, "
+    + ", ".join(f"{p}_{j}" for p in ("start", "end") for j in range(6))
+    + " FROM timed",
     "level_state_controlled": _with(*CONTROLLED)
     + "SELECT series_key, seq, epoch, fit_epoch, level, prev_level, state_level, state FROM states",
     "special_status": _with(*_special()) + f"SELECT {_SPECIAL_COLUMNS} FROM ev_status",

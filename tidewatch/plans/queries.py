@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import HOUR_MS, Settings
 from tidewatch.functions.numbers import percent_of
-from tidewatch.operators import absence, alerts, baseline, catalog, control, hysteresis, ingest, lateness, levels, regression, score, special
+from tidewatch.operators import absence, alerts, baseline, catalog, control, hysteresis, ingest, lateness, levels, regression, resume, score, special
 from tidewatch.operators.cells import measure_grain
 from tidewatch.operators.joins import lookup
 from tidewatch.plans.monitor import monitor, point_levels
@@ -408,6 +408,26 @@ def level_times(spark, folder):
     )
 
 
+def _two_runs(spark, folder):
+    """The states of two runs, the second of which goes on from what the first one left, one after the other."""
+    points, grain = _points_and_grain(spark, folder)
+    hourly = cut_lineage(baseline.hourly_baseline(points))
+    before, after = points.where(F.col("ts_ms") < CUT_MS), points.where(F.col("ts_ms") >= CUT_MS)
+    first = cut_lineage(monitor(before, hourly, grain=grain))
+    left = resume.last_samples(first)
+    totals = regression.regression_totals(before, ["series_key"])
+    return first.unionByName(monitor(after, hourly, grain=grain, earlier=left, earlier_totals=totals))
+
+
+@query
+def level_state_resumed(spark, folder):
+    """Two runs give the states and level times of one run over all."""
+    states = _two_runs(spark, folder)
+    at = lambda m, j, p: F.try_element_at(m, F.lit(j)).alias(f"{p}_{j}")
+    times = [at(f"{p}times", j, p) for p in ("start", "end") for j in range(6)]
+    return states.select("series_key", "seq", "level", "prev_level", "state_level", "state", "emitted", "upstate", *times)
+
+
 @query
 def level_state_controlled(spark, folder):
     points, grain = _points_and_grain(spark, folder)
