@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,49 @@ def test_broken_pages(page, weights):
     assert isinstance(extract(page, weights), str)
 
 
+HOSTILE = {
+    "tags that never end": "<a " * 1_700_000,
+    "end tags that fit nothing": "<div>" * 20_000 + "</p></other>" * 20_000,
+    "raw elements that never end": "<noscript>" * 100_000,
+    "crossed quotes": "<a '\"b>" * 600_000,
+    "one quote too many": "<p x=\"1' " * 500_000,
+    "declarations": "<!" * 2_500_000,
+    "a long attribute": "<div " + "x" * 5_000_000 + ">a",
+    "closed below a border": "<p><button>" + "<foo>" * 20_000 + "<h1></h1>" * 20_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_time_is_in_proportion_to_the_page(name, weights):
+    begun = time.process_time()
+    assert isinstance(extract(HOSTILE[name], weights), str)
+    assert time.process_time() - begun < 20
+
+
+def test_a_page_of_five_megabytes(weights):
+    body = "".join(f"<p>Sentence number {i} of a long article, told in full.</p>" for i in range(90_000))
+    page = f"<html><body><nav><a href='/'>Home</a></nav><article>{body}</article></body></html>"
+    assert len(page) > 5_000_000
+    assert extract(page, weights) == "\n".join(f"Sentence number {i} of a long article, told in full." for i in range(90_000))
+
+
+def test_a_quote_that_never_ends(weights):
+    nodes = parse('<div><p class="x>One</p><p title=a>b>Two</p></div>')
+    assert [t for n in nodes for _, t, _ in n.runs] == ["One", "b>Two"]
+
+
+def test_main_text_of_odd_rows(spark, weights):
+    page = "<html><body><article><p>A sentence of the article, and more of it.</p></article></body></html>"
+    rows = [(1, "u", page), (1, "u", page), (None, None, page), (2, "v", None), (3, None, "")]
+    frame = spark.createDataFrame([(*r, "t", 5, True) for r in rows], "page_id bigint, url string, html string, text string, n_chars int, weight boolean")
+    got = sorted(map(repr, map(tuple, main_text(frame, weights).collect())))
+    text = "A sentence of the article, and more of it."
+    expected = [(1, "u", text, len(text)), (1, "u", text, len(text)), (None, None, text, len(text)), (2, "v", "", 0), (3, None, "", 0)]
+    assert got == sorted(map(repr, expected))
+    empty = main_text(frame.where("false"), weights)
+    assert empty.columns == ["page_id", "url", "text", "n_chars"] and empty.count() == 0
+
+
 def test_main_text_of_the_pages(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet")
     rows = {x.page_id: x for x in main_text(pages).collect()}
@@ -114,3 +158,21 @@ def test_replica_digests_are_hashes_of_its_bytes(spark):
     for r in rows:
         held = records[r.page_id][:-1] + b"\x00" if r in hurt else records[r.page_id]
         assert r.replica == hashlib.sha256(held).hexdigest() and r.length == len(held)
+
+
+def test_audit_of_odd_rows(spark):
+    schema = "file int, offset bigint, digest string, node bigint, above bigint, fault string"
+    frame = lambda rows: spark.createDataFrame([(*r, 1, 2, "x") for r in rows], schema)
+    audit = lambda a, b: sorted(map(tuple, fixity_audit(frame(a), frame(b)).collect()))
+    left = [(0, 0, "a"), (0, 10, "b"), (1, 0, "c")]
+    assert audit(left, left) == []
+    # A null digest is an empty one; rows that can't be placed are left out.
+    assert audit([(0, 0, None)], [(0, 0, "")]) == []
+    assert audit([(0, 0, None)], [(0, 0, "a")]) == [(0, 0, "changed")]
+    assert audit([*left, (None, 5, "z"), (0, None, "z")], left) == []
+    # A repeated record is not a single one, but the same as one repeated as often.
+    assert audit(left, [*left, left[1]]) == [(0, 10, "changed")]
+    assert audit([*left, left[1]], [*left, left[1]]) == []
+    assert audit([], left) == [(0, 0, "extra"), (0, 10, "extra"), (1, 0, "extra")]
+    assert audit(left, []) == [(0, 0, "missing"), (0, 10, "missing"), (1, 0, "missing")]
+    assert audit([], []) == []

@@ -36,8 +36,10 @@ CLOSES = {
     "body": (frozenset({"head"}), frozenset()),
 }
 
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?/][^>]*>)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*)")
+# A tag is looked for where one can begin; nothing that a pattern has passed is tried again.
+_BEGIN = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)()|[!?/])")
+_TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)(?:((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>)?|[!?/])")
+_ATTRIBUTE = re.compile(r"(?<![^\s=/\"'>])([^\s=/\"'>]++)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+)")
 _SPACE = re.compile(r"\s+")
 
 
@@ -61,11 +63,16 @@ def attribute(raw: str, name: str) -> str:
 def parse(page: str | None) -> list[Node]:
     """Nodes in page order, parents before children; node 0 is the page itself.
 
-    Inline elements belong to the text around them.  End tags that fit nothing are ignored, missing ones implied.
+    Inline elements belong to the text around them.  End tags that fit nothing are ignored, missing ones implied.  What
+    no ``>`` follows is text.  From the first tag on whose quote never ends, quotes are not heeded and a tag ends at the
+    next ``>``.  The time is in proportion to the page, whatever is in it.
     """
     page = page or ""
     nodes = [Node("#page", -1)]
     stack = [0]  # open block elements
+    places: dict[str, list[int]] = {}  # where in the stack those of each kind are
+    endless: set[str] = set()  # raw elements that no end tag follows
+    quotes = True
     links = 0
     text: list[str] = []
     linked = 0
@@ -81,34 +88,51 @@ def parse(page: str | None) -> list[Node]:
             text.clear()
         linked = 0
 
+    def cut(k: int) -> None:
+        for i in stack[k:]:
+            places[nodes[i].tag].pop()
+        del stack[k:]
+
+    def innermost(kinds) -> int:
+        return max((places[tag][-1] for tag in kinds if places.get(tag)), default=0)
+
     def close(kinds, until) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[k]].tag
-            if tag in kinds:
-                flush()
-                del stack[k:]
-                return
-            if tag in until:
-                return
-
-    at, end = 0, len(page)
+        k = innermost(kinds)
+        if k and (k == len(stack) - 1 or k >= innermost(until)):
+            flush()
+            cut(k)
+
+    def next_tag(at: int) -> tuple[int, int, str, str, str]:
+        """Where the next tag begins and ends, its slash, its name ("" for comments and such) and what follows that."""
+        nonlocal quotes
+        begin = (_TAG if quotes else _BEGIN).search(page, at)
+        if not begin:
+            return end, end, "", "", ""
+        start, after = begin.span()
+        comment, closing, tag, rest = begin.groups()
+        if tag and rest is not None and quotes:
+            return start, after, closing, tag.lower(), rest
+        quotes = quotes and (not tag or start > last)
+        stop = page.find("-->" if comment else ">", after)
+        if stop < 0:
+            return (start if comment else end), end, "", "", ""
+        return start, stop + (3 if comment else 1), closing or "", (tag or "").lower(), page[after:stop]
+
+    at, end, last = 0, len(page), page.rfind(">")
     while at < end:
-        found = _TAG.search(page, at)
-        chunk = page[at : found.start() if found else end]
+        start, after, closing, tag, rest = next_tag(at)
+        chunk = page[at:start]
         if nodes[stack[-1]].tag == "head" and chunk and not chunk.isspace():
-            stack.pop()
+            cut(len(stack) - 1)
         if chunk and not nodes[stack[-1]].hidden:
             text.append(chunk)
             if links:
                 linked += len(chunk)
-        if not found:
-            break
-        at = found.end()
-        closing, tag, rest = found[1], (found[2] or "").lower(), found[3] or ""
+        at = after
         if not tag:
             continue
         if nodes[stack[-1]].tag == "head" and not closing and tag not in IN_HEAD:
-            stack.pop()
+            cut(len(stack) - 1)
         if tag in INLINE:
             if tag == "a":
                 links = max(0, links + (-1 if closing else 1))
@@ -129,16 +153,18 @@ def parse(page: str | None) -> list[Node]:
             continue
         if tag in RAW_TEXT:
             # Everything up to the end tag is text of this element, which is never shown.
-            stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            stop = None if tag in endless else re.compile(rf"</{tag}\s*+>", re.I).search(page, at)
             if stop:
                 at = stop.end()
                 continue
+            endless.add(tag)
             if tag in ("script", "style", "textarea", "title", "iframe"):
                 break
             continue
         if tag in ("html",):
             continue
         nodes.append(Node(tag, stack[-1], rest, hidden=nodes[stack[-1]].hidden or tag in HIDDEN))
+        places.setdefault(tag, []).append(len(stack))
         stack.append(len(nodes) - 1)
     flush()
     return nodes
