@@ -132,6 +132,68 @@ def test_licenses_are_found_in_long_texts_and_told_apart():
     assert scanner.scan(prose(r, 5000)) == []
 
 
+WRONG = [
+    ("Released under the Apache License.", []),
+    ("Released under the BSD License.", []),
+    ("Released under the MIT License.", ["MIT notice"]),
+    ("Licensed under the Apache License, Version 1.1.", []),
+    ("Licensed under the Apache License, Version 2.0.", ["Apache-2.0 notice"]),
+    ("This work is licensed under the GNU General Public License, version 2.", []),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", []),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", []),
+    ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0 notice"]),
+    ("Licensed under CC BY 3.0.", []),
+    ("Licensed under CC BY-ND 4.0.", []),
+    ("Licensed under CC BY-NC-SA 4.0.", []),
+    ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0 notice"]),
+    (TEMPLATES["GPL-3.0 header"].replace("version 3", "version 2"), []),
+    (TEMPLATES["GPL-3.0 header"].replace("GNU General", "GNU Lesser General"), []),
+    (TEMPLATES["Apache-2.0 header"].replace("2.0", "1.1"), []),
+    (TEMPLATES["MPL-2.0 header"].replace("2.0", "1.1"), []),
+    (TEMPLATES["BSD-3-Clause"].replace("Neither", "All advertising materials mentioning features must display this. Neither"), []),
+    (TEMPLATES["ISC"].replace("provided that the above copyright notice and this permission notice appear in all copies", ""), []),
+    (TEMPLATES["MIT"].replace("The above copyright notice and this permission notice shall be included in all copies", ""), []),
+]
+
+
+@pytest.mark.parametrize("around", [0, 40])
+@pytest.mark.parametrize("k", range(len(WRONG)))
+def test_other_licenses_of_nearly_the_same_words(k, around):
+    r = random.Random(k)
+    text, names = WRONG[k]
+    got = [f[0] for f in Scanner(TEMPLATES, 0.8).scan(f"{prose(r, around)} {text} {prose(r, around)}")]
+    assert got == names
+
+
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_each_license_is_itself_and_beside_another_of_its_kind(name):
+    scanner = Scanner(TEMPLATES, 0.8)
+    assert [f[:2] for f in scanner.scan(TEMPLATES[name])] == [(name, 1.0)]
+    for text, names in WRONG:
+        got = [f[0] for f in scanner.scan(f"{text} Then some words between. {TEMPLATES[name]}")]
+        assert got == [*names, name], text
+
+
+def _common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last, row = row, [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return row[-1]
+
+
+def test_alignment_against_the_longest_common_subsequence():
+    r = random.Random(12)
+    for text in TEMPLATES.values():
+        template = words_of(text)
+        for share in (0.0, 0.05, 0.2):
+            edited = [w for w in template for w in ([w] if r.random() >= share else r.choice([[], ["new"], [w, "more"]]))]
+            found, best = len(align(edited, template)), _common(edited, template)
+            assert found <= best
+            assert found >= 0.9 * best if share else found == best == len(template)
+
+
 def test_every_place_of_a_license_is_found():
     r = random.Random(9)
     scanner = Scanner(TEMPLATES, 0.8)

@@ -1,5 +1,21 @@
 """Texts of licenses and of the notices that point to them, as their authors publish them."""
 
+_BSD_CONDITIONS = """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. """
+_BSD_NAMES = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission. """
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+        IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+        PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY
+        DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+        PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+        CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+        OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+        DAMAGE."""
+
 TEMPLATES = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
         associated documentation files (the "Software"), to deal in the Software without restriction, including
@@ -14,14 +30,12 @@ TEMPLATES = {
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
         hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE
         SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING
-        ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
-    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
-        provided that the following conditions are met: Redistributions of source code must retain the above copyright
-        notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the
-        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
-        materials provided with the distribution. Neither the name of the copyright holder nor the names of its
-        contributors may be used to endorse or promote products derived from this software without specific prior
-        written permission.""",
+        ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+        DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+        PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION
+        WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "BSD-2-Clause": _BSD_CONDITIONS + _BSD_DISCLAIMER,
+    "BSD-3-Clause": _BSD_CONDITIONS + _BSD_NAMES + _BSD_DISCLAIMER,
     "Apache-2.0 header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
         except in compliance with the License. You may obtain a copy of the License at
         http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software
@@ -41,3 +55,27 @@ TEMPLATES = {
     "CC-BY-SA-4.0 notice": "Licensed under CC BY-SA 4.0.",
     "All rights reserved": "All rights reserved.",
 }
+
+# Word sequences that a covered place has to hold as they are: name, version or clause by which a license differs from
+# others of much the same words.
+TELLING = {
+    "MIT": ["deal in the software without restriction", "shall be included in all copies"],
+    "ISC": ["notice appear in all copies"],
+    "BSD-3-Clause": ["neither the name"],
+    "Apache-2.0 header": ["www.apache.org licenses license-2.0"],
+    "GPL-3.0 header": ["gnu general public license", "version 3 of the license", "any later version"],
+    "MPL-2.0 header": ["mozilla public license v 2.0"],
+    "Apache-2.0 notice": ["apache license version 2.0"],
+    "MIT notice": ["the mit license"],
+    "GPL-3.0 notice": ["gnu general public license version 3"],
+    "CC-BY-4.0 notice": ["cc by 4.0"],
+    "CC-BY-NC-4.0 notice": ["cc by-nc 4.0"],
+    "CC-BY-SA-4.0 notice": ["cc by-sa 4.0"],
+    "All rights reserved": ["all rights reserved"],
+}
+
+# Word sequences that no covered place may hold, as they stand in another license of much the same words.
+FOREIGN = {
+    "BSD-2-Clause": ["neither the name", "advertising materials mentioning"],
+    "BSD-3-Clause": ["advertising materials mentioning"],
+}

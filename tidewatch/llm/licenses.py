@@ -2,7 +2,8 @@
 
 Words that occur once in a stretch of text and once in a template are anchors; the longest increasing subsequence of
 their positions is kept, and the gaps between anchors are aligned in the same way.  The share of the template's words
-that are aligned is its coverage.
+that are aligned is its coverage.  What differs by a name, a version or a clause only is told apart by word sequences
+that a place must hold, or must not.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.license_texts import TEMPLATES
+from tidewatch.llm.license_texts import FOREIGN, TELLING, TEMPLATES
 from tidewatch.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -70,15 +71,25 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+Phrases = dict[str, list[str]]
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str], coverage: float):
+    def __init__(self, templates: dict[str, str], coverage: float, telling: Phrases = TELLING, foreign: Phrases = FOREIGN):
         self.coverage = coverage
+        self.telling, self.foreign = ({n: [f" {p} " for p in ps] for n, ps in given.items()} for given in (telling, foreign))
         self.templates = []
         for name, text in templates.items():
             words = words_of(text)
             self.templates.append((name, words, Counter(words), int(np.ceil(coverage * len(words)))))
 
-    def _places(self, words: list[str], inside: np.ndarray, template: list[str], least: int, at: int, end: int) -> list[tuple[float, int, int]]:
+    def _tells(self, name: str, words: list[str]) -> bool:
+        """Whether words that cover a template are those of its license and not of another."""
+        must, no = self.telling.get(name, ()), self.foreign.get(name, ())
+        text = f" {' '.join(words)} " if must or no else ""
+        return all(p in text for p in must) and not any(p in text for p in no)
+
+    def _places(self, name: str, words: list[str], inside: np.ndarray, template: list[str], least: int, at: int, end: int) -> list[tuple[float, int, int]]:
         """(coverage, first word, word after the last) of the places of a template among the words from at to end.
 
         Beside a place that is found, the words before and behind it are searched in the same way.  Copies that share
@@ -92,20 +103,26 @@ class Scanner:
         pairs = align(words[at:end], template)
         covered = len(pairs) >= least
         first, last = (at + pairs[0][0], at + pairs[-1][0] + 1) if covered else (at, end)
+        if covered and last - first > size:
+            # A place that begins with words of the text before it is drawn together from its end.
+            back = align(words[first:last][::-1], template[::-1])
+            if len(back) >= len(pairs):
+                pairs, first, last = back, last - back[-1][0] - 1, last - back[0][0]
         if last - first > size + step:
             pieces = range(first, max(first + 1, last - least + 1), step)
-            found = [p for k in pieces for p in self._places(words, inside, template, least, k, min(last, k + size + step))]
+            found = [p for k in pieces for p in self._places(name, words, inside, template, least, k, min(last, k + size + step))]
             if found and not covered:
                 return found
         else:
             found = []
         if not covered:
             return []
-        found = found or [(len(pairs) / size, first, last)]
+        if not found and self._tells(name, words[first:last]):
+            found = [(len(pairs) / size, first, last)]
         return [
-            *self._places(words, inside, template, least, at, first),
+            *self._places(name, words, inside, template, least, at, first),
             *found,
-            *self._places(words, inside, template, least, last, end),
+            *self._places(name, words, inside, template, least, last, end),
         ]
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
@@ -127,7 +144,7 @@ class Scanner:
             inside = np.concatenate([[0], np.cumsum(np.fromiter((w in counts for w in words), np.int64, len(words)))])
             size = len(template)
             for at in range(0, len(words), size):
-                places = self._places(words, inside, template, least, at, min(len(words), at + 2 * size))
+                places = self._places(name, words, inside, template, least, at, min(len(words), at + 2 * size))
                 found.update((name, *place) for place in places)
         kept = []
         for one in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[0], f[2])):
@@ -136,9 +153,9 @@ class Scanner:
         return sorted(kept, key=lambda f: f[2])
 
 
-def _scanned(templates: dict[str, str], coverage: float):
+def _scanned(*given):
     def run(batches):
-        scanner = Scanner(templates, coverage)
+        scanner = Scanner(*given)
         for batch in batches:
             rows = [(i, *f) for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for f in scanner.scan(t.as_py())]
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()]
@@ -148,11 +165,12 @@ def _scanned(templates: dict[str, str], coverage: float):
     return run
 
 
-def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
+def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE, telling: Phrases = TELLING, foreign: Phrases = FOREIGN) -> DataFrame:
     """Rows (doc_id, license, coverage, first_word, end_word) of the places where documents cover a template.
 
-    Words are counted from 0.  Several places of one template in a document give a row each.  Null and empty texts cover nothing; repeated rows give repeated results; an empty table gives none; other
-    columns are ignored.
+    Words are counted from 0.  Several places of one template in a document give a row each.  Null and empty texts cover
+    nothing; repeated rows give repeated results; an empty table gives none; other columns are ignored.  ``telling`` and
+    ``foreign`` list by template the word sequences that its places must and must not hold.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_scanned(templates, coverage), "doc_id bigint, license string, coverage double, first_word bigint, end_word bigint")
+    return rows.mapInArrow(_scanned(templates, coverage, telling, foreign), "doc_id bigint, license string, coverage double, first_word bigint, end_word bigint")
