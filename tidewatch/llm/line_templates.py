@@ -42,14 +42,15 @@ def masked(line: Column) -> Column:
     for mark in ("\t", "\x0b", "\f", "\r"):
         odd = odd | F.contains(line, F.lit(mark))
     spaced = F.trim(F.when(odd, F.regexp_replace(line, r"[\x09\x0B\x0C\x0D ]+", " ")).otherwise(line))
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(spaced, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(spaced)
+    # A token is tried at its first character only, and no part of it twice.
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(spaced, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(spaced)
 
 
 def _distinct_lines(docs: DataFrame) -> DataFrame:
     """(line, h, vote): the distinct masked lines of each document that have a letter outside variable fields."""
     lines = docs.select(F.array_distinct(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), masked)).alias("lines"))
     # Beside explode() only columns: an expression there is worked out for every line, and takes the whole text along.
-    voting = lines.withColumn("vote", F.xxhash64(F.array_sort("lines")))
+    voting = lines.withColumn("vote", F.xxhash64(F.sort_array("lines")))
     once = voting.select("vote", F.explode("lines").alias("line"))
     words = F.when(F.contains("line", F.lit(FIELD)), F.regexp_replace("line", r"<\*>", "")).otherwise(F.col("line"))
     return once.where(words.rlike(r"\p{L}")).withColumn("h", F.xxhash64("line"))
@@ -62,10 +63,13 @@ def _semi(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(h): the hash of every masked line whose template recurs across documents."""
-    size = F.size(F.split("line", " "))
-    start = F.expr(f"substring_index(line, ' ', least({LEADING}, size(filter(split(line, ' '), t -> t <> '{FIELD}')) div 2))")
-    leaf = F.when(size >= MIN_TOKENS, F.xxhash64(size, start))
-    found = _distinct_lines(docs).select("h", "vote", leaf.alias("leaf"))
+    size = F.expr("octet_length(line) - octet_length(replace(line, ' ', '')) + 1")
+    # Lines are cut into tokens only where there are fields to leave out.
+    open_tokens = F.when(F.contains("line", F.lit(FIELD)), F.expr(f"size(filter(split(line, ' '), t -> t <> '{FIELD}'))")).otherwise(F.col("_size"))
+    start = F.expr(f"substring_index(line, ' ', least({LEADING}, _open div 2))")
+    leaf = F.when(F.col("_size") >= MIN_TOKENS, F.xxhash64("_size", start))
+    sized = _distinct_lines(docs).withColumn("_size", size).withColumn("_open", open_tokens)
+    found = sized.select("h", "vote", leaf.alias("leaf"))
     voted = found.groupBy("h", "vote").agg(F.any_value("leaf").alias("leaf"))
     found = stored(voted.groupBy("h").agg(F.any_value("leaf").alias("leaf"), F.count(F.lit(1)).alias("docs")))
     exact = found.where(F.col("docs") >= min_docs).select("h")
@@ -106,7 +110,7 @@ def _marked(docs: DataFrame, min_docs: int) -> DataFrame:
     found = each.join(drop, "h", "left").groupBy("_uid").agg(
         F.first("_rest", ignorenulls=True).alias("_rest"),
         F.any_value("_null").alias("_null"),
-        F.array_sort(F.collect_list(F.struct("_pos", "_line", "_drop"))).alias("_lines"),
+        F.sort_array(F.collect_list(F.struct("_pos", "_line", "_drop"))).alias("_lines"),
         F.count(F.lit(1)).alias("_n"),
     )
     # The search ends at the first line with a letter.
