@@ -12,6 +12,8 @@ that share their gram form a context, about LENGTH/2 windows in a run.
    in it and the bytes left over at their ends are equal.
 3. A hash under which more than BUCKET different contexts meet is not gathered: what the windows of a block share, and
    then the bytes they don't, are counted in plain aggregations.
+
+Texts move only where they are needed: a Bloom filter of the documents wanted lets all others pass by the joins.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import attach, stored
+from tidewatch.llm.membership import member_filter
 from tidewatch.llm.suffix_grouping import suffix_array
 from tidewatch.shipping import ship_by_value
 
@@ -172,20 +175,22 @@ def _spans(rows):
 
 
 def _compare(length: int, block: int):
-    """Spans of repeated windows of contexts that occur once; rows are sorted by hash."""
+    """Spans of repeated windows of contexts that occur once; rows are sorted by hash and place, and may be repeated."""
 
     def settle(held):
         found = repeated_windows([r[6] for r in held], [r[4] for r in held], [r[3] for r in held], length, block)
         return [(r[0], r[1], r[2] + a, r[2] + b + length - 1) for r, flags in zip(held, found, strict=True) if r[5] for a, b in _runs(flags)]
 
     def run(batches):
-        held, size, last = [], 0, None
+        held, size, last = [], 0, (None,) * 4
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
-                if row[0] != last and size > BATCH_BYTES:
+                if row[:4] == last:
+                    continue
+                if row[0] != last[0] and size > BATCH_BYTES:
                     yield _spans(settle(held))
                     held, size = [], 0
-                last = row[0]
+                last = row[:4]
                 held.append(row[1:])
                 size += len(row[7])
         if held:
@@ -194,19 +199,29 @@ def _compare(length: int, block: int):
     return run
 
 
+_CUT = "h bigint, doc bigint, t bigint, first bigint, n bigint, gram bigint, alone boolean, crowded boolean, bytes binary"
+
+
 def _cut_contexts(length: int):
-    """(h, doc, t, first, n, gram inside, alone, bytes) of the wanted contexts of each text."""
-    names = ["h", "doc", "t", "first", "n", "gram", "alone", "bytes"]
-    kinds = [pa.int64()] * 6 + [pa.bool_(), pa.binary()]
+    """The wanted contexts of each text, the gram counted from their start.
+
+    Repeated rows have the same contexts: within a partition the first of them is enough to cut them from.
+    """
+    names = [c.split()[0] for c in _CUT.split(", ")]
+    kinds = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.binary()]
 
     def run(batches):
+        seen = set()
         for batch in batches:
             out = [[] for _ in kinds]
             for doc, t, text, wanted in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if (doc, t) in seen:
+                    continue
+                seen.add((doc, t))
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 for w in wanted:
                     first, n = w["first"], w["n"]
-                    row = w["h"], doc, t, first, n, w["gram"] - first, w["alone"], raw[first : first + n + length - 1]
+                    row = w["h"], doc, t, first, n, w["gram"] - first, w["alone"], w["crowded"], raw[first : first + n + length - 1]
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
@@ -268,6 +283,17 @@ def _crowded_spans(contexts_with_bytes: DataFrame, length: int, block: int) -> D
     return whole.unionByName(found.select("doc", "t", "first", (F.col("first") + length).alias("end")))
 
 
+def _same_text(a: DataFrame, b: DataFrame):
+    return a["doc"].eqNullSafe(b["doc"]) & (a["t"] == b["t"])
+
+
+def _candidates(keyed: DataFrame, lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts that may have a row in ``lists`` (stored, by doc and t), and those that have none."""
+    key = F.xxhash64("doc", "t")
+    may = member_filter(lists.select(key.alias("k")), lists.count())
+    return keyed.where(may(key)), keyed.where(~may(key))
+
+
 def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
     """Spans (doc, t, first, end) of bytes, overlapping, that cover all repeated windows of texts (doc, t, text)."""
     found = stored(keyed.mapInArrow(_all_contexts(length, gram), _CONTEXT))
@@ -286,20 +312,16 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, blo
     buckets = stored(
         classes.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.sum((F.col("m") == 1).cast("bigint")).alias("singles")).where("singles > 0").drop("singles")
     )
-    wanted = attach(classes, buckets, "h", "k", total).select(
-        "one.doc", "one.t", F.struct("h", "one.first", "one.n", "one.gram", (F.col("m") == 1).alias("alone")).alias("w")
-    )
-    lists = wanted.groupBy("doc", "t").agg(F.collect_list("w").alias("wanted"))
-    # Repeated rows have the same contexts; one of them is enough to cut them from.
-    same = lambda a, b: a["doc"].eqNullSafe(b["doc"]) & (a["t"] == b["t"])
-    texts = keyed.join(lists, same(keyed, lists)).select(keyed["doc"], keyed["t"], "text", "wanted")
-    cut = "h bigint, doc bigint, t bigint, first bigint, n bigint, gram bigint, alone boolean, bytes binary"
-    bytes_of = stored(texts.mapInArrow(_cut_contexts(length), cut).dropDuplicates(["doc", "t", "first", "h"]))
-    crowded = buckets.where(F.col("k") > bucket).select("h")
-    small = bytes_of.join(crowded, "h", "left_anti").select("h", "doc", "t", "first", "n", "gram", "alone", "bytes")
-    compared = small.repartition("h").sortWithinPartitions("h").mapInArrow(_compare(length, block), _SPAN)
-
-    big = bytes_of.join(crowded, "h", "left_semi").select("h", "doc", "t", "first", "n", "gram", "alone", "bytes")
+    place = F.struct("h", "one.first", "one.n", "one.gram", (F.col("m") == 1).alias("alone"), (F.col("k") > bucket).alias("crowded"))
+    wanted = attach(classes, buckets, "h", "k", total).select("one.doc", "one.t", place.alias("w"))
+    lists = stored(wanted.groupBy("doc", "t").agg(F.collect_list("w").alias("wanted")))
+    some, _ = _candidates(keyed, lists)
+    texts = some.join(lists, _same_text(some, lists)).select(some["doc"], some["t"], "text", "wanted")
+    bytes_of = stored(texts.mapInArrow(_cut_contexts(length), _CUT))
+    small = bytes_of.where(~F.col("crowded")).drop("crowded")
+    compared = small.repartition("h").sortWithinPartitions("h", "doc", "t", "first").mapInArrow(_compare(length, block), _SPAN)
+
+    big = bytes_of.where("crowded").drop("crowded").dropDuplicates(["doc", "t", "first", "h"])
     counted = _crowded_spans(big, length, block)
     return whole.unionByName(copies).unionByName(compared).unionByName(counted)
 
@@ -348,7 +370,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.xxhash64(text).alias("t"), text.alias("text"))
     spans = repeated_spans(keyed, length, gram, block, bucket)
-    lists = spans.groupBy("doc", "t").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
-    joined = keyed.join(lists, keyed["doc"].eqNullSafe(lists["doc"]) & (keyed["t"] == lists["t"]), "left")
-    rows = joined.select(keyed["doc"].alias("doc_id"), "text", "spans")
+    lists = stored(spans.groupBy("doc", "t").agg(F.collect_set(F.struct("first", "end")).alias("spans")))
+    some, none = _candidates(keyed, lists)
+    found = some.join(lists, _same_text(some, lists), "left").select(some["doc"].alias("doc_id"), "text", "spans")
+    rows = found.unionByName(none.select(F.col("doc").alias("doc_id"), "text"), allowMissingColumns=True)
     return rows.mapInArrow(_removed(), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
