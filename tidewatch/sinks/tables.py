@@ -144,3 +144,28 @@ def read_catalog(spark: SparkSession, path: str, version: int | None = None) ->
         return spark.createDataFrame([], CATALOG)
     bucket, at = next(iter(held.items()))
     return _buckets(spark, path, spark.read.parquet(f"{path}/data/version={at}/bucket={bucket}").schema, held)
+
+
+def touched_buckets(points: DataFrame, buckets: int = CATALOG_BUCKETS) -> list[int]:
+    """The buckets of the points' series, at most ``buckets`` numbers."""
+    return sorted(r.bucket for r in points.select(_bucket(buckets)).distinct().collect())
+
+
+def read_buckets(spark: SparkSession, path: str, version: int, wanted: list[int]) -> DataFrame | None:
+    """Rows of these buckets as of a version; None if it holds none of them.  Before version 0 there is nothing."""
+    held = {} if version < 0 else catalog_manifest(spark, path, version)
+    paths = [f"{path}/data/version={held[b]}/bucket={b}" for b in wanted if b in held]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def write_buckets(rows: DataFrame | None, path: str, version: int, touched: list[int], buckets: int = CATALOG_BUCKETS) -> None:
+    """Commit a version in which the ``touched`` buckets hold these rows and all others what they held before."""
+    spark = SparkSession.getActiveSession() if rows is None else rows.sparkSession
+    held = {} if version == 0 else catalog_manifest(spark, path, version - 1)
+    if touched:
+        placed = rows.select("*", _bucket(buckets)).repartition("bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/version={version}")
+        # A bucket whose series have nothing to keep yet, as muted ones, has no files.
+        made = placed.select("bucket").distinct().collect()
+        held |= {r.bucket: version for r in made}
+    spark.createDataFrame(sorted(held.items()), _HELD).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/version={version}")
