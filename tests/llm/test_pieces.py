@@ -1,5 +1,6 @@
 import random
 import struct
+import sys
 
 import numpy as np
 import pytest
@@ -105,3 +106,29 @@ def test_five_megabytes(spark):
     text = "some words, é and 語 " * 240_000
     row = encode_decode(documents(spark, [text]), tokenizer_path()).first()
     assert row.ends[-1] == len(text.encode()) and row.n_tokens == len(row.ends) + 2
+
+
+def test_a_worker_keeps_few_words(monkeypatch):
+    monkeypatch.setattr("tidewatch.llm.sentencepieces.MEMO_WORDS", 50)
+    model, r = Model.read(tokenizer_path()), random.Random(4)
+    for _ in range(200):
+        text = " ".join(["often", "é語", *("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(10))])
+        assert model.encode(text) == MODEL.encode(text)
+        # Two ages of words besides those of one text; what is met again and again is not forgotten.
+        assert len(model.memo) + len(model.memo.older) <= 2 * (50 + 25)
+        assert model.memo["▁often"] == model.known("▁often")
+
+
+def test_a_kept_word_is_small():
+    r = random.Random(5)
+    model = Model.read(tokenizer_path())
+    words = ["".join(r.choice("abcdefghij") for _ in range(8)) for _ in range(2000)]
+    model.encode(" ".join(words))
+    kept = [sys.getsizeof(k) + sys.getsizeof(v) + (sum(map(sys.getsizeof, v)) if isinstance(v, tuple) else 0) for k, v in model.memo.items()]
+    assert sum(kept) / len(kept) < 200
+
+
+def test_decoded_text_of_bytes_and_marks_like_the_library():
+    for text in ["語 語語", "a\U0001f600b \U0001f600", "▁x ▁▁y 語▁", " 語", "\x00語", ""]:
+        ids, _, decoded = MODEL.pieces_of(text)
+        assert decoded == LIBRARY.decode(LIBRARY.encode(text)) == MODEL.decode(ids)

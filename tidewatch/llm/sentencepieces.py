@@ -27,8 +27,9 @@ ship_by_value(__name__)
 SPACE = "▁"
 NO_UTF8 = "�"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-# Words kept with their ids in each worker, beside those of one text, and the longest of them in characters.
-MEMO_WORDS = 500_000
+# Words kept with their ids in each worker, twice as many at most beside those of one text, and the longest in characters.
+# Workers stay when a task is over, so what they keep counts in every later stage: about 200 bytes a word.
+MEMO_WORDS = 120_000
 MEMO_CHARS = 64
 SHORT = 32
 NO_SCORE = float("-inf")
@@ -75,18 +76,26 @@ class CharacterMap:
 
 
 class _Words(dict):
-    """What is known of words; short ones are remembered."""
+    """What is known of words; short ones are remembered, and forgotten when they are not met for a while."""
 
     def __init__(self, model):
         super().__init__()
-        self.model = model
+        self.model, self.older = model, {}
 
     def __missing__(self, word: str):
-        found = self.model.known(word)
+        found = self.older.get(word)
+        if found is None:
+            found = self.model.known(word)
         if len(word) <= MEMO_CHARS:
             self[word] = found
         return found
 
+    def age(self) -> None:
+        """Keep the words met since the last time, as the older ones, if they are many."""
+        if len(self) > MEMO_WORDS:
+            self.older = dict(self)
+            self.clear()
+
 
 @dataclass
 class Model:
@@ -238,15 +247,10 @@ class Model:
                 out.append((self.unk, width))
         return out
 
-    def known(self, word: str) -> tuple[bytes, bytes, str]:
-        """Of a word: its ids and the normalised bytes of each as unsigned 32-bit integers, and its decoded text."""
+    def known(self, word: str) -> bytes:
+        """Of a word: each id and the normalised bytes of its piece, as unsigned 32-bit integers."""
         pieces = self.split(word)
-        n = len(pieces)
-        ids = struct.pack(f"<{n}I", *[i for i, _ in pieces])
-        # Pieces that are no bytes and not unknown spell the word itself.
-        spelt = all(self.types[i] == NORMAL for i, _ in pieces)
-        text = word.replace(SPACE, " ") if spelt else self.joined(np.frombuffer(ids, "<u4"))
-        return ids, struct.pack(f"<{n}I", *[w for _, w in pieces]), text
+        return struct.pack(f"<{2 * len(pieces)}I", *[x for piece in pieces for x in piece])
 
     def words(self, normal: str) -> list[str]:
         # A run of marks goes with the word behind it.
@@ -258,11 +262,9 @@ class Model:
         """The ids of the pieces, the source byte behind each of them, and the decoded text."""
         plain = self.charmap is None and not self.trim and SPACE not in text
         normal, source = (self.normalise(text), None) if plain else self.normalise_aligned(text)
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        found = list(map(self.memo.__getitem__, self.words(normal)))
-        ids = np.frombuffer(b"".join([f[0] for f in found]), "<u4")
-        ends = np.cumsum(np.frombuffer(b"".join([f[1] for f in found]), "<u4"), dtype=np.int64)
+        self.memo.age()
+        pairs = np.frombuffer(b"".join(map(self.memo.__getitem__, self.words(normal))), "<u4")
+        ids, ends = pairs[::2].copy(), np.cumsum(pairs[1::2], dtype=np.int64)
         if source is not None:
             ends = np.array(source, np.int64)[ends]
         elif len(ends):
@@ -272,7 +274,8 @@ class Model:
                 kept = np.cumsum(~_inside_marks(raw), dtype=np.int64)
                 ends = kept[ends - 1]
             ends = ends - self.dummy_prefix
-        text = "".join([f[2] for f in found])
+        # Pieces spell the text itself, and so do the bytes that stand for whole characters, but not what is unknown.
+        text = normal.replace(SPACE, " ") if SPACE in self.ids and not (ids == self.unk).any() else self.joined(ids)
         if self.dummy_prefix and len(ids) and self.types[ids[0]] not in (BYTE, UNKNOWN) and text.startswith(" "):
             text = text[1:]
         return ids, ends, text
