@@ -132,3 +132,17 @@ def test_decoded_text_of_bytes_and_marks_like_the_library():
     for text in ["語 語語", "a\U0001f600b \U0001f600", "▁x ▁▁y 語▁", " 語", "\x00語", ""]:
         ids, _, decoded = MODEL.pieces_of(text)
         assert decoded == LIBRARY.decode(LIBRARY.encode(text)) == MODEL.decode(ids)
+
+
+def test_ids_of_many_texts_leave_in_small_batches():
+    import pyarrow as pa
+
+    from tidewatch.llm.sentencepieces import _content, _encoded
+
+    texts = [f"text {i} é" for i in range(2500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    out = list(_encoded(_content(tokenizer_path()), True)(iter([batch, batch.slice(0, 0)])))
+    assert max(b.num_rows for b in out) <= 1000
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [r["doc_id"] for r in rows] == list(range(2500))
+    assert all(struct.pack(f"<{r['n_tokens']}I", *r["ids"]) == MODEL.encode(t) for r, t in zip(rows, texts, strict=True))

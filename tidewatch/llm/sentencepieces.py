@@ -31,6 +31,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Workers stay when a task is over, so what they keep counts in every later stage: about 200 bytes a word.
 MEMO_WORDS = 120_000
 MEMO_CHARS = 64
+# Texts whose ids are held at a time.
+ROWS = 1000
 SHORT = 32
 NO_SCORE = float("-inf")
 
@@ -365,7 +367,7 @@ def _encoded(content: bytes, with_ids: bool):
     def run(batches):
         model = held()
         first, last = struct.pack("<I", model.bos), struct.pack("<I", model.eos)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             n, ids_hash, text_hash, all_ends, all_ids = [], [], [], [], []
             for text in batch.column(1):
                 ids, ends, decoded = model.pieces_of(text.as_py() or "")
