@@ -25,3 +25,10 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     wanted = brute([t for _, t in rows], 64)
     assert got == sorted(((d is None, d or 0), *w) for (d, _), w in zip(rows, wanted))
     assert remove_repeats(docs.limit(0), 64, 16, 8).count() == 0
+
+
+def test_texts_without_spans_need_one_python_worker(spark):
+    docs = spark.createDataFrame([(i, f"{i} " * 200) for i in range(20)], "doc_id bigint, text string")
+    plan = remove_repeats(docs, 64, 16, 8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2
+    assert plan.count("ArrowEvalPython") == 1  # of the texts that go into the join
